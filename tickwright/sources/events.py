@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tickwright.functions import half_up_ratio
 from tickwright.operators.levels import open_close
 from tickwright.schemas import TICKS
 
@@ -45,11 +46,13 @@ def coarse(ticks: DataFrame) -> DataFrame:
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trades of a supplier's stock in a month. They have no unique order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    volume = F.col("l_quantity").cast("bigint")
+    paid = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return lines.select(
         F.col("l_suppkey").cast("string").alias("order_code"),
         F.expr("CAST(date_trunc('month', l_shipdate) AS DATE)").alias("order_date"),
-        F.expr("CAST(l_extendedprice / l_quantity AS DECIMAL(10,2))").alias("price"),
-        F.col("l_quantity").cast("bigint").alias("volume"),
+        half_up_ratio(paid, volume * 100, 2, 10).alias("price"),
+        volume.alias("volume"),
     )
 
 
