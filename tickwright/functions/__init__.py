@@ -1,4 +1,4 @@
-from tickwright.functions.arithmetic import amount, cents, half_up_ratio, settled_root
+from tickwright.functions.arithmetic import amount, cents, half_up, half_up_ratio, settled_root
 from tickwright.functions.text import (
     clean_text,
     day_key,
@@ -15,6 +15,7 @@ __all__ = [
     "cents",
     "clean_text",
     "day_key",
+    "half_up",
     "half_up_ratio",
     "parse_day",
     "plain_long",

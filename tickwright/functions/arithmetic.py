@@ -1,4 +1,7 @@
-"""Column arithmetic with stated rounding. Everything stays a built-in expression."""
+"""Column arithmetic with stated rounding. Everything stays a built-in expression.
+
+Longer formulas are SQL text over column names: one call to the JVM each, and easier to read.
+"""
 
 from decimal import Decimal
 
@@ -12,30 +15,36 @@ def amount(price: Column, volume: Column) -> Column:
     return (price * volume).cast(AMOUNT)
 
 
-def cents(value: Column, whole: str = "bigint") -> Column:
-    """A two-decimal price or amount as a whole number of hundredths."""
-    return (value * 100).cast(whole)
+def cents(value: str, whole: str = "BIGINT") -> str:
+    """SQL: a two-decimal price or amount as a whole number of hundredths."""
+    return f"CAST(({value}) * 100 AS {whole})"
 
 
-def half_up_ratio(num: Column, den: Column, scale: int, precision: int = 20) -> Column:
-    """``num / den`` of whole numbers, rounded half up to ``scale`` decimals; 0 where ``den`` is 0.
+def half_up(num: str, den: str, scale: int, precision: int = 20) -> str:
+    """SQL: ``num / den`` of whole numbers, half up to ``scale`` decimals; 0 where ``den`` is 0.
 
     Decimal division in Spark keeps a limited scale, so rounding its result would round twice.
     Whole-number division of ``2*num*10^scale + den`` by ``2*den`` is exact.
     """
-    whole = "decimal(38,0)"
-    top = F.abs(num.cast(whole)) * F.lit(2 * 10**scale).cast(whole) + F.abs(den.cast(whole))
-    steps = F.call_function("div", top.cast(whole), (F.abs(den.cast(whole)) * 2).cast(whole))
-    sign = (F.signum(num.cast("double")) * F.signum(den.cast("double"))).cast("bigint")
-    scaled = (steps * sign).cast("decimal(19,0)") * F.lit(Decimal(1).scaleb(-scale))
-    return F.when(den == 0, F.lit(0)).otherwise(scaled).cast(f"decimal({precision},{scale})")
+    top, bottom = f"CAST(abs({num}) AS DECIMAL(38,0))", f"CAST(abs({den}) AS DECIMAL(38,0))"
+    steps = f"({2 * 10**scale} * {top} + {bottom}) div (2 * {bottom})"
+    sign = f"CAST(signum({num}) * signum({den}) AS BIGINT)"
+    step = f"{Decimal(1).scaleb(-scale):f}BD"
+    return (
+        f"CAST(CASE WHEN ({den}) = 0 THEN 0 "
+        f"ELSE CAST({sign} * ({steps}) AS DECIMAL(19,0)) * {step} END AS DECIMAL({precision},{scale}))"
+    )
+
+
+def half_up_ratio(num: str, den: str, scale: int, precision: int = 20) -> Column:
+    """``half_up`` as a column."""
+    return F.expr(half_up(num, den, scale, precision))
 
 
-def settled_root(value: Column, scale: int) -> Column:
-    """Square root on a grid of ``scale`` decimals, as repeated averaging with half-up steps gives it.
+def settled_root(value: str, scale: int) -> str:
+    """SQL: square root on a grid of ``scale`` decimals, as averaging with half-up steps gives it.
 
     Averaging ``x`` with ``value/x``, each rounded half up, comes to rest one step above the nearest
-    lower grid point as soon as the root is a quarter step past it, not a half step.
+    lower grid point as soon as the root is a quarter step past it, not a half step. 0 and less give 0.
     """
-    grid = float(10**scale)
-    return F.floor(F.sqrt(value) * grid + 0.75).cast("double") / grid
+    return f"CAST(floor(sqrt(greatest({value}, 0D)) * 1e{scale}D + 0.75D) AS DOUBLE) / 1e{scale}D"

@@ -6,31 +6,34 @@ from tickwright.functions import cents, half_up_ratio
 from tickwright.schemas import BANDS
 
 
-def band_index(price: Column, down: Column, up: Column) -> Column:
+def band_index(price: str, down: str, up: str) -> Column:
     """Band 0 to 9 of a price; the upper limit belongs to band 9. Null outside the limits.
 
     Limits that are missing or equal give no bands.
     """
-    low, high = cents(down), cents(up)
-    position = F.call_function("div", (cents(price) - low) * 10, high - low)
-    return F.when((high > low) & price.between(down, up), F.least(F.lit(9).cast("bigint"), position))
+    position = f"(({cents(price)} - {cents(down)}) * 10) div ({cents(up)} - {cents(down)})"
+    return F.expr(
+        f"CASE WHEN {up} > {down} AND {price} BETWEEN {down} AND {up} THEN least(9, {position}) END"
+    )
 
 
-def band_sums(index: Column, volume: Column) -> list[Column]:
+def band_sums(index: str, volume: str) -> list[Column]:
     """Volume per band, as conditional sums named like the bands."""
-    return [F.sum(F.when(index == i, volume).otherwise(0)).alias(b) for i, b in enumerate(BANDS)]
+    return [
+        F.expr(f"sum(CASE WHEN {index} = {i} THEN coalesce({volume}, 0) ELSE 0 END)").alias(band)
+        for i, band in enumerate(BANDS)
+    ]
 
 
-def with_band_ratios(sums: DataFrame, total: Column) -> DataFrame:
+def with_band_ratios(sums: DataFrame, total: str) -> DataFrame:
     """Band volumes to shares of the whole volume, which includes prices outside the limits."""
-    return sums.withColumns({b: half_up_ratio(F.col(b), total, 6, 12) for b in BANDS})
+    return sums.withColumns({b: half_up_ratio(b, total, 6, 12) for b in BANDS})
 
 
 def price_bands(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Band shares per key, from levels that carry ``down_limit`` and ``up_limit``."""
-    volume = F.coalesce(F.col("volume_sum"), F.lit(0))
-    placed = levels.withColumn(
-        "band", band_index(F.col("price"), F.col("down_limit"), F.col("up_limit"))
+    placed = levels.withColumn("band", band_index("price", "down_limit", "up_limit"))
+    sums = placed.groupBy(*keys).agg(
+        F.expr("sum(coalesce(volume_sum, 0))").alias("volume"), *band_sums("band", "volume_sum")
     )
-    sums = placed.groupBy(*keys).agg(F.sum(volume).alias("volume"), *band_sums(F.col("band"), volume))
-    return with_band_ratios(sums, F.col("volume"))
+    return with_band_ratios(sums, "volume")

@@ -6,67 +6,67 @@ whole numbers (hundredths to the fourth power times shares), so moving them to t
 loses nothing. Only then are they turned into doubles.
 """
 
-from functools import reduce
 from math import comb
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickwright.functions import cents, half_up_ratio, settled_root
-
-WHOLE = "decimal(38,0)"
+from tickwright.functions import cents, half_up, settled_root
 
 # Whole-number sums hold 38 digits. The margin covers the binomial terms of the move to the mean.
-EXACT_LIMIT = 1e36
+EXACT_LIMIT = "1e36D"
+
 
+def _base(pivot: str | None) -> str:
+    return cents(pivot) if pivot else "0L"
 
-def moment_sums(pivot: Column | None = None) -> list[Column]:
+
+def moment_sums(pivot: str | None = None) -> list[Column]:
     """Power sums of the prices, taken from ``pivot`` (a price fixed per key) or from zero.
 
-    The double sums are used only for a stock-day whose whole-number sums do not fit.
+    ``n`` counts shares and ``s1`` to ``s4`` are the sums; ``t...`` leave out volumes that are not
+    positive. The double sums ``f...`` serve only a stock-day whose whole-number sums do not fit.
     """
-    base = cents(pivot) if pivot is not None else F.lit(0)
-    distance = cents(F.col("price")) - base
-    step = distance.cast("decimal(11,0)")
-    square = step * step
-    volume = F.coalesce(F.col("volume_sum"), F.lit(0))
-    traded = F.greatest(volume, F.lit(0))
-
-    def whole_sum(weight: Column, power: Column) -> Column:
-        return F.try_sum(F.try_multiply(weight.cast("decimal(20,0)"), power)).cast(WHOLE)
-
-    def double_sum(weight: Column, power: int) -> Column:
-        return F.sum(reduce(lambda a, b: a * b, [distance.cast("double")] * power, weight))
-
-    powers = {1: step, 2: square, 3: square * step, 4: F.try_multiply(square, square)}
-    sums = [F.sum(volume).alias("n"), F.sum(traded).alias("tn")]
-    sums += [whole_sum(volume, powers[k]).alias(f"s{k}") for k in powers]
-    sums += [whole_sum(traded, powers[k]).alias(f"ts{k}") for k in (1, 2)]
-    sums += [double_sum(volume, k).alias(f"f{k}") for k in (2, 3, 4)]
-    sums += [double_sum(traded, 2).alias("tf2")]
-    sums += [
-        F.max(F.abs(distance)).alias("reach"),
-        F.sum(F.abs(volume).cast("double")).alias("mass"),
-    ]
-    return sums
-
-
-MOMENT_COLUMNS = (
-    ["n", "tn", "s1", "s2", "s3", "s4", "ts1", "ts2", "f2", "f3", "f4", "tf2", "reach", "mass"]
-)
-
-
-def _moved(sums: list[Column], by: Column, order: int) -> Column:
-    """The power sum of the given order after every value has been lowered by ``by``."""
+    volume = "coalesce(volume_sum, 0)"
+    traded = f"greatest({volume}, 0)"
+    distance = f"({cents('price')} - {_base(pivot)})"
+    step = f"CAST({distance} AS DECIMAL(11,0))"
+    square = f"({step} * {step})"
+    powers = {
+        1: step,
+        2: square,
+        3: f"({square} * {step})",
+        4: f"try_multiply({square}, {square})",
+    }
+
+    def whole(weight: str, power: int) -> str:
+        product = f"try_multiply(CAST({weight} AS DECIMAL(20,0)), {powers[power]})"
+        return f"CAST(try_sum({product}) AS DECIMAL(38,0))"
+
+    def rough(weight: str, power: int) -> str:
+        return f"sum({weight} * power(CAST({distance} AS DOUBLE), {power}D))"
+
+    texts = {"n": f"sum({volume})", "tn": f"sum({traded})"}
+    texts |= {f"s{k}": whole(volume, k) for k in (1, 2, 3, 4)}
+    texts |= {f"ts{k}": whole(traded, k) for k in (1, 2)}
+    texts |= {f"f{k}": rough(volume, k) for k in (2, 3, 4)}
+    texts |= {
+        "tf2": rough(traded, 2),
+        "reach": f"max(abs({distance}))",
+        "mass": f"sum(CAST(abs({volume}) AS DOUBLE))",
+    }
+    return [F.expr(text).alias(name) for name, text in texts.items()]
+
+
+def _moved(sums: list[str], by: str, order: int) -> str:
+    """SQL: the power sum of the given order after every value has been lowered by ``by``."""
     terms = []
-    for j in range(order + 1):
-        term = sums[j]
-        for _ in range(order - j):
-            term = term * by
-        terms.append(term * ((-1) ** (order - j) * comb(order, j)))
-    return reduce(lambda a, b: a + b, terms)
+    for j, total in enumerate(sums[: order + 1]):
+        factor = (-1) ** (order - j) * comb(order, j)
+        terms.append(" * ".join([str(factor), total, *[by] * (order - j)]))
+    return "(" + " + ".join(terms) + ")"
 
 
-def with_moments(sums: DataFrame, pivot: Column | None = None) -> DataFrame:
+def with_moments(sums: DataFrame, pivot: str | None = None) -> DataFrame:
     """Replace the power sums by ``price_std``, ``price_skewness`` and ``price_kurtosis``.
 
     Rounding follows each statistic's definition step by step: the mean, the variance, the root and
@@ -75,94 +75,82 @@ def with_moments(sums: DataFrame, pivot: Column | None = None) -> DataFrame:
     one share less. Skewness is multiplied by ``V/((V-1)(V-2))`` on top of dividing by ``V``. A
     variance that rounds to zero gives 0.
     """
-    base = cents(pivot) if pivot is not None else F.lit(0)
-    return (
-        _central(sums, base)
-        .withColumns(
-            {
-                "var10": F.round(F.col("t_c2") / 1e4 / F.nullif(F.col("tn"), F.lit(0)), 10),
-                "var8": F.round(F.col("c2") / 1e4 / F.nullif(F.col("n") - 1, F.lit(0)), 8),
-                "m3": F.round(F.col("c3") / 1e6 / F.nullif(F.col("n"), F.lit(0)), 8),
-                "m4": F.round(F.col("c4") / 1e8 / F.nullif(F.col("n"), F.lit(0)), 8),
-            }
-        )
-        .withColumns({"sd": settled_root(F.greatest(F.col("var8"), F.lit(0.0)), 8)})
-        .withColumns(
-            {
-                "price_std": settled_root(F.greatest(F.col("var10"), F.lit(0.0)), 10),
-                "price_skewness": _skewness(F.col("n"), F.col("m3"), F.col("sd")),
-                "price_kurtosis": _kurtosis(F.col("m4"), F.col("sd")),
-            }
-        )
-        .drop(*_CENTRAL, "var10", "var8", "m3", "m4", "sd", *MOMENT_COLUMNS)
-    )
-
-
-_CENTRAL = ["exact", "near", "t_near", "off", "t_off", "u2", "u3", "u4", "t_u2"] + [
-    "u1",
-    "t_u1",
-    "c2",
-    "c3",
-    "c4",
-    "t_c2",
-]
-
-
-def _central(sums: DataFrame, base: Column) -> DataFrame:
-    n, tn = F.col("n").cast(WHOLE), F.col("tn").cast(WHOLE)
-    whole = [n] + [F.col(f"s{k}") for k in (1, 2, 3, 4)]
-    rough = [n.cast("double"), F.col("s1").cast("double")] + [F.col(f"f{k}") for k in (2, 3, 4)]
-    t_whole = [tn, F.col("ts1"), F.col("ts2")]
-    t_rough = [tn.cast("double"), F.col("ts1").cast("double"), F.col("tf2")]
-
-    def nearest(first: Column, count: Column) -> Column:
-        ratio = first.cast("double") / F.nullif(count.cast("double"), F.lit(0.0))
-        return F.round(ratio).cast("bigint")
-
-    # Step 1: move to the whole hundredth next to the mean, without loss.
-    sums = sums.withColumns(
-        {
-            "exact": F.pow(F.col("reach").cast("double"), F.lit(4.0)) * F.col("mass") < EXACT_LIMIT,
-            "near": nearest(F.col("s1"), F.col("n")),
-            "t_near": nearest(F.col("ts1"), F.col("tn")),
-        }
-    )
-
-    def to_near(exact: list[Column], double: list[Column], near: str, order: int) -> Column:
-        by = F.col(near)
-        return F.when(
-            F.col("exact"), _moved(exact, by.cast("decimal(11,0)"), order).cast("double")
-        ).otherwise(_moved(double, by.cast("double"), order))
-
-    # Step 2: what is left to the rounded mean, in hundredths.
-    def rest(first: str, count: Column, near: str, scale: int) -> Column:
-        total = F.col(first) + base.cast("decimal(11,0)") * count
-        mean = half_up_ratio(total, count, scale, 38 - 19)
-        return (mean - base - F.col(near)).cast("double")
-
-    moved = {f"u{k}": to_near(whole, rough, "near", k) for k in (1, 2, 3, 4)}
-    moved |= {f"t_u{k}": to_near(t_whole, t_rough, "t_near", k) for k in (1, 2)}
-    moved |= {"off": rest("s1", n, "near", 6), "t_off": rest("ts1", tn, "t_near", 8)}
-    sums = sums.withColumns(moved)
-
-    u = [F.col("n").cast("double")] + [F.col(f"u{k}") for k in (1, 2, 3, 4)]
-    t_u = [F.col("tn").cast("double"), F.col("t_u1"), F.col("t_u2")]
-    central = {f"c{k}": _moved(u, F.col("off"), k) for k in (2, 3, 4)}
-    return sums.withColumns(central | {"t_c2": _moved(t_u, F.col("t_off"), 2)})
-
-
-def _skewness(n: Column, m3: Column, sd: Column) -> Column:
-    shares = n.cast("double")
-    correction = F.round(shares / ((shares - 1) * (shares - 2)), 8)
-    return F.when((n < 3) | (sd == 0), 0.0).otherwise(F.round(m3 / (sd * sd * sd), 8) * correction)
-
-
-def _kurtosis(m4: Column, sd: Column) -> Column:
-    fourth = sd * sd * sd * sd
-    return F.when(sd.isNull() | (sd == 0), 0.0).otherwise(F.round(m4 / fourth, 8) - 3)
+    base = _base(pivot)
+    kept = [c for c in sums.columns if c not in _SUM_COLUMNS]
+    for step in (_nearest(base), _left(base), _CENTRAL, _ROUNDED, _ROOTED):
+        sums = sums.selectExpr("*", *[f"{text} AS {name}" for name, text in step.items()])
+    return sums.selectExpr(*kept, *[f"{text} AS {name}" for name, text in _STATISTICS.items()])
+
+
+def _nearest(base: str) -> dict[str, str]:
+    """The whole hundredth next to the mean, and the sums taken from zero."""
+
+    def near(first: str, shares: str) -> str:
+        return f"CAST(round(CAST({first} AS DOUBLE) / nullif(CAST({shares} AS DOUBLE), 0D)) AS BIGINT)"
+
+    def from_zero(first: str, shares: str) -> str:
+        moved = f"CAST({base} AS DECIMAL(11,0)) * CAST({shares} AS DECIMAL(20,0))"
+        return f"CAST({first} + {moved} AS DECIMAL(38,0))"
+
+    return {
+        "exact": f"power(CAST(reach AS DOUBLE), 4D) * mass < {EXACT_LIMIT}",
+        "near": near("s1", "n"),
+        "t_near": near("ts1", "tn"),
+        "z1": from_zero("s1", "n"),
+        "tz1": from_zero("ts1", "tn"),
+    }
+
+
+def _left(base: str) -> dict[str, str]:
+    """Sums moved to the nearest hundredth without loss, and what is left to the rounded mean."""
+
+    def moved(whole: list[str], rough: list[str], near: str, order: int) -> str:
+        exact = _moved(whole, f"CAST({near} AS DECIMAL(11,0))", order)
+        other = _moved(rough, f"CAST({near} AS DOUBLE)", order)
+        return f"CASE WHEN exact THEN CAST({exact} AS DOUBLE) ELSE {other} END"
+
+    whole = ["CAST(n AS DECIMAL(38,0))", "s1", "s2", "s3", "s4"]
+    rough = ["CAST(n AS DOUBLE)", "CAST(s1 AS DOUBLE)", "f2", "f3", "f4"]
+    t_whole = ["CAST(tn AS DECIMAL(38,0))", "ts1", "ts2"]
+    t_rough = ["CAST(tn AS DOUBLE)", "CAST(ts1 AS DOUBLE)", "tf2"]
+    sums = {f"u{k}": moved(whole, rough, "near", k) for k in (1, 2, 3, 4)}
+    sums |= {f"tu{k}": moved(t_whole, t_rough, "t_near", k) for k in (1, 2)}
+    return sums | {
+        "off": f"CAST({half_up('z1', 'n', 6)} - {base} - near AS DOUBLE)",
+        "t_off": f"CAST({half_up('tz1', 'tn', 8)} - {base} - t_near AS DOUBLE)",
+    }
+
+
+_CENTRAL = {
+    f"c{k}": _moved(["CAST(n AS DOUBLE)", "u1", "u2", "u3", "u4"], "off", k) for k in (2, 3, 4)
+} | {"tc2": _moved(["CAST(tn AS DOUBLE)", "tu1", "tu2"], "t_off", 2)}
+
+# From hundredths to prices: 1e2 to the power of the moment.
+_ROUNDED = {
+    "var10": "round(tc2 / 1e4D / nullif(tn, 0), 10)",
+    "var8": "round(c2 / 1e4D / nullif(n - 1, 0), 8)",
+    "m3": "round(c3 / 1e6D / nullif(n, 0), 8)",
+    "m4": "round(c4 / 1e8D / nullif(n, 0), 8)",
+    "shares": "CAST(n AS DOUBLE)",
+}
+
+_ROOTED = {"sd": f"CASE WHEN var8 IS NULL THEN 0D ELSE {settled_root('var8', 8)} END"}
+
+_STATISTICS = {
+    "price_std": settled_root("var10", 10),
+    "price_skewness": "CASE WHEN n < 3 OR sd = 0 THEN 0D ELSE round(m3 / (sd * sd * sd), 8) "
+    "* round(shares / ((shares - 1) * (shares - 2)), 8) END",
+    "price_kurtosis": "CASE WHEN sd = 0 THEN 0D ELSE round(m4 / (sd * sd * sd * sd), 8) - 3 END",
+}
+
+_SUM_COLUMNS = {"n", "tn", "reach", "mass", "tf2", "ts1", "ts2"} | {
+    f"{kind}{k}" for kind in "sf" for k in (1, 2, 3, 4)
+}
 
 
 def weighted_moments(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Spread, skewness and kurtosis per key. A key without positive volume has no spread: no row."""
     sums = levels.where(F.col("price").isNotNull()).groupBy(*keys).agg(*moment_sums())
-    return with_moments(sums.where(F.col("tn") > 0))
+    return with_moments(sums.where("tn > 0")).select(
+        *keys, "price_std", "price_skewness", "price_kurtosis"
+    )

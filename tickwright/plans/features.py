@@ -25,17 +25,16 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
     )
     days = with_open_close(days, edges, STOCK_DAY).drop(*STOCK_DAY)
 
-    volume = F.coalesce(F.col("volume_sum"), F.lit(0))
     opened = levels.join(days, _DAY).withColumn(
-        "band", band_index(F.col("price"), F.col("down_limit"), F.col("up_limit"))
+        "band", band_index("price", "down_limit", "up_limit")
     )
     sums = opened.groupBy(*_DAY, "up_limit", "down_limit", "start_price", "end_price").agg(
-        *total_sums(opened),
-        *moment_sums(F.col("start_price")),
-        *band_sums(F.col("band"), volume),
+        *total_sums(),
+        *moment_sums("start_price"),
+        *band_sums("band", "volume_sum"),
     )
     rows = sums.where(~F.col("damaged") & (F.col("tn") > 0)).drop("damaged")
-    rows = with_band_ratios(with_averages(with_moments(rows, F.col("start_price"))), F.col("volume"))
+    rows = with_band_ratios(with_averages(with_moments(rows, "start_price")), "volume")
     rows = rows.withColumns(
         {
             "ticket_code": F.col("ts_code"),

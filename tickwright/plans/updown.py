@@ -34,7 +34,7 @@ def updown_day(
         {
             "up_down": direction(F.col("up_sum"), F.col("down_sum")),
             "price_tendency": half_up_ratio(
-                cents(F.col("avg_price"), "decimal(38,0)"), cents(F.col("price_min")), 2
+                cents("avg_price", "DECIMAL(38,0)"), cents("price_min"), 2
             ),
             "all_volume": F.lit(0),
             "score": F.lit(0),

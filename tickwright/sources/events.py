@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickwright.functions import half_up_ratio
 from tickwright.operators.levels import open_close
 from tickwright.schemas import TICKS
 
@@ -46,14 +45,14 @@ def coarse(ticks: DataFrame) -> DataFrame:
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as trades of a supplier's stock in a month. They have no unique order."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    volume = F.col("l_quantity").cast("bigint")
-    paid = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return lines.select(
-        F.col("l_suppkey").cast("string").alias("order_code"),
-        F.expr("CAST(date_trunc('month', l_shipdate) AS DATE)").alias("order_date"),
-        half_up_ratio(paid, volume * 100, 2, 10).alias("price"),
-        volume.alias("volume"),
-    )
+    paid, shares = "CAST(round(l_extendedprice * 100) AS BIGINT)", "CAST(l_quantity AS BIGINT)"
+    columns = {
+        "order_code": "CAST(l_suppkey AS STRING)",
+        "order_date": "CAST(date_trunc('month', l_shipdate) AS DATE)",
+        "price": f"CAST((2 * {paid} + {shares}) div (2 * {shares}) * 0.01BD AS DECIMAL(10,2))",
+        "volume": shares,
+    }
+    return lines.select(*[F.expr(text).alias(name) for name, text in columns.items()])
 
 
 def as_listed(levels: DataFrame) -> DataFrame:
