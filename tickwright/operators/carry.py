@@ -18,7 +18,7 @@ def carry_forward(bars: DataFrame, *, hot_over: int = HOT_ROWS) -> DataFrame:
         F.col("date"), F.floor(F.col("id") / F.lit(float(_ID_BLOCK))).alias("block")
     )
     seen = with_previous(filled, ["code"], ["date", "id"], "end", slice_of, hot_over)
-    start = F.coalesce(F.col("previous").getField("end"), F.col("start"))
+    start = F.coalesce("previous", "start")
     return seen.withColumn("start", start).select(*BARS.names)
 
 

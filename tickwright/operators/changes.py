@@ -39,12 +39,12 @@ def price_changes(
     ``before`` gives a last price per stock-day from earlier data. ``day`` replaces the stock-day's
     date in the output, for instance ``F.current_date()`` to stamp the processing date.
     """
-    usable = with_transaction(ticks).where(F.col("price").isNotNull())
+    usable = with_transaction(ticks).dropna(subset=["order_time", "price"])
     used = [*STOCK_DAY, *TICK_ORDER, "order_dc", "price", "volume"]
     seen = with_previous(
         usable.select(*used), STOCK_DAY, TICK_ORDER, "price", tick_slice(), hot_over, before
     )
-    changed = F.col("previous").isNull() | (F.col("previous.price") != F.col("price"))
+    changed = F.col("previous").isNull() | (F.col("previous") != F.col("price"))
     rows = seen.where(changed).withColumn("sum", amount(F.col("price"), F.col("volume")))
     if day is not None:
         rows = rows.withColumn("order_date", day)

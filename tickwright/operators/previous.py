@@ -18,7 +18,8 @@ def hot_keys(df: DataFrame, keys: list[str], hot_over: int) -> DataFrame:
 
     At 10^12 rows and the default that is 500,000 short rows, which is what makes it safe to broadcast.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
+    named = df.dropna(subset=keys)
+    counted = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
     hot = counted.where(F.col("rows_of_key") > hot_over).select(*keys, F.lit(True).alias("hot"))
     return F.broadcast(hot) if hot_over >= _BROADCAST_FROM else hot
 
@@ -32,10 +33,11 @@ def with_previous(
     hot_over: int = HOT_ROWS,
     before: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``previous``: a struct with the ``value`` of the row before, null for the first of its key.
+    """Add ``previous``: the ``value`` of the row before, null for the first of its key.
 
-    ``slice_of`` must never decrease along ``order``. ``before`` may give, per key, the value that
-    came before the first row (columns: the keys and ``value``).
+    ``value`` and ``order`` hold no nulls, and ``slice_of`` never decreases along ``order``.
+    ``before`` may give, per key, the value that came before the first row (columns: the keys and
+    ``value``).
     """
     hot = hot_keys(df, keys, hot_over)
     sliced = (
@@ -44,33 +46,27 @@ def with_previous(
         .drop("hot")
     )
 
-    held = F.struct(F.col(value)).alias("held")
-    slice_type = sliced.schema["slice"].dataType
     ends = (
         df.join(hot, keys)
         .groupBy(*keys, slice_of.alias("slice"))
-        .agg(F.max_by(F.struct(value), F.struct(*order)).alias("held"))
+        .agg(F.max_by(value, F.struct(*order)).alias(value))
     )
     if before is not None:
-        seeds = before.join(hot, keys, "left").select(
-            *keys, F.lit(None).cast(slice_type).alias("slice"), held, "hot"
+        seeds = before.join(hot, keys, "left").withColumn(
+            "slice", F.lit(None).cast(sliced.schema["slice"].dataType)
         )
         ends = ends.unionByName(seeds.where("hot").drop("hot"))
     along = Window.partitionBy(*keys).orderBy(F.col("slice").asc_nulls_first())
-    extras = (
-        ends.withColumn("held", F.lag("held").over(along))
-        .where(F.col("held").isNotNull() & F.col("slice").isNotNull())
-        .select(*keys, "slice", F.col(f"held.{value}").alias(value))
-    )
+    extras = ends.withColumn(value, F.lag(value).over(along)).where(F.col(value).isNotNull())
     if before is not None:
-        cold = seeds.where("hot IS NULL").select(*keys, "slice", F.col(f"held.{value}").alias(value))
-        extras = extras.unionByName(cold)
+        extras = extras.unionByName(seeds.where("hot IS NULL").drop("hot"))
 
+    # The extra rows have no order values, so they come first.
     extras = extras.withColumn("extra", F.lit(True))
     rows = sliced.unionByName(extras, allowMissingColumns=True)
-    within = Window.partitionBy(*keys, "slice").orderBy(F.col("extra").desc(), *order)
+    within = Window.partitionBy(*keys, "slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return (
-        rows.withColumn("previous", F.lag(F.struct(value)).over(within))
+        rows.withColumn("previous", F.lag(value).over(within))
         .where(~F.col("extra"))
         .drop("extra", "slice")
     )

@@ -68,12 +68,13 @@ def as_listed(levels: DataFrame) -> DataFrame:
 
 def limit_list(ticks: DataFrame) -> DataFrame:
     """A work list with limits 1.00 and 101.00; the days are written without dashes."""
-    return ticks.select(
+    days = ticks.select("order_code", "order_date").distinct()
+    return days.select(
         F.concat("order_code", F.lit(".EV")).alias("ts_code"),
         F.date_format("order_date", "yyyyMMdd").alias("trade_date"),
         F.lit("101.00").alias("up_limit"),
         F.lit("1.00").alias("down_limit"),
-    ).distinct()
+    )
 
 
 def bars(ticks: DataFrame) -> DataFrame:
