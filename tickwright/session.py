@@ -26,10 +26,11 @@ def build_session(app: str = "tickwright", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only where no such folder is set, as in tests on one machine, a local one is made and set.
+    Where that is not set, a session on one machine gets a temporary folder; a cluster gets an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tickwright-")
-        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
