@@ -7,7 +7,7 @@ from frames import DAY, ticks
 from pyspark.sql import functions as F
 
 from tickwright.operators import changes as changes_module
-from tickwright.operators.carry import apply_starts, carry_forward
+from tickwright.operators.carry import apply_starts, bars_in_order, carry_forward
 from tickwright.operators.changes import last_prices, price_changes
 from tickwright.operators.runs import accumulate, merge_runs, run_rows
 from tickwright.schemas import BARS, PRICE_CHANGES
@@ -154,6 +154,12 @@ def test_sliced_carry(spark, monkeypatch):
     assert plain == sorted(wanted)
 
 
+def test_bars_in_order(spark):
+    rows = [(3, "b", DAY, 1.0, 1.0), (2, "a", DAY + timedelta(1), 1.0, 1.0), (1, "a", DAY, 1.0, 1.0)]
+    assert [r.id for r in bars_in_order(bars(spark, rows)).collect()] == [1, 2, 3]
+    assert [r.id for r in bars_in_order(bars(spark, rows), "a").collect()] == [1, 2]
+
+
 def test_update_by_id(spark):
     table = bars(spark, [(1, "a", DAY, 1.0, 2.0), (2, "a", DAY, 5.0, 6.0)])
     updates = spark.createDataFrame([(2, 7.5)], "id bigint, start double")

@@ -240,6 +240,8 @@ ORACLE_SQL: dict[str, str] = {
     "where_scan": "SELECT event_id, user_id, value FROM events WHERE event_type = 'click' AND value >= 50",
     "day_filter": _with(_TICKS)
     + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE ticks.order_date IN (DATE '2024-01-05', DATE '2024-01-06')",
+    "stock_day_by_sql": _with(_TICKS)
+    + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE order_code = 'click' AND ticks.order_date = DATE '2024-01-05'",
     "key_semijoin": _with(_TICKS)
     + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE (order_code, ticks.order_date) IN "
     "(SELECT (order_code, order_date) FROM ticks GROUP BY order_code, order_date HAVING SUM(volume) > 3300)",

@@ -33,6 +33,7 @@ from tickwright.sources import (
     read_table,
     read_tick_stream,
     split_rejected,
+    ticks_of_day_by_sql,
     work_list,
     work_list_limits,
 )
@@ -84,6 +85,10 @@ def day_filter(spark, sf_dir):
     return of_days(event_ticks(spark, sf_dir), ["2024-01-05", "2024-01-06"]).select(*TICK_VIEW)
 
 
+def stock_day_by_sql(spark, sf_dir):
+    return ticks_of_day_by_sql(event_ticks(spark, sf_dir), "click", "2024-01-05").select(*TICK_VIEW)
+
+
 def key_semijoin(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
     volumes = ticks.groupBy(*STOCK_DAY).agg(F.sum("volume").alias("volume"))
@@ -178,8 +183,9 @@ def bands_of_events(spark, sf_dir):
 
 def bands_of_lineitem(spark, sf_dir):
     """Limits at the month's lowest and highest price; many months have one price only."""
-    levels = price_levels(lineitem_ticks(spark, sf_dir))
-    limits = levels.groupBy(*STOCK_DAY).agg(
+    ticks = lineitem_ticks(spark, sf_dir)
+    levels = price_levels(ticks)
+    limits = ticks.groupBy(*STOCK_DAY).agg(
         F.min("price").alias("down_limit"), F.max("price").alias("up_limit")
     )
     return price_bands(levels.join(limits, STOCK_DAY), STOCK_DAY)
@@ -309,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "tick_scan": tick_scan,
     "where_scan": where_scan,
     "day_filter": day_filter,
+    "stock_day_by_sql": stock_day_by_sql,
     "key_semijoin": key_semijoin,
     "distinct_codes": code_list,
     "json_ticks": json_ticks,

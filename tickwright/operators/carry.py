@@ -8,6 +8,13 @@ from tickwright.schemas import BARS
 _ID_BLOCK = 1_000_000
 
 
+def bars_in_order(bars: DataFrame, code: str | None = None) -> DataFrame:
+    """Bars of one code, or of each, by date."""
+    if code is not None:
+        bars = bars.where(F.col("code") == code)
+    return bars.orderBy("code", "date", "id")
+
+
 def carry_forward(bars: DataFrame, *, hot_over: int = HOT_ROWS) -> DataFrame:
     """Each bar's start becomes the end of the code's bar before; the first keeps its own.
 

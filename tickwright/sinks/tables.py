@@ -5,7 +5,13 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 
 def append_rows(df: DataFrame, path: str, by_day: str | None = None, fmt: str = "parquet") -> None:
-    """Append rows; ``by_day`` names a date column to make one folder per day."""
+    """Append rows; ``by_day`` names a date column to make one folder per day.
+
+    Rows are gathered by day first, so that a day is a few files and not one per task. Adaptive
+    execution splits a day that is too large for one task.
+    """
+    if by_day:
+        df = df.hint("rebalance", by_day)
     writer = df.write.mode("append").format(fmt)
     if by_day:
         writer = writer.partitionBy(by_day)
