@@ -72,6 +72,11 @@ def test_json(spark):
     rows = spark.createDataFrame([(bytearray(text.encode()),), (bytearray(b"{oops"),)], "value binary")
     accepted, rejected = split_rejected(decode_json(rows))
     row = accepted.first()
+    bare = spark.createDataFrame(
+        [('{"orderCode":"a","orderDate":"20241118","orderTime":"9","orderDc":"B","price":1}',)],
+        "value string",
+    )
+    assert split_rejected(decode_json(bare))[0].first().volume == 0
     assert (row.order_code, row.order_date, row.price) == ("a", DAY, Decimal("10.50"))
     assert row.type is None and row.buy_order_price == Decimal("10.60")
     assert rejected.count() == 1

@@ -8,6 +8,8 @@ from tickwright.operators.levels import TICK_ORDER
 from tickwright.operators.previous import HOT_ROWS, with_previous
 from tickwright.schemas import PRICE_CHANGES, STOCK_DAY
 
+USED = [*STOCK_DAY, *TICK_ORDER, "order_dc", "price", "volume"]
+
 # A busy stock-day is cut by second, and a second whose ticks all show the same time by blocks of ids.
 _SECOND = 8
 _ID_BLOCK = 1_000_000
@@ -40,9 +42,8 @@ def price_changes(
     date in the output, for instance ``F.current_date()`` to stamp the processing date.
     """
     usable = with_transaction(ticks).dropna(subset=["order_time", "price"])
-    used = [*STOCK_DAY, *TICK_ORDER, "order_dc", "price", "volume"]
     seen = with_previous(
-        usable.select(*used), STOCK_DAY, TICK_ORDER, "price", tick_slice(), hot_over, before
+        usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", tick_slice(), hot_over, before
     )
     changed = F.col("previous").isNull() | (F.col("previous") != F.col("price"))
     rows = seen.where(changed).withColumn("sum", amount(F.col("price"), F.col("volume")))

@@ -6,8 +6,10 @@ from tickwright.functions import parse_day
 from tickwright.schemas import TICK_JSON_NAMES, TICK_REQUIRED, TICKS
 
 
-def _typed(name: str, text: Column) -> Column:
+def _typed(name: str, text: Column, whole_default: int | None = None) -> Column:
     target = TICKS[name].dataType.simpleString()
+    if target == "bigint" and whole_default is not None:
+        text = F.coalesce(text, F.lit(str(whole_default)))
     value = parse_day(text) if target == "date" else text.try_cast(target)
     return value.alias(name)
 
@@ -23,12 +25,15 @@ def decode_positional(rows: DataFrame, fields: str = "fields") -> DataFrame:
 
 
 def decode_json(rows: DataFrame, message: str = "value") -> DataFrame:
-    """A JSON object per message (text or bytes) to typed columns."""
+    """A JSON object per message (text or bytes) to typed columns.
+
+    A whole number that the message leaves out is 0; other fields it leaves out are null.
+    """
     layout = ", ".join(f"{name} string" for name in TICK_JSON_NAMES)
     parsed = rows.select(F.from_json(F.col(message).cast("string"), layout).alias("tick"))
     return parsed.select(
         *[
-            _typed(f.name, F.col("tick").getField(name))
+            _typed(f.name, F.col("tick").getField(name), whole_default=0)
             for f, name in zip(TICKS.fields, TICK_JSON_NAMES)
         ]
     )

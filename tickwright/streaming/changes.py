@@ -5,7 +5,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tickwright.operators.changes import last_prices, price_changes
+from tickwright.operators.changes import USED, last_prices, price_changes
 from tickwright.operators.previous import HOT_ROWS
 from tickwright.schemas import STOCK_DAY
 from tickwright.streaming.drain import drain
@@ -37,7 +37,7 @@ def stream_price_changes(
         return f"{work_dir}/last_price/place={number % 2}"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        batch = batch.select(*USED).persist()
         try:
             known = None
             if number > 0:

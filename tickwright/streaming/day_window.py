@@ -1,11 +1,14 @@
-"""Day totals of a tick stream in event-time windows of one day."""
+"""Day totals of a tick stream in event-time windows of one day.
+
+Windows of a day begin at midnight UTC, so the session time zone must be UTC, as ``build_session`` sets.
+"""
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tickwright.operators.keys import with_transaction
-from tickwright.operators.runs import run_aggregates
-from tickwright.schemas import PRICE_CHANGES
+from tickwright.operators.runs import run_aggregates, run_rows
+from tickwright.schemas import PRICE_CHANGES, STOCK_DAY
 from tickwright.streaming.drain import drain
 
 
@@ -16,17 +19,12 @@ def day_window(ticks: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     given again whenever it changes.
     """
     usable = with_transaction(ticks).where(F.col("price").isNotNull())
-    grouped = usable.withWatermark("ts", lateness).groupBy(F.window("ts", "1 day"), "order_code")
-    runs = grouped.agg(*run_aggregates())
-    return runs.select(
-        "order_code",
-        F.to_date("window.start").alias("order_date"),
-        "last.order_time",
-        "last.order_dc",
-        "last.price",
-        "volume",
-        "sum",
+    runs = (
+        usable.withWatermark("ts", lateness)
+        .groupBy(F.window("ts", "1 day"), *STOCK_DAY)
+        .agg(*run_aggregates())
     )
+    return run_rows(runs)
 
 
 def stream_day_window(
