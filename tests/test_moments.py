@@ -5,8 +5,10 @@ from frames import by_code, levels
 from pyspark.sql import functions as F
 from statistics_by_hand import kurtosis, skewness, spread
 
+from tickwright.operators.levels import price_levels
 from tickwright.operators.moments import moment_sums, weighted_moments, with_moments
 from tickwright.schemas import STOCK_DAY
+from tickwright.sources.events import event_ticks, lineitem_ticks
 
 
 def check(spark, books, tolerance=1e-8):
@@ -62,3 +64,19 @@ def test_prices_beyond_whole_numbers(spark):
     row = by_code(weighted_moments(levels(spark, [("a", p, v) for p, v in book]), STOCK_DAY))["a"]
     assert abs(row.price_std / float(spread(book)) - 1) < 1e-9
     assert abs(row.price_kurtosis / float(kurtosis(book)) - 1) < 1e-6
+
+
+def test_shared_tables(spark, sf_dir):
+    """Every stock-day of the shared tables, against exact decimals."""
+    for table in (event_ticks(spark, sf_dir), lineitem_ticks(spark, sf_dir)):
+        books = {}
+        found = price_levels(table)
+        for row in found.collect():
+            books.setdefault((row.order_code, row.order_date), []).append((row.price, row.volume_sum))
+        rows = weighted_moments(found, STOCK_DAY).collect()
+        assert len(rows) == len([b for b in books.values() if sum(v for _, v in b) > 0])
+        for row in rows:
+            book = books[row.order_code, row.order_date]
+            assert abs(Decimal(row.price_std) - spread(book)) <= 1e-8
+            assert abs(Decimal(row.price_skewness) - skewness(book)) <= 1e-8
+            assert abs(Decimal(row.price_kurtosis) - kurtosis(book)) <= 1e-8

@@ -123,6 +123,8 @@ def test_carry(spark):
         (3, "a", DAY + timedelta(2), 9.0, 9.0),
         (4, "b", DAY, None, None),
         (5, "b", DAY + timedelta(1), 3.0, 4.0),
+        (6, None, DAY, 1.0, 2.0),
+        (7, None, DAY + timedelta(1), None, 4.0),
     ]
     for hot_over in (0, 2, 10**9):
         got = carry_forward(bars(spark, rows), hot_over=hot_over).orderBy("id").collect()
@@ -132,6 +134,8 @@ def test_carry(spark):
             (3, 6.0, 9.0),
             (4, 0.0, 0.0),
             (5, 0.0, 4.0),
+            (6, 1.0, 2.0),
+            (7, None, 4.0),
         ]
 
 

@@ -18,15 +18,17 @@ def bars_in_order(bars: DataFrame, code: str | None = None) -> DataFrame:
 def carry_forward(bars: DataFrame, *, hot_over: int = HOT_ROWS) -> DataFrame:
     """Each bar's start becomes the end of the code's bar before; the first keeps its own.
 
-    Missing values count as 0.0. Bars of one code on one day are taken in id order.
+    Missing values count as 0.0. Bars of one code on one day are taken in id order. Bars without a
+    code stay as they are.
     """
-    filled = bars.select(*BARS.names).fillna(0.0, ["start", "end"])
+    bars = bars.select(*BARS.names)
+    filled = bars.dropna(subset=["code"]).fillna(0.0, ["start", "end"])
     slice_of = F.struct(
         F.col("date"), F.floor(F.col("id") / F.lit(float(_ID_BLOCK))).alias("block")
     )
     seen = with_previous(filled, ["code"], ["date", "id"], "end", slice_of, hot_over)
-    start = F.coalesce("previous", "start")
-    return seen.withColumn("start", start).select(*BARS.names)
+    carried = seen.withColumn("start", F.coalesce("previous", "start")).select(*BARS.names)
+    return carried.unionByName(bars.where(F.col("code").isNull()))
 
 
 def apply_starts(bars: DataFrame, updates: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def price_changes(
     ``before`` gives a last price per stock-day from earlier data. ``day`` replaces the stock-day's
     date in the output, for instance ``F.current_date()`` to stamp the processing date.
     """
-    usable = with_transaction(ticks).dropna(subset=["order_time", "price"])
+    usable = with_transaction(ticks).dropna(subset=[*STOCK_DAY, "order_time", "price"])
     seen = with_previous(
         usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", tick_slice(), hot_over, before
     )
