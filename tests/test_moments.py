@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 from statistics_by_hand import kurtosis, skewness, spread
 
 from tickwright.operators.levels import price_levels
-from tickwright.operators.moments import moment_sums, weighted_moments, with_moments
+from tickwright.operators.moments import (
+    moment_sums,
+    weighted_moments,
+    with_moment_terms,
+    with_moments,
+)
 from tickwright.schemas import STOCK_DAY
 from tickwright.sources.events import event_ticks, lineitem_ticks
 
@@ -15,7 +20,8 @@ def check(spark, books, tolerance=1e-8):
     rows = [(code, p, v) for code, book in books.items() for p, v in book]
     table = levels(spark, rows)
     pivoted = table.withColumn("open", F.expr("CAST(7 AS DECIMAL(10,2))"))
-    sums = pivoted.groupBy(*STOCK_DAY, "open").agg(*moment_sums("open")).where("tn > 0")
+    terms = with_moment_terms(pivoted.where("price IS NOT NULL"), "open")
+    sums = terms.groupBy(*STOCK_DAY, "open").agg(*moment_sums())
     for result in (weighted_moments(table, STOCK_DAY), with_moments(sums, "open")):
         found = by_code(result)
         assert set(found) == {c for c, book in books.items() if sum(max(v, 0) for _, v in book)}

@@ -20,39 +20,47 @@ def _base(pivot: str | None) -> str:
     return cents(pivot) if pivot else "0L"
 
 
-def moment_sums(pivot: str | None = None) -> list[Column]:
-    """Power sums of the prices, taken from ``pivot`` (a price fixed per key) or from zero.
+def with_moment_terms(levels: DataFrame, pivot: str | None = None) -> DataFrame:
+    """Add what each level gives to the power sums, taken from ``pivot`` or from zero.
 
-    ``n`` counts shares and ``s1`` to ``s4`` are the sums; ``t...`` leave out volumes that are not
-    positive. The double sums ``f...`` serve only a stock-day whose whole-number sums do not fit.
+    ``pivot`` is a price that is the same for all levels of a key. Each power comes from the one
+    before by one product. A whole-number product that does not fit is null.
     """
-    volume = "coalesce(volume_sum, 0)"
-    traded = f"greatest({volume}, 0)"
-    distance = f"({cents('price')} - {_base(pivot)})"
-    step = f"CAST({distance} AS DECIMAL(11,0))"
-    square = f"({step} * {step})"
-    powers = {
-        1: step,
-        2: square,
-        3: f"({square} * {step})",
-        4: f"try_multiply({square}, {square})",
+    terms = levels.selectExpr(
+        "*",
+        "coalesce(volume_sum, 0) AS shares",
+        f"{cents('price')} - {_base(pivot)} AS distance",
+    )
+    for power in (1, 2, 3, 4):
+        whole = "CAST(shares AS DECIMAL(20,0))" if power == 1 else f"x{power - 1}"
+        rough = "CAST(shares AS DOUBLE)" if power == 1 else f"y{power - 1}"
+        product = f"try_multiply({whole}, CAST(distance AS DECIMAL(11,0)))"
+        terms = terms.selectExpr(
+            "*",
+            f"CAST({product} AS DECIMAL(38,0)) AS x{power}",
+            f"{rough} * CAST(distance AS DOUBLE) AS y{power}",
+        )
+    return terms
+
+
+def moment_sums() -> list[Column]:
+    """Power sums of levels that carry the terms.
+
+    ``n`` counts shares and ``s1`` to ``s4`` are the sums; ``n...`` are the parts of them that come
+    from negative volumes, which the spread leaves out. The double sums ``f...`` serve only a key
+    whose whole-number sums do not fit.
+    """
+    texts = {"n": "sum(shares)", "nn": "sum(least(shares, 0))"}
+    texts |= {f"s{k}": f"CAST(try_sum(x{k}) AS DECIMAL(38,0))" for k in (1, 2, 3, 4)}
+    texts |= {f"f{k}": f"sum(y{k})" for k in (2, 3, 4)}
+    below = "CASE WHEN shares < 0 THEN {0} ELSE 0 END"
+    texts |= {
+        f"ns{k}": f"CAST(try_sum({below.format(f'x{k}')}) AS DECIMAL(38,0))" for k in (1, 2)
     }
-
-    def whole(weight: str, power: int) -> str:
-        product = f"try_multiply(CAST({weight} AS DECIMAL(20,0)), {powers[power]})"
-        return f"CAST(try_sum({product}) AS DECIMAL(38,0))"
-
-    def rough(weight: str, power: int) -> str:
-        return f"sum({weight} * power(CAST({distance} AS DOUBLE), {power}D))"
-
-    texts = {"n": f"sum({volume})", "tn": f"sum({traded})"}
-    texts |= {f"s{k}": whole(volume, k) for k in (1, 2, 3, 4)}
-    texts |= {f"ts{k}": whole(traded, k) for k in (1, 2)}
-    texts |= {f"f{k}": rough(volume, k) for k in (2, 3, 4)}
     texts |= {
-        "tf2": rough(traded, 2),
-        "reach": f"max(abs({distance}))",
-        "mass": f"sum(CAST(abs({volume}) AS DOUBLE))",
+        "nf2": f"sum({below.format('y2')})",
+        "reach": "max(abs(distance))",
+        "mass": "sum(CAST(abs(shares) AS DOUBLE))",
     }
     return [F.expr(text).alias(name) for name, text in texts.items()]
 
@@ -69,6 +77,8 @@ def _moved(sums: list[str], by: str, order: int) -> str:
 def with_moments(sums: DataFrame, pivot: str | None = None) -> DataFrame:
     """Replace the power sums by ``price_std``, ``price_skewness`` and ``price_kurtosis``.
 
+    Keys without positive volume have no spread and are left out.
+
     Rounding follows each statistic's definition step by step: the mean, the variance, the root and
     each quotient are rounded (10 decimals for the spread, 8 for the other two). The spread divides
     by all shares and leaves out volumes that are not positive; the other two take the variance over
@@ -77,6 +87,9 @@ def with_moments(sums: DataFrame, pivot: str | None = None) -> DataFrame:
     """
     base = _base(pivot)
     kept = [c for c in sums.columns if c not in _SUM_COLUMNS]
+    sums = sums.where("n - nn > 0").selectExpr(
+        "*", "n - nn AS tn", "s1 - ns1 AS ts1", "s2 - ns2 AS ts2", "f2 - nf2 AS tf2"
+    )
     for step in (_nearest(base), _left(base), _CENTRAL, _ROUNDED, _ROOTED):
         sums = sums.selectExpr("*", *[f"{text} AS {name}" for name, text in step.items()])
     return sums.selectExpr(*kept, *[f"{text} AS {name}" for name, text in _STATISTICS.items()])
@@ -131,7 +144,7 @@ _ROUNDED = {
     "var8": "round(c2 / 1e4D / nullif(n - 1, 0), 8)",
     "m3": "round(c3 / 1e6D / nullif(n, 0), 8)",
     "m4": "round(c4 / 1e8D / nullif(n, 0), 8)",
-    "shares": "CAST(n AS DOUBLE)",
+    "volume_n": "CAST(n AS DOUBLE)",
 }
 
 _ROOTED = {"sd": f"CASE WHEN var8 IS NULL THEN 0D ELSE {settled_root('var8', 8)} END"}
@@ -139,18 +152,18 @@ _ROOTED = {"sd": f"CASE WHEN var8 IS NULL THEN 0D ELSE {settled_root('var8', 8)}
 _STATISTICS = {
     "price_std": settled_root("var10", 10),
     "price_skewness": "CASE WHEN n < 3 OR sd = 0 THEN 0D ELSE round(m3 / (sd * sd * sd), 8) "
-    "* round(shares / ((shares - 1) * (shares - 2)), 8) END",
+    "* round(volume_n / ((volume_n - 1) * (volume_n - 2)), 8) END",
     "price_kurtosis": "CASE WHEN sd = 0 THEN 0D ELSE round(m4 / (sd * sd * sd * sd), 8) - 3 END",
 }
 
-_SUM_COLUMNS = {"n", "tn", "reach", "mass", "tf2", "ts1", "ts2"} | {
+_SUM_COLUMNS = {"n", "nn", "ns1", "ns2", "nf2", "reach", "mass"} | {
     f"{kind}{k}" for kind in "sf" for k in (1, 2, 3, 4)
 }
 
 
 def weighted_moments(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Spread, skewness and kurtosis per key. A key without positive volume has no spread: no row."""
-    sums = levels.where(F.col("price").isNotNull()).groupBy(*keys).agg(*moment_sums())
-    return with_moments(sums.where("tn > 0")).select(
+    terms = with_moment_terms(levels.where(F.col("price").isNotNull()))
+    return with_moments(terms.groupBy(*keys).agg(*moment_sums())).select(
         *keys, "price_std", "price_skewness", "price_kurtosis"
     )

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickwright.functions import day_key, without_suffix
 from tickwright.operators.bands import band_index, band_sums, with_band_ratios
-from tickwright.operators.moments import moment_sums, with_moments
+from tickwright.operators.moments import moment_sums, with_moment_terms, with_moments
 from tickwright.operators.totals import total_sums, with_averages
 from tickwright.plans.opening import with_open_close
 from tickwright.schemas import BANDS, FEATURES, STOCK_DAY
@@ -25,16 +25,16 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
     )
     days = with_open_close(days, edges, STOCK_DAY).drop(*STOCK_DAY)
 
-    opened = levels.join(days, _DAY).withColumn(
+    opened = with_moment_terms(levels.join(days, _DAY), "start_price").withColumn(
         "band", band_index("price", "down_limit", "up_limit")
     )
     sums = opened.groupBy(*_DAY, "up_limit", "down_limit", "start_price", "end_price").agg(
         *total_sums(),
-        *moment_sums("start_price"),
+        *moment_sums(),
         *band_sums("band", "volume_sum"),
     )
-    rows = sums.where(~F.col("damaged") & (F.col("tn") > 0)).drop("damaged")
-    rows = with_band_ratios(with_averages(with_moments(rows, "start_price")), "volume")
+    rows = with_moments(sums.where(~F.col("damaged")).drop("damaged"), "start_price")
+    rows = with_band_ratios(with_averages(rows), "volume")
     rows = rows.withColumns(
         {
             "ticket_code": F.col("ts_code"),

@@ -13,6 +13,8 @@ def build_session(app: str = "tickwright", master: str | None = None, **conf) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Levels meet their day's prices by hash, without being sorted, where each part is small.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
