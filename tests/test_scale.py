@@ -6,7 +6,7 @@ import pytest
 
 from tickwright.checks.queries import QUERIES
 from tickwright.operators.levels import open_close, price_levels
-from tickwright.operators.previous import hot_keys
+from tickwright.operators.previous import keys_over
 from tickwright.plans import updown_day
 from tickwright.schemas import STOCK_DAY
 from tickwright.sources.events import coarse, event_ticks
@@ -55,11 +55,11 @@ def test_one_shuffle_of_the_levels(spark, sf_dir):
 
 def test_hot_list_is_broadcast_only_with_a_bound(spark, sf_dir):
     ticks = coarse(event_ticks(spark, sf_dir))
-    bounded = ticks.join(hot_keys(ticks, STOCK_DAY, 2_000_000), STOCK_DAY, "left")
+    bounded = ticks.join(keys_over(ticks, STOCK_DAY, 2_000_000, "hot"), STOCK_DAY, "left")
     assert "BroadcastHashJoin" in plan_of(bounded)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        unbounded = ticks.join(hot_keys(ticks, STOCK_DAY, 10), STOCK_DAY, "left")
+        unbounded = ticks.join(keys_over(ticks, STOCK_DAY, 10, "hot"), STOCK_DAY, "left")
         assert "BroadcastHashJoin" not in plan_of(unbounded)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -3,10 +3,11 @@
 import random
 from datetime import date, timedelta
 
+import pytest
 from frames import DAY, ticks
 from pyspark.sql import functions as F
 
-from tickwright.operators import changes as changes_module
+from tickwright.operators import changes as changes_module, previous
 from tickwright.operators.carry import apply_starts, bars_in_order, carry_forward
 from tickwright.operators.changes import last_prices, price_changes
 from tickwright.operators.runs import accumulate, merge_runs, run_rows
@@ -57,8 +58,10 @@ def test_ties_and_nulls(spark):
     assert [int(r.price) for r in got] == [10, 11]
 
 
-def test_slices_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("crowd", [0.3, 50])
+def test_slices_change_nothing(spark, monkeypatch, crowd):
     monkeypatch.setattr(changes_module, "_ID_BLOCK", 50)
+    monkeypatch.setattr(previous, "CROWD", crowd)
     seconds = [f"09:3{i}:{j:02d}" for i in range(3) for j in range(0, 60, 20)]
     finer = ["09:30:00", "09:30:00.1", "09:30:00.25", "09:30:01", "9"]
     for stamps in (seconds, ["15:00:00"], finer):
@@ -143,6 +146,7 @@ def test_sliced_carry(spark, monkeypatch):
     from tickwright.operators import carry
 
     monkeypatch.setattr(carry, "_ID_BLOCK", 10)
+    monkeypatch.setattr(previous, "CROWD", 0.1)
     chance = random.Random(4)
     rows = [
         (i, chance.choice("aab"), DAY + timedelta(chance.randrange(9)), 1.0, float(i))

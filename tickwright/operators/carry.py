@@ -23,10 +23,8 @@ def carry_forward(bars: DataFrame, *, hot_over: int = HOT_ROWS) -> DataFrame:
     """
     bars = bars.select(*BARS.names)
     filled = bars.dropna(subset=["code"]).fillna(0.0, ["start", "end"])
-    slice_of = F.struct(
-        F.col("date"), F.floor(F.col("id") / F.lit(float(_ID_BLOCK))).alias("block")
-    )
-    seen = with_previous(filled, ["code"], ["date", "id"], "end", slice_of, hot_over)
+    cuts = (F.col("date"), F.floor(F.col("id") / F.lit(float(_ID_BLOCK))))
+    seen = with_previous(filled, ["code"], ["date", "id"], "end", cuts, hot_over)
     carried = seen.withColumn("start", F.coalesce("previous", "start")).select(*BARS.names)
     return carried.unionByName(bars.where(F.col("code").isNull()))
 

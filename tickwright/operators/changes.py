@@ -15,18 +15,20 @@ _SECOND = 8
 _ID_BLOCK = 1_000_000
 
 
-def tick_slice() -> Column:
-    """A cut that follows (order_time, tran_id), times being compared as text.
+def tick_cuts() -> tuple[Column, Column]:
+    """Cuts that follow (order_time, tran_id), times being compared as text: by second, by time.
 
-    Within one second the ticks that show nothing finer come first and are in id order; the others
-    follow.
+    Ticks that show the same time and nothing finer than the second are cut by blocks of ids.
     """
     time = F.col("order_time")
     block = F.floor(F.col("tran_id") / F.lit(float(_ID_BLOCK)))
-    return F.struct(
+    whole_second = F.length(time) <= _SECOND
+    coarse = F.struct(
         F.left(time, F.lit(_SECOND)).alias("second"),
-        F.when(F.length(time) <= _SECOND, block).otherwise(F.lit(2**63 - 1)).alias("block"),
+        # Within a second, the ticks that show nothing finer come first.
+        F.when(whole_second, block).otherwise(F.lit(2**63 - 1)).alias("block"),
     )
+    return coarse, F.struct(time.alias("time"), block.alias("block"))
 
 
 def price_changes(
@@ -43,7 +45,7 @@ def price_changes(
     """
     usable = with_transaction(ticks).dropna(subset=[*STOCK_DAY, "order_time", "price"])
     seen = with_previous(
-        usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", tick_slice(), hot_over, before
+        usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", tick_cuts(), hot_over, before
     )
     changed = F.col("previous").isNull() | (F.col("previous") != F.col("price"))
     rows = seen.where(changed).withColumn("sum", amount(F.col("price"), F.col("volume")))

@@ -1,27 +1,30 @@
 """The previous row's value within a key, also where one key holds much of the data.
 
 ``lag`` sorts a whole key in one task. A key with more rows than ``hot_over`` is cut into slices that
-follow the order, so each slice is sorted by its own task, and the last value before each slice is
-put in front of it as an extra row. The result is that of a plain ``lag``.
+follow the order, and a slice that is still crowded into finer ones, so each is sorted by its own task.
+The last value before each slice is put in front of it as an extra row. The result is that of a plain
+``lag``.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HOT_ROWS = 2_000_000
 
+# A slice is cut finer when it has this many times the rows that make a key hot.
+CROWD = 50
+
 # Below this the list of hot keys has no useful size bound, so it is not forced to be broadcast.
 _BROADCAST_FROM = 1_000_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_over: int) -> DataFrame:
-    """Keys with more than ``hot_over`` rows: at most one per ``hot_over`` rows of the input.
+def keys_over(df: DataFrame, keys: list[str], rows: int, flag: str) -> DataFrame:
+    """Keys with more than ``rows`` rows, flagged: at most one per ``rows`` rows of the input.
 
     At 10^12 rows and the default that is 500,000 short rows, which is what makes it safe to broadcast.
     """
-    named = df.dropna(subset=keys)
-    counted = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
-    hot = counted.where(F.col("rows_of_key") > hot_over).select(*keys, F.lit(True).alias("hot"))
-    return F.broadcast(hot) if hot_over >= _BROADCAST_FROM else hot
+    counted = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
+    over = counted.where(F.col("rows_of_key") > rows).select(*keys, F.lit(True).alias(flag))
+    return F.broadcast(over) if rows >= _BROADCAST_FROM else over
 
 
 def with_previous(
@@ -29,31 +32,35 @@ def with_previous(
     keys: list[str],
     order: list[str],
     value: str,
-    slice_of: Column,
+    cuts: tuple[Column, Column],
     hot_over: int = HOT_ROWS,
     before: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``previous``: the ``value`` of the row before, null for the first of its key.
 
-    ``value`` and ``order`` hold no nulls, and ``slice_of`` never decreases along ``order``.
-    ``before`` may give, per key, the value that came before the first row (columns: the keys and
-    ``value``).
+    ``value`` and ``order`` hold no nulls. ``cuts`` are a coarse cut, which never decreases along
+    ``order``, and a fine one, which never does within a coarse slice. ``before`` may give, per key,
+    the value that came before the first row (columns: the keys and ``value``).
     """
-    hot = hot_keys(df, keys, hot_over)
-    sliced = (
-        df.join(hot, keys, "left")
-        .withColumns({"slice": F.when(F.col("hot"), slice_of), "extra": F.lit(False)})
-        .drop("hot")
+    coarse, fine = cuts
+    hot = keys_over(df, keys, hot_over, "hot")
+    cut = df.join(hot, keys, "left").withColumn("coarse", F.when(F.col("hot"), coarse))
+    crowded = keys_over(
+        df.join(hot, keys).select(*keys, coarse.alias("coarse")),
+        [*keys, "coarse"],
+        CROWD * hot_over,
+        "crowded",
     )
-
-    ends = (
-        df.join(hot, keys)
-        .groupBy(*keys, slice_of.alias("slice"))
-        .agg(F.max_by(value, F.struct(*order)).alias(value))
+    finest = F.struct("coarse", F.when(F.col("crowded"), fine).alias("fine"))
+    cut = cut.join(crowded, [*keys, "coarse"], "left").withColumn(
+        "slice", F.when(F.col("hot"), finest)
     )
+
+    ends = cut.where("hot").groupBy(*keys, "slice")
+    ends = ends.agg(F.max_by(value, F.struct(*order)).alias(value))
     if before is not None:
         seeds = before.join(hot, keys, "left").withColumn(
-            "slice", F.lit(None).cast(sliced.schema["slice"].dataType)
+            "slice", F.lit(None).cast(cut.schema["slice"].dataType)
         )
         ends = ends.unionByName(seeds.where("hot").drop("hot"))
     along = Window.partitionBy(*keys).orderBy(F.col("slice").asc_nulls_first())
@@ -62,8 +69,10 @@ def with_previous(
         extras = extras.unionByName(seeds.where("hot IS NULL").drop("hot"))
 
     # The extra rows have no order values, so they come first.
-    extras = extras.withColumn("extra", F.lit(True))
-    rows = sliced.unionByName(extras, allowMissingColumns=True)
+    rows = (
+        cut.select(*df.columns, "slice", F.lit(False).alias("extra"))
+        .unionByName(extras.withColumn("extra", F.lit(True)), allowMissingColumns=True)
+    )
     within = Window.partitionBy(*keys, "slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     return (
         rows.withColumn("previous", F.lag(value).over(within))
