@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tickwright.llm.chat import format_conversations, read_back
 from tickwright.llm.classifier import score_documents
 from tickwright.llm.licenses import scan_licenses
+from tickwright.llm.minhash import near_duplicates
 from tickwright.llm.packing import pack_documents
 from tickwright.llm.quality_rules import quality_rules
 from tickwright.llm.sharding import shard_documents
@@ -39,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, _table(spark, sf_dir, "documents"), size=2)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(spark, _table(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
     "op3_license_scan": op3_license_scan,
+    "op7_minhash_dedup": op7_minhash_dedup,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_quality_classifier": op10_quality_classifier,
