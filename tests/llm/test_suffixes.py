@@ -1,0 +1,112 @@
+"""Repeated byte strings against all strings of the length."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tests.llm import brute
+from tickwright.llm import suffixes
+from tickwright.llm.suffixes import COVERS, Blocks, cover_for, cut_text, repeated_spans, without_repeats
+
+DOCS = "doc_id long, text string, spans string, a string, _a string, n_chars long"
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame([(*r, "clash", "clash", "clash", 1) for r in rows], DOCS)
+
+
+def _check(spark, rows, length):
+    gone = brute.repeated_bytes([t for _, t in rows], length)
+    expected = []
+    for (doc_id, text), cut in zip(rows, gone):
+        raw = (text or "").encode()
+        spans = sum(i - 1 not in cut for i in cut)
+        kept = bytes(c for i, c in enumerate(raw) if i not in cut)
+        expected.append((doc_id, len(raw), len(cut), spans, hashlib.sha256(kept).hexdigest()))
+    found = [
+        (r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256)
+        for r in repeated_spans(spark, _frame(spark, rows), length).collect()
+    ]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("v", COVERS)
+def test_every_difference_has_one_pair(v):
+    cover = COVERS[v]
+    assert sorted((a - b) % v for a in cover for b in cover if a != b) == list(range(1, v))
+
+
+def _mixed_corpus(seed, length, alphabet):
+    rng = random.Random(seed)
+    draw = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    shared = [draw(rng.choice([length - 1, length, length + 1, length + 7, 3 * length])) for _ in range(6)]
+    texts = [None, "", "x", draw(length), draw(5 * length) * 2, "z" * (2 * length), "z" * (length - 1)]
+    for _ in range(40):
+        parts = [rng.choice([draw(rng.randrange(2 * length)), rng.choice(shared), rng.choice(shared)[: length // 2]]) for _ in range(5)]
+        texts.append("".join(parts))
+    texts += [texts[10]] * 3
+    for _ in range(6):  # near copies
+        copy = list(texts[12])
+        for _ in range(2):
+            copy[rng.randrange(len(copy))] = "#"
+        texts.append("".join(copy))
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize("seed,length,alphabet", [(1, 20, "abé"), (2, 45, "ab"), (3, 100, "abcdefgh"), (4, 400, "abcdefgh €")])
+def test_repeats_equal_all_strings(spark, seed, length, alphabet):
+    _check(spark, _mixed_corpus(seed, length, alphabet), length)
+
+
+def test_many_chunks_and_ids(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", (500, 500))
+    rows = _mixed_corpus(5, 60, "abcd")
+    rows = [(None if d % 7 == 0 else d // 2, t) for d, t in rows]
+    _check(spark, rows, 60)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("ab", max_size=60), min_size=1, max_size=8), st.sampled_from([9, 12, 22]))
+def test_steps_on_any_texts(texts, length):
+    """The steps by hand, with one bucket and one chunk."""
+    import pandas as pd
+    import zstandard
+
+    zip_ = zstandard.ZstdCompressor()
+    unique = sorted(set(texts))
+    chunk = pd.DataFrame({"chunk": 0, "a": range(len(unique)), "b": 0, "z": [zip_.compress(t.encode()) for t in unique]})
+    blocks = Blocks(length, 1)
+
+    def each(rows, step):
+        return step(rows) if len(rows) else pd.DataFrame(columns=["chunk", "kind", "places"])
+
+    settled = each(each(each(blocks.name_samples(chunk), blocks.rank_samples), blocks.chain_ranks), blocks.settle)
+    open_ = settled[settled["kind"] == "compare"]
+    runs = each(blocks.contexts(chunk, open_), blocks.compare)
+    found = pd.concat([settled[settled["kind"] == "settled"], runs])
+    result = blocks.remove(chunk, found).set_index("a")
+    for k, cut in enumerate(brute.repeated_bytes(unique, length)):
+        spans = [(s["first"], s["after"]) for s in result.loc[k, "spans"]]
+        assert {i for a, b in spans for i in range(a, b)} == cut
+
+
+def test_no_documents(spark):
+    assert repeated_spans(spark, _frame(spark, [])).count() == 0
+
+
+def test_text_is_cut_at_whole_characters(spark):
+    assert cut_text("aébc", [{"first": 2, "after": 4}]) == "aéc"
+    assert cut_text("aé", [{"first": 1, "after": 2}]) == "aé"
+    assert cut_text("日本", [{"first": 0, "after": 6}]) == ""
+    passage = "".join(random.Random(3).choices("abcdefghé ", k=450))
+    rows = [(1, "one " + passage), (2, "two " + passage + " end"), (3, "same" * 150), (3, "same" * 150), (4, None), (5, "")]
+    found = without_repeats(spark, _frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in found if r.doc_id != 4) == [(1, "one"), (2, "two end"), (3, ""), (3, ""), (5, "")] or sorted(
+        (r.doc_id, r.text.strip()) for r in found if r.doc_id != 4
+    ) == [(1, "one"), (2, "two  end"), (3, ""), (3, ""), (5, "")]
+    assert [r.text for r in found if r.doc_id == 4] == [None]
+    assert all(r.spans == r.a == r["_a"] == "clash" and (r.text is None or r.n_chars == len(r.text)) for r in found)
+    assert cover_for(400)[0] == 133 and np.all(np.diff(cover_for(400)[1]) > 0)

@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwright.llm.chat import format_conversations, read_back
 from tickwright.llm.classifier import score_documents
@@ -11,6 +11,7 @@ from tickwright.llm.minhash import near_duplicates
 from tickwright.llm.packing import pack_documents
 from tickwright.llm.quality_rules import quality_rules
 from tickwright.llm.sharding import shard_documents
+from tickwright.llm.suffixes import repeated_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(spark, _table(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"), size=2)
 
@@ -60,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
     "op3_license_scan": op3_license_scan,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
