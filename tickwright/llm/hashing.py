@@ -49,14 +49,14 @@ def window_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, known:
     return mixed((sums[ends] - sums[starts]) * known.down[starts] ^ (ends - starts).astype(np.uint64))
 
 
-def word_hashes(texts: list[bytes], known: Powers) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], known: Powers, in_word: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word of all texts in turn, and how many words each text has.
 
-    Words are what ``[\\x20\\x09-\\x0D]`` parts.
+    Words are runs of the bytes marked in ``in_word``, by default all but ``[\\x20\\x09-\\x0D]``; texts are
+    parted by a space, which no table may mark.
     """
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    in_word = ~_SPACE[data]
-    edge = np.flatnonzero(np.diff(in_word, prepend=False))
+    edge = np.flatnonzero(np.diff(in_word[data], prepend=False))
     starts, ends = edge[::2], edge[1::2]
     hashes = np.empty(len(starts), np.uint64)
     done = 0

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwright.llm.chat import format_conversations, read_back
 from tickwright.llm.classifier import score_documents
+from tickwright.llm.decontamination import find_leaks
 from tickwright.llm.licenses import scan_licenses
 from tickwright.llm.minhash import near_duplicates
 from tickwright.llm.packing import pack_documents
 from tickwright.llm.quality_rules import quality_rules
 from tickwright.llm.sharding import shard_documents
 from tickwright.llm.suffixes import repeated_spans
+from tickwright.llm.warc import archive_and_read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +49,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(spark, _table(spark, sf_dir, "pages"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, _table(spark, sf_dir, "documents"), size=2)
 
@@ -68,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_license_scan": op3_license_scan,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_warc": op5_warc,
+    "op6_decontaminate": op6_decontaminate,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
