@@ -1,30 +1,62 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage works on all that the one before kept. ``run`` writes what a stage returns to the shared folder
+and hands it to the next as Parquet, so a lost executor costs at most a stage.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwright.llm.classifier import THRESHOLD, keep_by_quality
+from tickwright.llm.classifier import keep_by_quality
+from tickwright.llm.decontamination import without_leaks
+from tickwright.llm.minhash import keep_one_of_each
 from tickwright.llm.packing import pack_documents
+from tickwright.llm.suffixes import without_repeats
 from tickwright.session import shared_dir
 
-#: SQL has no classifier and no tokenizer.
+#: SQL has no classifier, no suffix order by bytes and no tokenizer.
 ORACLE_SQL = None
 
 
-def classified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return keep_by_quality(spark, docs, labels, threshold=THRESHOLD)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return keep_by_quality(spark, docs, _table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates by five-word shingles the smallest id stays."""
+    return keep_one_of_each(spark, docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur twice are cut out of all texts; a text may become empty."""
+    return without_repeats(spark, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return without_leaks(spark, docs, _table(spark, sf_dir, "benchmark"))
 
 
-def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, in sequences."""
     return pack_documents(docs)
 
 
-STAGES = [("quality classifier", classified), ("packing", packed)]
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("near-duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written to the shared folder and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = shared_dir(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickwright.llm.components import components
 from tickwright.llm.hashing import BASE, Powers, distinct_shingles, mixed
@@ -210,3 +210,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, p
         nameless.select(nothing.alias("doc_id"), F.col("n").alias("n_shingles"), nothing.alias("component_id"))
     )
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs, with all their columns, of the smallest id of each component.
+
+    Of rows that share an id one stays, if that id does; rows without an id all stay.
+    """
+    decided = near_duplicates(spark, docs, size, percent)
+    staying = decided.groupBy("doc_id").agg(F.max("kept").alias("stays")).where("stays AND doc_id IS NOT NULL")
+    # The row travels as one column, so that no name of docs can clash.
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    named = rows.join(staying, F.col("id") == F.col("doc_id"))
+    first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("row.text")))
+    one = named.withColumn("first", first).where("first = 1").select("row")
+    nameless = rows.where("id IS NULL").select("row")
+    return one.unionByName(nameless).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
