@@ -41,7 +41,7 @@ def _conversations(spark):
 @pytest.mark.parametrize("budget,history,least", [(2048, 512, 512), (100, 30, 20), (64, 0, 1)])
 def test_chat_windows_give_back_every_turn_and_loss_text(spark, budget, history, least):
     rows, frame = _conversations(spark)
-    windows = format_conversations(frame, budget, history, least).cache()
+    windows = format_conversations(spark, frame, budget, history, least).cache()
     found = {r.conv_id: r for r in read_back(windows).collect()}
     assert set(found) == {r[0] for r in rows}
     for conv, row in found.items():
@@ -62,7 +62,7 @@ def test_chat_windows_give_back_every_turn_and_loss_text(spark, budget, history,
 
 
 def test_chat_of_an_empty_table(spark):
-    assert read_back(format_conversations(spark.createDataFrame([], TURNS))).count() == 0
+    assert read_back(format_conversations(spark, spark.createDataFrame([], TURNS))).count() == 0
 
 
 def _texts():

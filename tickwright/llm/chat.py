@@ -6,7 +6,9 @@ before it, both repeated and without loss. No step holds a conversation in one t
 of its budget, and prefix sums are made over blocks of turns first.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from tickwright.session import shared_dir
 
 BUDGET = 2048
 HISTORY = 512
@@ -62,7 +64,11 @@ def _numbered(turns: DataFrame) -> DataFrame:
 
 
 def format_conversations(
-    conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, least_span: int = LEAST_SPAN
+    spark: SparkSession,
+    conversations: DataFrame,
+    budget: int = BUDGET,
+    history: int = HISTORY,
+    least_span: int = LEAST_SPAN,
 ) -> DataFrame:
     """Windows: conv_id, span, formatted, loss_spans, n_turns, n_repeated, tokens, over_budget.
 
@@ -71,6 +77,8 @@ def format_conversations(
     A turn alone larger than a span gets its own window, whole, marked ``over_budget`` if that is past the
     budget. A null role or text is an empty one, null conv_ids are one conversation, turns that are null come
     first, equal turns go by role and text, repeated rows stay. Other columns are left out.
+
+    The turns with their spans are kept in the shared folder, since four steps read them.
     """
     turns = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
@@ -93,7 +101,9 @@ def format_conversations(
     )
     at, last = F.floor(F.col("start") / F.col("cell")), F.floor((F.col("end") - 1) / F.col("cell"))
     crosses = (last > at) & (F.col("start") % F.col("cell") != 0) & ~F.col("system")
-    home = cut.withColumn("span", 2 * at + crosses.cast("long"))
+    path = shared_dir(spark, "turns")
+    cut.withColumn("span", 2 * at + crosses.cast("long")).write.parquet(path)
+    home = spark.read.parquet(path)
     spans = home.groupBy("conv_id", "span", "cell").agg(F.min("start").alias("span_start")).select(
         F.col("conv_id").alias("w_conv"),
         F.col("span").alias("w_span"),

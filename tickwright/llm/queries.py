@@ -32,7 +32,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id long, turn long, role string, text string",
     )
     conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return read_back(format_conversations(conversations.unionByName(said)))
+    return read_back(format_conversations(spark, conversations.unionByName(said)))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
