@@ -14,8 +14,9 @@ from tickwright.functions import (
     plain_long,
     plain_price,
     plain_statistic,
-    settled_root,
+    root_steps,
     tab_line,
+    whole_quotient,
     without_suffix,
 )
 
@@ -34,13 +35,22 @@ def test_half_up_ratio_is_exact(spark, scale):
         assert row.q == exact
 
 
-def test_settled_root(spark):
+def test_root_is_exact(spark):
     chance = random.Random(3)
-    values = [Decimal(chance.randint(1, 10 ** chance.randint(4, 13))).scaleb(-8) for _ in range(2000)]
-    df = spark.createDataFrame([(v,) for v in values] + [(Decimal(0),)], "v decimal(30,8)")
-    roots = df.select("v", F.expr(settled_root("CAST(v AS DOUBLE)", 8)).alias("root")).collect()
-    for row in roots:
-        assert abs(Decimal(row.root) - settled(row.v, 8)) < Decimal("1e-12")
+    steps = [chance.randint(1, 10 ** chance.randint(4, 26)) for _ in range(2000)]
+    steps += [k * k // 10**8 + d for k in (10**9 + 7, 10**12 + 9) for d in (-1, 0, 1)] + [1, 0, -5]
+    df = spark.createDataFrame([(Decimal(v),) for v in steps], "v decimal(38,0)")
+    for step in root_steps("root", "v", 8):
+        df = df.selectExpr("*", *[f"CAST({text} AS DECIMAL(38,0)) AS {name}" for name, text in step.items()])
+    for row in df.collect():
+        assert Decimal(row.root).scaleb(-8) == settled(row.v.scaleb(-8), 8)
+
+
+def test_whole_quotient(spark):
+    rows = [(7, 2), (-7, 2), (6, 3), (-6, 3), (10**31, 7), (-(10**37), 10**12), (0, 5)]
+    df = spark.createDataFrame([(Decimal(a), Decimal(b)) for a, b in rows], "a decimal(38,0), b decimal(38,0)")
+    found = [int(r[0]) for r in df.selectExpr(whole_quotient("a", "b")).collect()]
+    assert found == [a // b for a, b in rows]
 
 
 def test_parse_day(spark):

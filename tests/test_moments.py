@@ -1,35 +1,37 @@
 import random
 from decimal import Decimal
 
-from frames import by_code, levels
-from pyspark.sql import functions as F
+from frames import by_code, edges, levels, limits, listed
 from statistics_by_hand import kurtosis, skewness, spread
 
 from tickwright.operators.levels import price_levels
-from tickwright.operators.moments import (
-    moment_sums,
-    weighted_moments,
-    with_moment_terms,
-    with_moments,
-)
+from tickwright.operators.moments import weighted_moments
+from tickwright.plans import day_features
 from tickwright.schemas import STOCK_DAY
 from tickwright.sources.events import event_ticks, lineitem_ticks
 
 
-def check(spark, books, tolerance=1e-8):
-    rows = [(code, p, v) for code, book in books.items() for p, v in book]
-    table = levels(spark, rows)
-    pivoted = table.withColumn("open", F.expr("CAST(7 AS DECIMAL(10,2))"))
-    terms = with_moment_terms(pivoted.where("price IS NOT NULL"), "open")
-    sums = terms.groupBy(*STOCK_DAY, "open").agg(*moment_sums())
-    for result in (weighted_moments(table, STOCK_DAY), with_moments(sums, "open")):
-        found = by_code(result)
-        assert set(found) == {c for c, book in books.items() if sum(max(v, 0) for _, v in book)}
-        for code, row in found.items():
-            book = [(Decimal(str(p)), v) for p, v in books[code]]
-            assert abs(Decimal(row.price_std) - spread(book)) <= tolerance, code
-            assert abs(Decimal(row.price_skewness) - skewness(book)) <= tolerance, code
-            assert abs(Decimal(row.price_kurtosis) - kurtosis(book)) <= tolerance, code
+def same(row, book):
+    """The spread to its tenth decimal; the other two to their eighth, after products of doubles."""
+    assert row.price_std == float(spread(book))
+    for found, wanted in ((row.price_skewness, skewness(book)), (row.price_kurtosis, kurtosis(book))):
+        assert abs(Decimal(found) - wanted) <= Decimal("1e-12") * max(1, abs(wanted))
+
+
+def check(spark, books):
+    """From the levels alone, and in a feature row of a day without ticks, which opens at 0."""
+    table = levels(spark, [(code, p, v) for code, book in books.items() for p, v in book])
+    wanted = {c for c, book in books.items() if sum(max(v, 0) for _, v in book)}
+    found = by_code(weighted_moments(table, STOCK_DAY))
+    days = limits(spark, [(c, 1, 2) for c in books])
+    rows = by_code(day_features(listed(table), edges(spark, [("other", 1, 1)]), days), "ticket_code")
+    assert set(found) == set(rows) == wanted
+    for code in wanted:
+        book = [(Decimal(str(p)), v) for p, v in books[code]]
+        same(found[code], book)
+        assert [rows[code][c] for c in ("price_std", "price_skewness", "price_kurtosis")] == [
+            found[code][c] for c in ("price_std", "price_skewness", "price_kurtosis")
+        ]
 
 
 def test_random_books(spark):
@@ -64,12 +66,31 @@ def test_no_volume_no_row(spark):
     assert set(by_code(weighted_moments(table, STOCK_DAY))) == {"b"}
 
 
-def test_prices_beyond_whole_numbers(spark):
-    """A wrong price of 99,999,999.99 leaves the whole-number range; doubles take over."""
+def test_high_prices(spark):
+    """High prices and large volumes, where doubles far from the mean would lose everything."""
+    check(
+        spark,
+        {
+            "tens": [(600_000, 1_000_000), (600_010, 500_000), (600_050, 500_000)],
+            "cents": [("600000.00", 1_000_000), ("600000.10", 500_000), ("600000.50", 500_000)],
+            "wide": [(1_000_000, 100_000), (1_000_500, 60_000), (1_001_000, 40_000)],
+            "large": [("0.01", 9_000_000_000), ("0.02", 7_000_000_000), ("30.00", 123_456_789)],
+            "negative": [(10, 100), (12, -30), (15, 50)],
+        },
+    )
+
+
+def test_what_does_not_fit_is_null(spark):
+    """A wrong price of 99,999,999.99: the spread still fits, the other two need more than 38 digits."""
     book = [(Decimal("99999999.99"), 100), (Decimal("10.00"), 5000), (Decimal("10.50"), 900)]
-    row = by_code(weighted_moments(levels(spark, [("a", p, v) for p, v in book]), STOCK_DAY))["a"]
-    assert abs(row.price_std / float(spread(book)) - 1) < 1e-9
-    assert abs(row.price_kurtosis / float(kurtosis(book)) - 1) < 1e-6
+    rows = [("a", p, v) for p, v in book] + [("b", 10, 5), ("b", 11, 5), ("c", 10, 10**14), ("c", 11, 5)]
+    rows += [("d", "9000000.00", 2), ("d", "1.00", 3)]
+    found = by_code(weighted_moments(levels(spark, rows), STOCK_DAY))
+    assert found["a"].price_std == float(spread(book))
+    assert found["a"].price_skewness is None and found["a"].price_kurtosis is None
+    same(found["b"], [(Decimal(10), 5), (Decimal(11), 5)])
+    assert found["c"].price_std is None
+    assert found["d"].price_skewness is not None and found["d"].price_kurtosis is None
 
 
 def test_shared_tables(spark, sf_dir):
@@ -82,7 +103,4 @@ def test_shared_tables(spark, sf_dir):
         rows = weighted_moments(found, STOCK_DAY).collect()
         assert len(rows) == len([b for b in books.values() if sum(v for _, v in b) > 0])
         for row in rows:
-            book = books[row.order_code, row.order_date]
-            assert abs(Decimal(row.price_std) - spread(book)) <= 1e-8
-            assert abs(Decimal(row.price_skewness) - skewness(book)) <= 1e-8
-            assert abs(Decimal(row.price_kurtosis) - kurtosis(book)) <= 1e-8
+            same(row, books[row.order_code, row.order_date])

@@ -84,14 +84,23 @@ apart AS (
 powers AS (
   SELECT order_code, order_date, n, SUM(t) AS tn, SUM(v * d8 * d8) AS c2, SUM(v * d8 * d8 * d8) AS c3,
          SUM(v * d8 * d8 * d8 * d8) AS c4,
-         CAST(SUM(t) * SUM(CAST(c AS HUGEINT) * c * t) - SUM(c * t) * SUM(c * t) AS DOUBLE) / 1e4 AS t2
+         CAST(SUM(t) * SUM(CAST(c AS HUGEINT) * c * t) - SUM(c * t) * SUM(c * t) AS HUGEINT) AS t2
   FROM apart GROUP BY order_code, order_date, n HAVING SUM(t) > 0),
+settled AS (
+  SELECT *, CAST((2 * t2 * 1000000 + tn * tn) // (2 * tn * tn) AS HUGEINT) * 10000000000 AS square FROM powers),
+nearly AS (
+  SELECT *, CASE WHEN square = 0 THEN 0
+       ELSE (CAST(floor(sqrt(CAST(square AS DOUBLE))) AS HUGEINT) + square // CAST(floor(sqrt(CAST(square AS DOUBLE))) AS HUGEINT)) // 2
+       END AS near
+  FROM settled),
+stepped AS (SELECT *, CASE WHEN near * near > square THEN near - 1 ELSE near END AS low FROM nearly),
 rooted AS (
-  SELECT *, CASE WHEN n > 1 THEN floor(sqrt(greatest(round(c2 / (n - 1), 8), 0)) * 1e8 + 0.75) / 1e8 END AS sd
-  FROM powers),
+  SELECT *, CASE WHEN square > 0 AND 2 * square >= 2 * low * low + low THEN low + 1 ELSE low END AS steps,
+       CASE WHEN n > 1 THEN floor(sqrt(greatest(round(c2 / (n - 1), 8), 0)) * 1e8 + 0.75) / 1e8 END AS sd
+  FROM stepped),
 moments AS (
   SELECT order_code, order_date,
-         floor(sqrt(greatest(round(t2 / tn / tn, 10), 0)) * 1e10 + 0.75) / 1e10 AS price_std,
+         CAST(steps AS DOUBLE) / 1e10 AS price_std,
          CASE WHEN n < 3 OR sd = 0 THEN 0.0
               ELSE round(round(c3 / n, 8) / (sd * sd * sd), 8)
                    * round(CAST(n AS DOUBLE) / ((CAST(n AS DOUBLE) - 1) * (CAST(n AS DOUBLE) - 2)), 8)
@@ -270,8 +279,7 @@ ORACLE_SQL: dict[str, str] = {
        {_money('hi')} AS price_max, {_vwap('a', 'v')} AS avg_price, {_vwap('ua', 'uv')} AS up_price,
        {_vwap('da', 'dv')} AS down_price, {_money('hi - lo')} AS price_range FROM sums""",
     "weighted_moments": _with(_TICKS, _EVENT_LEVELS, _MEANS) + _MOMENT_COLUMNS,
-    "lineitem_moments": _with(_LINES, _LINE_LEVELS, _MEANS)
-    + _MOMENT_COLUMNS.replace("price_std,", "floor(price_std * 1e6 + 0.5) / 1e6 AS price_std,"),
+    "lineitem_moments": _with(_LINES, _LINE_LEVELS, _MEANS) + _MOMENT_COLUMNS,
     "price_bands": _with(_TICKS, _EVENT_LEVELS, _EVENT_LIMITS, _BANDS_CTE)
     + f"SELECT order_code || '.EV' AS ts_code, strftime(order_date, '%Y-%m-%d') AS trade_date, "
     f"CAST(n AS BIGINT) AS volume, {_BAND_COLUMNS} FROM banded",

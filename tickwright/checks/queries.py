@@ -169,9 +169,7 @@ def moments_of_events(spark, sf_dir):
 
 
 def moments_of_lineitem(spark, sf_dir):
-    """Prices in the thousands: the tenth decimal of the spread is more than a double can hold."""
-    moments = weighted_moments(price_levels(lineitem_ticks(spark, sf_dir)), STOCK_DAY)
-    return moments.withColumn("price_std", F.expr("CAST(floor(price_std * 1e6D + 0.5D) AS DOUBLE) / 1e6D"))
+    return weighted_moments(price_levels(lineitem_ticks(spark, sf_dir)), STOCK_DAY)
 
 
 def bands_of_events(spark, sf_dir):

@@ -1,4 +1,4 @@
-from tickwright.functions.arithmetic import amount, cents, half_up, half_up_ratio, settled_root
+from tickwright.functions.arithmetic import amount, cents, half_up, half_up_ratio, root_steps, whole_quotient
 from tickwright.functions.text import (
     clean_text,
     day_key,
@@ -21,7 +21,8 @@ __all__ = [
     "plain_long",
     "plain_price",
     "plain_statistic",
-    "settled_root",
+    "root_steps",
     "tab_line",
+    "whole_quotient",
     "without_suffix",
 ]

@@ -41,10 +41,28 @@ def half_up_ratio(num: str, den: str, scale: int, precision: int = 20) -> Column
     return F.expr(half_up(num, den, scale, precision))
 
 
-def settled_root(value: str, scale: int) -> str:
-    """SQL: square root on a grid of ``scale`` decimals, as averaging with half-up steps gives it.
+def whole_quotient(num: str, den: str) -> str:
+    """SQL: ``num / den`` of whole numbers, rounded down, up to 32 digits; ``den`` is positive.
 
-    Averaging ``x`` with ``value/x``, each rounded half up, comes to rest one step above the nearest
-    lower grid point as soon as the root is a quarter step past it, not a half step. 0 and less give 0.
+    ``div`` gives a long, which is too short here, and a decimal quotient is rounded. What is left over is
+    taken off first, so that the quotient is whole.
     """
-    return f"CAST(floor(sqrt(greatest({value}, 0D)) * 1e{scale}D + 0.75D) AS DOUBLE) / 1e{scale}D"
+    return f"CAST(({num} - pmod({num}, {den})) / {den} AS DECIMAL(38,0))"
+
+
+def root_steps(name: str, steps: str, scale: int) -> list[dict[str, str]]:
+    """SQL of columns, one after another: ``name`` is a square root on a grid of ``scale`` decimals, in steps.
+
+    ``steps`` is the square in steps of the same grid; 0 and less give 0. The result is that of averaging
+    ``x`` with ``value/x``, each rounded half up, which comes to rest one step above the nearest lower grid
+    point as soon as the root is a quarter step past it, not a half step. The root by doubles is made exact
+    by one whole-number step.
+    """
+    square, rough, near, low = (f"{name}_{part}" for part in ("square", "rough", "near", "low"))
+    return [
+        {square: f"greatest({steps}, 0) * {10**scale}"},
+        {rough: f"greatest(CAST(floor(sqrt(CAST({square} AS DOUBLE))) AS DECIMAL(19,0)), 1)"},
+        {near: f"floor(({rough} + {whole_quotient(square, rough)}) / 2)"},
+        {low: f"CASE WHEN {near} * {near} > {square} THEN {near} - 1 ELSE {near} END"},
+        {name: f"CASE WHEN {square} > 0 AND 2 * {square} >= 2 * {low} * {low} + {low} THEN {low} + 1 ELSE {low} END"},
+    ]

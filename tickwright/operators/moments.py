@@ -1,169 +1,186 @@
 """Volume-weighted spread, skewness and kurtosis of the prices of a stock-day.
 
-The three statistics are central moments, so the plain way is a second pass around the mean. Here
-one pass of power sums is enough: they add up before the shuffle, need no window, and are kept as
-whole numbers (hundredths to the fourth power times shares), so moving them to the mean afterwards
-loses nothing. Only then are they turned into doubles.
+The three statistics are central moments of prices in whole hundredths. Power sums are taken from the lowest
+price of the key, so they are as small as the key's range of prices allows, and kept as whole numbers. Moving
+them to the mean and rounding are whole-number arithmetic too, down to the spread's tenth decimal. A key whose
+sums would need more than 38 digits has no statistic: it is null, not a rough number.
 """
 
 from math import comb
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tickwright.functions import cents, half_up, settled_root
+from tickwright.functions import cents, root_steps, whole_quotient
 
-# Whole-number sums hold 38 digits. The margin covers the binomial terms of the move to the mean.
-EXACT_LIMIT = "1e36D"
+_POWERS = (1, 2, 3, 4)
+_WHOLE = "DECIMAL(38,0)"
 
 
-def _base(pivot: str | None) -> str:
-    return cents(pivot) if pivot else "0L"
+def with_moment_terms(levels: DataFrame, keys: list[str]) -> DataFrame:
+    """Add what each level gives to the power sums, taken from the key's lowest price.
 
-
-def with_moment_terms(levels: DataFrame, pivot: str | None = None) -> DataFrame:
-    """Add what each level gives to the power sums, taken from ``pivot`` or from zero.
-
-    ``pivot`` is a price that is the same for all levels of a key. Each power comes from the one
-    before by one product. A whole-number product that does not fit is null.
+    Levels are brought together by key for this, which the aggregate after it needs anyway. Each power comes
+    from the one before by one product; one that does not fit is null.
     """
-    terms = levels.selectExpr(
+    lowest = F.min("price").over(Window.partitionBy(*keys))
+    terms = levels.withColumn("lowest", lowest).selectExpr(
         "*",
         "coalesce(volume_sum, 0) AS shares",
-        f"{cents('price')} - {_base(pivot)} AS distance",
+        f"{cents('price')} - {cents('lowest')} AS distance",
     )
-    for power in (1, 2, 3, 4):
-        whole = "CAST(shares AS DECIMAL(20,0))" if power == 1 else f"x{power - 1}"
-        rough = "CAST(shares AS DOUBLE)" if power == 1 else f"y{power - 1}"
-        product = f"try_multiply({whole}, CAST(distance AS DECIMAL(11,0)))"
-        terms = terms.selectExpr(
-            "*",
-            f"CAST({product} AS DECIMAL(38,0)) AS x{power}",
-            f"{rough} * CAST(distance AS DOUBLE) AS y{power}",
-        )
+    for power in _POWERS:
+        before = "CAST(shares AS DECIMAL(20,0))" if power == 1 else f"x{power - 1}"
+        product = f"try_multiply({before}, CAST(distance AS DECIMAL(11,0)))"
+        terms = terms.selectExpr("*", f"CAST({product} AS {_WHOLE}) AS x{power}")
     return terms
 
 
-def moment_sums() -> list[Column]:
+def moment_sums() -> list:
     """Power sums of levels that carry the terms.
 
-    ``n`` counts shares and ``s1`` to ``s4`` are the sums; ``n...`` are the parts of them that come
-    from negative volumes, which the spread leaves out. The double sums ``f...`` serve only a key
-    whose whole-number sums do not fit.
+    ``n`` counts shares and ``s1`` to ``s4`` are the sums; ``t``, ``t1`` and ``t2`` are the same without
+    negative volumes, which the spread leaves out. ``reach`` and ``mass`` tell what fits.
     """
-    texts = {"n": "sum(shares)", "nn": "sum(least(shares, 0))"}
-    texts |= {f"s{k}": f"CAST(try_sum(x{k}) AS DECIMAL(38,0))" for k in (1, 2, 3, 4)}
-    texts |= {f"f{k}": f"sum(y{k})" for k in (2, 3, 4)}
-    below = "CASE WHEN shares < 0 THEN {0} ELSE 0 END"
-    texts |= {
-        f"ns{k}": f"CAST(try_sum({below.format(f'x{k}')}) AS DECIMAL(38,0))" for k in (1, 2)
-    }
+    above = "CASE WHEN shares > 0 THEN {0} ELSE 0 END"
+    texts = {"n": "sum(shares)", "t": f"sum({above.format('shares')})"}
+    texts |= {f"s{k}": f"CAST(try_sum(x{k}) AS {_WHOLE})" for k in _POWERS}
+    texts |= {f"t{k}": f"CAST(try_sum({above.format(f'x{k}')}) AS {_WHOLE})" for k in (1, 2)}
     texts |= {
-        "nf2": f"sum({below.format('y2')})",
-        "reach": "max(abs(distance))",
+        "reach": "CAST(max(distance) AS DOUBLE)",
         "mass": "sum(CAST(abs(shares) AS DOUBLE))",
     }
     return [F.expr(text).alias(name) for name, text in texts.items()]
 
 
-def _moved(sums: list[str], by: str, order: int) -> str:
+def _moved(count: str, sums: list[str], by: str, order: int) -> str:
     """SQL: the power sum of the given order after every value has been lowered by ``by``."""
     terms = []
-    for j, total in enumerate(sums[: order + 1]):
-        factor = (-1) ** (order - j) * comb(order, j)
-        terms.append(" * ".join([str(factor), total, *[by] * (order - j)]))
-    return "(" + " + ".join(terms) + ")"
-
-
-def with_moments(sums: DataFrame, pivot: str | None = None) -> DataFrame:
-    """Replace the power sums by ``price_std``, ``price_skewness`` and ``price_kurtosis``.
-
-    Keys without positive volume have no spread and are left out.
-
-    Rounding follows each statistic's definition step by step: the mean, the variance, the root and
-    each quotient are rounded (10 decimals for the spread, 8 for the other two). The spread divides
-    by all shares and leaves out volumes that are not positive; the other two take the variance over
-    one share less. Skewness is multiplied by ``V/((V-1)(V-2))`` on top of dividing by ``V``. A
-    variance that rounds to zero gives 0.
-    """
-    base = _base(pivot)
-    kept = [c for c in sums.columns if c not in _SUM_COLUMNS]
-    sums = sums.where("n - nn > 0").selectExpr(
-        "*", "n - nn AS tn", "s1 - ns1 AS ts1", "s2 - ns2 AS ts2", "f2 - nf2 AS tf2"
-    )
-    for step in (_nearest(base), _left(base), _CENTRAL, _ROUNDED, _ROOTED):
-        sums = sums.selectExpr("*", *[f"{text} AS {name}" for name, text in step.items()])
-    return sums.selectExpr(*kept, *[f"{text} AS {name}" for name, text in _STATISTICS.items()])
-
+    for j, total in enumerate([count, *sums][: order + 1]):
+        terms.append(" * ".join([f"{(-1) ** (order - j) * comb(order, j)}", total, *[by] * (order - j)]))
+    return f"CAST({' + '.join(terms)} AS {_WHOLE})"
 
-def _nearest(base: str) -> dict[str, str]:
-    """The whole hundredth next to the mean, and the sums taken from zero."""
 
-    def near(first: str, shares: str) -> str:
-        return f"CAST(round(CAST({first} AS DOUBLE) / nullif(CAST({shares} AS DOUBLE), 0D)) AS BIGINT)"
+def _half_up(whole: str, part: str, of: str) -> str:
+    """SQL: ``whole`` plus the share ``part`` of ``of``, 0 to 1, rounded half up, away from zero."""
+    return f"{whole} + CASE WHEN {part} > {of} - {part} OR ({part} = {of} - {part} AND {whole} >= 0) THEN 1 ELSE 0 END"
 
-    def from_zero(first: str, shares: str) -> str:
-        moved = f"CAST({base} AS DECIMAL(11,0)) * CAST({shares} AS DECIMAL(20,0))"
-        return f"CAST({first} + {moved} AS DECIMAL(38,0))"
-
-    return {
-        "exact": f"power(CAST(reach AS DOUBLE), 4D) * mass < {EXACT_LIMIT}",
-        "near": near("s1", "n"),
-        "t_near": near("ts1", "tn"),
-        "z1": from_zero("s1", "n"),
-        "tz1": from_zero("ts1", "tn"),
-    }
 
+def _divided(name: str, top: str, bottom: str) -> dict[str, str]:
+    """Columns ``name`` and ``name_left``: the whole quotient, downwards, and what is left of it."""
+    return {name: whole_quotient(top, bottom), f"{name}_left": f"CAST(pmod({top}, {bottom}) AS {_WHOLE})"}
 
-def _left(base: str) -> dict[str, str]:
-    """Sums moved to the nearest hundredth without loss, and what is left to the rounded mean."""
 
-    def moved(whole: list[str], rough: list[str], near: str, order: int) -> str:
-        exact = _moved(whole, f"CAST({near} AS DECIMAL(11,0))", order)
-        other = _moved(rough, f"CAST({near} AS DOUBLE)", order)
-        return f"CASE WHEN exact THEN CAST({exact} AS DOUBLE) ELSE {other} END"
+def _centre(side: str, count: str, first: str, grid: int) -> list[dict[str, str]]:
+    """The hundredth next to the mean, from the lowest price, and the mean's distance to it on a finer grid.
 
-    whole = ["CAST(n AS DECIMAL(38,0))", "s1", "s2", "s3", "s4"]
-    rough = ["CAST(n AS DOUBLE)", "CAST(s1 AS DOUBLE)", "f2", "f3", "f4"]
-    t_whole = ["CAST(tn AS DECIMAL(38,0))", "ts1", "ts2"]
-    t_rough = ["CAST(tn AS DOUBLE)", "CAST(ts1 AS DOUBLE)", "tf2"]
-    sums = {f"u{k}": moved(whole, rough, "near", k) for k in (1, 2, 3, 4)}
-    sums |= {f"tu{k}": moved(t_whole, t_rough, "t_near", k) for k in (1, 2)}
-    return sums | {
-        "off": f"CAST({half_up('z1', 'n', 6)} - {base} - near AS DOUBLE)",
-        "t_off": f"CAST({half_up('tz1', 'tn', 8)} - {base} - t_near AS DOUBLE)",
-    }
+    ``grid`` is the number of steps in a hundredth. ``rest`` is what rounding the mean leaves, times the count.
+    """
+    moved = f"{side}1 * {grid}"
+    return [
+        {f"{side}_near": whole_quotient(f"(2 * {first} + {count})", f"(2 * {count})")},
+        {f"{side}1": _moved(count, [first], f"{side}_near", 1)},
+        {f"{side}_off": whole_quotient(f"(2 * {moved} + {count})", f"(2 * {count})")},
+        {f"{side}_rest": f"CAST({moved} - {side}_off * {count} AS {_WHOLE})"},
+    ]
 
 
-_CENTRAL = {
-    f"c{k}": _moved(["CAST(n AS DOUBLE)", "u1", "u2", "u3", "u4"], "off", k) for k in (2, 3, 4)
-} | {"tc2": _moved(["CAST(tn AS DOUBLE)", "tu1", "tu2"], "t_off", 2)}
+def _variance(side: str, second: str, count: str, divisor: str, digits: int, grid: int) -> list[dict[str, str]]:
+    """``<side>_var``: the second central moment over ``divisor``, in steps of ``digits`` decimals.
 
-# From hundredths to prices: 1e2 to the power of the moment.
-_ROUNDED = {
-    "var10": "round(tc2 / 1e4D / nullif(tn, 0), 10)",
-    "var8": "round(c2 / 1e4D / nullif(n - 1, 0), 8)",
-    "m3": "round(c3 / 1e6D / nullif(n, 0), 8)",
-    "m4": "round(c4 / 1e8D / nullif(n, 0), 8)",
-    "volume_n": "CAST(n AS DOUBLE)",
+    A hundredth's square is 1e-4, hence the factor; ``below`` is what the mean's distance takes off again, in
+    squares of the grid's steps.
+    """
+    unit = grid * grid // 10 ** (digits - 4)
+    below = f"({side}_off * {side}_off * {count} + 2 * {side}_off * {side}_rest)"
+    return [
+        _divided(f"{side}_v", f"({second} * {10 ** (digits - 4)})", divisor),
+        {f"{side}_part": f"CAST({side}_v_left * {unit} - {below} AS {_WHOLE})", f"{side}_of": f"CAST({divisor} * {unit} AS {_WHOLE})"},
+        _divided(f"{side}_w", f"{side}_part", f"{side}_of"),
+        {f"{side}_var": _half_up(f"({side}_v + {side}_w)", f"{side}_w_left", f"{side}_of")},
+    ]
+
+
+# Squares reach 1e6 times the sums of squares, for the spread; the third and fourth moment need more room.
+_FITS = {
+    "fits2": "mass < 5e13D AND reach * reach * mass < 1e28D",
+    "fits3": "mass < 5e13D AND reach * reach * mass < 1e24D AND power(reach, 3D) * mass < 1e30D",
+    "fits4": "mass < 5e13D AND reach * reach * mass < 1e24D AND power(reach, 3D) * mass < 1e30D "
+    "AND power(reach, 4D) * mass < 1e36D AND power(reach, 4D) < 1e31D",
 }
 
-_ROOTED = {"sd": f"CASE WHEN var8 IS NULL THEN 0D ELSE {settled_root('var8', 8)} END"}
-
+# Spread: the mean has ten decimals, 1e8 steps in a hundredth; so has the variance.
+_SPREAD = [
+    *_centre("a", "t", "t1", 10**8),
+    {"a2": _moved("t", ["t1", "t2"], "a_near", 2)},
+    *_variance("a", "a2", "t", "t", 10, 10**8),
+    *root_steps("a_root", "a_var", 10),
+]
+
+# Skewness and kurtosis: the mean has eight decimals, 1e6 steps in a hundredth; the variance is over n - 1.
+_SHAPE = [
+    *_centre("b", "n", "s1", 10**6),
+    {f"b{k}": _moved("n", ["s1", "s2", "s3", "s4"], "b_near", k) for k in (2, 3)},
+    {"less": f"CAST(n - 1 AS {_WHOLE})"},
+    *_variance("b", "b2", "n", "less", 8, 10**6),
+    *root_steps("b_root", "b_var", 8),
+    # Third moment in steps of eight decimals: (1e6 b3 - 3 off b2) / (1e4 n), then what is finer.
+    _divided("c", "(1000000 * b3 - 3 * b_off * b2)", "(10000 * n)"),
+    {"c_part": f"CAST(c_left * 1000000000000 + b_off * b_off * (2 * b_off * n + 3 * b_rest) AS {_WHOLE})", "c_of": f"CAST(n * 1e16BD AS {_WHOLE})"},
+    _divided("d", "c_part", "c_of"),
+    {"third": _half_up("(c + d)", "d_left", "c_of")},
+]
+
+# Fourth moment in steps of eight decimals: b4 / n, then by millionths of it.
+_FOURTH = [
+    {"b4": _moved("n", ["s1", "s2", "s3", "s4"], "b_near", 4)},
+    _divided("e", "b4", "n"),
+    _divided("f", "(1000000 * e_left - 4 * b_off * b3)", "(1000000 * n)"),
+    _divided("g", "(1000000 * f_left + 6 * b_off * b_off * b2)", "(1000000000000 * n)"),
+    {
+        "h_part": f"CAST(1000000000000 * g_left - b_off * b_off * b_off * (3 * b_off * n + 4 * b_rest) AS {_WHOLE})",
+        "h_of": f"CAST(n * 1e24BD AS {_WHOLE})",
+    },
+    _divided("h", "h_part", "h_of"),
+    {"fourth": _half_up("(e + f + g + h)", "h_left", "h_of")},
+]
+
+_DEVIATION = "(CAST(b_root AS DOUBLE) / 1e8D)"
+_SHARES = "CAST(n AS DOUBLE)"
 _STATISTICS = {
-    "price_std": settled_root("var10", 10),
-    "price_skewness": "CASE WHEN n < 3 OR sd = 0 THEN 0D ELSE round(m3 / (sd * sd * sd), 8) "
-    "* round(volume_n / ((volume_n - 1) * (volume_n - 2)), 8) END",
-    "price_kurtosis": "CASE WHEN sd = 0 THEN 0D ELSE round(m4 / (sd * sd * sd * sd), 8) - 3 END",
+    "price_std": "CASE WHEN fits2 THEN CAST(CAST(a_root AS DECIMAL(20,0)) * 0.0000000001BD AS DOUBLE) END",
+    "price_skewness": "CASE WHEN n < 3 THEN 0D WHEN fits3 THEN CASE WHEN b_root = 0 THEN 0D "
+    f"ELSE round(CAST(third AS DOUBLE) / 1e8D / power({_DEVIATION}, 3D), 8) "
+    f"* round({_SHARES} / (({_SHARES} - 1) * ({_SHARES} - 2)), 8) END END",
+    "price_kurtosis": "CASE WHEN n < 2 THEN 0D WHEN fits4 THEN CASE WHEN b_root = 0 THEN 0D "
+    f"ELSE round(CAST(fourth AS DOUBLE) / 1e8D / power({_DEVIATION}, 4D), 8) - 3 END END",
 }
 
-_SUM_COLUMNS = {"n", "nn", "ns1", "ns2", "nf2", "reach", "mass"} | {
-    f"{kind}{k}" for kind in "sf" for k in (1, 2, 3, 4)
-}
+
+def with_moments(sums: DataFrame) -> DataFrame:
+    """Replace the power sums by ``price_std``, ``price_skewness`` and ``price_kurtosis``.
+
+    Keys without positive volume have no spread and are left out.
+
+    Rounding follows each statistic's definition step by step: the mean, the variance, the root and each
+    quotient are rounded (10 decimals for the spread, 8 for the other two). The spread divides by all shares
+    and leaves out volumes that are not positive; the other two take the variance over one share less.
+    Skewness is multiplied by ``V/((V-1)(V-2))`` on top of dividing by ``V``. A variance that rounds to zero
+    gives 0. Statistics are null where whole numbers of 38 digits don't hold the sums: with 1e10 shares that
+    is a range of prices over 30,000, with 1e6 shares over 300,000; the spread has room for 1e7 and more.
+    """
+    names = ["n", "t", *[f"s{k}" for k in _POWERS], "t1", "t2", "reach", "mass"]
+    kept = [c for c in sums.columns if c not in names]
+    whole = [f"CAST({c} AS {_WHOLE}) AS {c}" if c in ("n", "t") else c for c in sums.columns]
+    steps = sums.where("t > 0").selectExpr(*whole, *[f"{text} AS {name}" for name, text in _FITS.items()])
+    for guard, chain in (("fits2", _SPREAD), ("fits3 AND n > 1", _SHAPE), ("fits4 AND n > 1", _FOURTH)):
+        for step in chain:
+            steps = steps.selectExpr("*", *[f"CASE WHEN {guard} THEN CAST({text} AS {_WHOLE}) END AS {name}" for name, text in step.items()])
+    return steps.selectExpr(*kept, *[f"{text} AS {name}" for name, text in _STATISTICS.items()])
 
 
 def weighted_moments(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Spread, skewness and kurtosis per key. A key without positive volume has no spread: no row."""
-    terms = with_moment_terms(levels.where(F.col("price").isNotNull()))
+    terms = with_moment_terms(levels.where(F.col("price").isNotNull()), keys)
     return with_moments(terms.groupBy(*keys).agg(*moment_sums())).select(
         *keys, "price_std", "price_skewness", "price_kurtosis"
     )

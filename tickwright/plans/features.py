@@ -25,7 +25,7 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
     )
     days = with_open_close(days, edges, STOCK_DAY).drop(*STOCK_DAY)
 
-    opened = with_moment_terms(levels.join(days, _DAY), "start_price").withColumn(
+    opened = with_moment_terms(levels.join(days, _DAY), _DAY).withColumn(
         "band", band_index("price", "down_limit", "up_limit")
     )
     sums = opened.groupBy(*_DAY, "up_limit", "down_limit", "start_price", "end_price").agg(
@@ -33,7 +33,7 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
         *moment_sums(),
         *band_sums("band", "volume_sum"),
     )
-    rows = with_moments(sums.where(~F.col("damaged")).drop("damaged"), "start_price")
+    rows = with_moments(sums.where(~F.col("damaged")).drop("damaged"))
     rows = with_band_ratios(with_averages(rows), "volume")
     rows = rows.withColumns(
         {
