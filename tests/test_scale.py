@@ -5,10 +5,9 @@ import re
 import pytest
 
 from tickwright.checks.queries import QUERIES
+from tickwright.operators.changes import price_changes
 from tickwright.operators.levels import open_close, price_levels
-from tickwright.operators.previous import keys_over
 from tickwright.plans import updown_day
-from tickwright.schemas import STOCK_DAY
 from tickwright.sources.events import coarse, event_ticks
 
 STREAMS_AND_FILES = {
@@ -53,13 +52,6 @@ def test_one_shuffle_of_the_levels(spark, sf_dir):
     assert plan.count("Exchange") <= 4 and "Window" not in plan
 
 
-def test_hot_list_is_broadcast_only_with_a_bound(spark, sf_dir):
-    ticks = coarse(event_ticks(spark, sf_dir))
-    bounded = ticks.join(keys_over(ticks, STOCK_DAY, 2_000_000, "hot"), STOCK_DAY, "left")
-    assert "BroadcastHashJoin" in plan_of(bounded)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        unbounded = ticks.join(keys_over(ticks, STOCK_DAY, 10, "hot"), STOCK_DAY, "left")
-        assert "BroadcastHashJoin" not in plan_of(unbounded)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_without_hot_keys_changes_are_a_plain_lag(spark, sf_dir):
+    plan = plan_of(price_changes(coarse(event_ticks(spark, sf_dir))))
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1 and plan.count("Window ") == 1

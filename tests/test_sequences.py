@@ -7,11 +7,13 @@ import pytest
 from frames import DAY, ticks
 from pyspark.sql import functions as F
 
-from tickwright.operators import changes as changes_module, previous
+from tickwright.operators import previous
 from tickwright.operators.carry import apply_starts, bars_in_order, carry_forward
 from tickwright.operators.changes import last_prices, price_changes
+from tickwright.operators.levels import TICK_ORDER
+from tickwright.operators.previous import hot_keys, sliced
 from tickwright.operators.runs import accumulate, merge_runs, run_rows
-from tickwright.schemas import BARS, PRICE_CHANGES
+from tickwright.schemas import BARS, PRICE_CHANGES, STOCK_DAY
 
 
 def expected_changes(rows):
@@ -58,10 +60,7 @@ def test_ties_and_nulls(spark):
     assert [int(r.price) for r in got] == [10, 11]
 
 
-@pytest.mark.parametrize("crowd", [0.3, 50])
-def test_slices_change_nothing(spark, monkeypatch, crowd):
-    monkeypatch.setattr(changes_module, "_ID_BLOCK", 50)
-    monkeypatch.setattr(previous, "CROWD", crowd)
+def test_slices_change_nothing(spark):
     seconds = [f"09:3{i}:{j:02d}" for i in range(3) for j in range(0, 60, 20)]
     finer = ["09:30:00", "09:30:00.1", "09:30:00.25", "09:30:01", "9"]
     for stamps in (seconds, ["15:00:00"], finer):
@@ -73,6 +72,36 @@ def test_slices_change_nothing(spark, monkeypatch, crowd):
             assert found_changes(price_changes(table, hot_over=hot_over)) == wanted
 
 
+@pytest.mark.parametrize(
+    "name", ["dense ids", "spread ids", "one time", "sub-second", "half in one second"]
+)
+def test_slices_are_as_large_as_they_may_be(spark, name):
+    """Slices per hot key and rows per slice are bounded whatever the order values look like."""
+    chance, n, hot_over = random.Random(name), 20_000, 1000
+    clock = lambda i: f"{9 + i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}"
+    made = {
+        "dense ids": lambda i: (clock(i), i),
+        "spread ids": lambda i: (clock(i), i << 22),
+        "one time": lambda i: ("15:00:00", i * 7919),
+        "sub-second": lambda i: (f"09:30:00.{i:06d}", i),
+        "half in one second": lambda i: (clock(i) if i % 2 else "09:30:00", chance.randrange(10**15)),
+    }[name]
+    table = ticks(spark, [("a", *made(i), 1, 1) for i in range(n)] + [("b", "9", i, 1, 1) for i in range(50)])
+    hot = hot_keys(table, STOCK_DAY, hot_over)
+    assert [(r.order_code, r.rows) for r in hot] == [("a", n)]
+    cut = sliced(table.where("order_code = 'a'"), STOCK_DAY, TICK_ORDER, hot_over, n)
+    sizes = [r["count"] for r in cut.groupBy(*STOCK_DAY, "slice").count().collect()]
+    assert sum(sizes) == n and max(sizes) <= hot_over and len(sizes) <= 2 * n / hot_over + 1
+
+
+def test_only_the_largest_keys_are_listed(spark, monkeypatch):
+    monkeypatch.setattr(previous, "MOST_HOT", 2)
+    rows = random_ticks(9, 6, 900, ["09:30:00", "09:31:00"])
+    table = ticks(spark, rows)
+    assert len(hot_keys(table, STOCK_DAY, 10)) == 2
+    assert found_changes(price_changes(table, hot_over=10)) == expected_changes(rows)
+
+
 def test_changes_of_changes(spark):
     """No equal neighbours are left, so the operator keeps every row of its own result."""
     rows = random_ticks(5, 4, 400, [f"09:30:{i:02d}" for i in range(60)])
@@ -135,18 +164,14 @@ def test_carry(spark):
             (1, 1.0, 2.0),
             (2, 2.0, 6.0),
             (3, 6.0, 9.0),
-            (4, 0.0, 0.0),
+            (4, 0.0, None),
             (5, 0.0, 4.0),
             (6, 1.0, 2.0),
             (7, None, 4.0),
         ]
 
 
-def test_sliced_carry(spark, monkeypatch):
-    from tickwright.operators import carry
-
-    monkeypatch.setattr(carry, "_ID_BLOCK", 10)
-    monkeypatch.setattr(previous, "CROWD", 0.1)
+def test_sliced_carry(spark):
     chance = random.Random(4)
     rows = [
         (i, chance.choice("aab"), DAY + timedelta(chance.randrange(9)), 1.0, float(i))

@@ -5,8 +5,6 @@ from pyspark.sql import DataFrame, functions as F
 from tickwright.operators.previous import HOT_ROWS, with_previous
 from tickwright.schemas import BARS
 
-_ID_BLOCK = 1_000_000
-
 
 def bars_in_order(bars: DataFrame, code: str | None = None) -> DataFrame:
     """Bars of one code, or of each, by date."""
@@ -18,15 +16,15 @@ def bars_in_order(bars: DataFrame, code: str | None = None) -> DataFrame:
 def carry_forward(bars: DataFrame, *, hot_over: int = HOT_ROWS) -> DataFrame:
     """Each bar's start becomes the end of the code's bar before; the first keeps its own.
 
-    Missing values count as 0.0. Bars of one code on one day are taken in id order. Bars without a
-    code stay as they are.
+    A missing end is carried as 0.0 and stays missing where it stands; a first bar's missing start is 0.0.
+    Bars of one code on one day are taken in id order. Bars without a code stay as they are.
     """
     bars = bars.select(*BARS.names)
-    filled = bars.dropna(subset=["code"]).fillna(0.0, ["start", "end"])
-    cuts = (F.col("date"), F.floor(F.col("id") / F.lit(float(_ID_BLOCK))))
-    seen = with_previous(filled, ["code"], ["date", "id"], "end", cuts, hot_over)
-    carried = seen.withColumn("start", F.coalesce("previous", "start")).select(*BARS.names)
-    return carried.unionByName(bars.where(F.col("code").isNull()))
+    carried = F.coalesce("end", F.lit(0.0)).alias("carried")
+    coded = bars.dropna(subset=["code"]).select("*", carried)
+    seen = with_previous(coded, ["code"], ["date", "id"], "carried", hot_over)
+    start = F.coalesce("previous", "start", F.lit(0.0))
+    return seen.withColumn("start", start).select(*BARS.names).unionByName(bars.where(F.col("code").isNull()))
 
 
 def apply_starts(bars: DataFrame, updates: DataFrame) -> DataFrame:

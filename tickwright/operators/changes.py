@@ -10,26 +10,6 @@ from tickwright.schemas import PRICE_CHANGES, STOCK_DAY
 
 USED = [*STOCK_DAY, *TICK_ORDER, "order_dc", "price", "volume"]
 
-# A busy stock-day is cut by second, and a second whose ticks all show the same time by blocks of ids.
-_SECOND = 8
-_ID_BLOCK = 1_000_000
-
-
-def tick_cuts() -> tuple[Column, Column]:
-    """Cuts that follow (order_time, tran_id), times being compared as text: by second, by time.
-
-    Ticks that show the same time and nothing finer than the second are cut by blocks of ids.
-    """
-    time = F.col("order_time")
-    block = F.floor(F.col("tran_id") / F.lit(float(_ID_BLOCK)))
-    whole_second = F.length(time) <= _SECOND
-    coarse = F.struct(
-        F.left(time, F.lit(_SECOND)).alias("second"),
-        # Within a second, the ticks that show nothing finer come first.
-        F.when(whole_second, block).otherwise(F.lit(2**63 - 1)).alias("block"),
-    )
-    return coarse, F.struct(time.alias("time"), block.alias("block"))
-
 
 def price_changes(
     ticks: DataFrame,
@@ -44,9 +24,7 @@ def price_changes(
     date in the output, for instance ``F.current_date()`` to stamp the processing date.
     """
     usable = with_transaction(ticks).dropna(subset=[*STOCK_DAY, "order_time", "price"])
-    seen = with_previous(
-        usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", tick_cuts(), hot_over, before
-    )
+    seen = with_previous(usable.select(*USED), STOCK_DAY, TICK_ORDER, "price", hot_over, before)
     changed = F.col("previous").isNull() | (F.col("previous") != F.col("price"))
     rows = seen.where(changed).withColumn("sum", amount(F.col("price"), F.col("volume")))
     if day is not None:

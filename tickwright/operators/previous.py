@@ -1,30 +1,40 @@
 """The previous row's value within a key, also where one key holds much of the data.
 
-``lag`` sorts a whole key in one task. A key with more rows than ``hot_over`` is cut into slices that
-follow the order, and a slice that is still crowded into finer ones, so each is sorted by its own task.
-The last value before each slice is put in front of it as an extra row. The result is that of a plain
-``lag``.
+``lag`` sorts a whole key in one task. Keys with more than ``hot_over`` rows are therefore cut into slices along
+the order, at places that Spark's range partitioning draws from a sample of the rows themselves, so a slice is
+as large as another whatever the order values look like. The last value before each slice is put in front of
+it as an extra row. The result is that of a plain ``lag``.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from math import ceil
+
+from pyspark.sql import DataFrame, Row, Window, functions as F
+
+from tickwright.session import shared_dir
 
 HOT_ROWS = 2_000_000
 
-# A slice is cut finer when it has this many times the rows that make a key hot.
-CROWD = 50
+#: So many keys are cut at most, the largest ones; others hold no more than that part of all rows. It bounds
+#: the list that is broadcast.
+MOST_HOT = 100_000
+
 
-# Below this the list of hot keys has no useful size bound, so it is not forced to be broadcast.
-_BROADCAST_FROM = 1_000_000
+def hot_keys(df: DataFrame, keys: list[str], hot_over: int) -> list[Row]:
+    """The keys with more than ``hot_over`` rows and their ``rows``, at most MOST_HOT."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > hot_over)
+    return counted.orderBy(F.desc("rows")).limit(MOST_HOT).collect()
 
 
-def keys_over(df: DataFrame, keys: list[str], rows: int, flag: str) -> DataFrame:
-    """Keys with more than ``rows`` rows, flagged: at most one per ``rows`` rows of the input.
+def sliced(df: DataFrame, keys: list[str], order: list[str], hot_over: int, rows: int) -> DataFrame:
+    """``df`` with the number of its ``slice``, which grows along keys and order.
 
-    At 10^12 rows and the default that is 500,000 short rows, which is what makes it safe to broadcast.
+    Slices are half as large as ``hot_over`` allows, so that the sample need not be exact. They are written
+    to the shared folder: what is read more than once must have been cut at the same places.
     """
-    counted = df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key"))
-    over = counted.where(F.col("rows_of_key") > rows).select(*keys, F.lit(True).alias(flag))
-    return F.broadcast(over) if rows >= _BROADCAST_FROM else over
+    path = shared_dir(df.sparkSession, "slices")
+    ranges = df.repartitionByRange(ceil(2 * rows / max(hot_over, 1)), *keys, *order)
+    ranges.withColumn("slice", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def with_previous(
@@ -32,50 +42,38 @@ def with_previous(
     keys: list[str],
     order: list[str],
     value: str,
-    cuts: tuple[Column, Column],
     hot_over: int = HOT_ROWS,
     before: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``previous``: the ``value`` of the row before, null for the first of its key.
 
-    ``value`` and ``order`` hold no nulls. ``cuts`` are a coarse cut, which never decreases along
-    ``order``, and a fine one, which never does within a coarse slice. ``before`` may give, per key,
-    the value that came before the first row (columns: the keys and ``value``).
+    ``keys``, ``order`` and ``value`` hold no nulls. ``before`` may give, per key, the value that came before
+    the first row (columns: the keys and ``value``). Counting the keys is a job of its own; where none is
+    hot, the rest is a plain ``lag``.
     """
-    coarse, fine = cuts
-    hot = keys_over(df, keys, hot_over, "hot")
-    cut = df.join(hot, keys, "left").withColumn("coarse", F.when(F.col("hot"), coarse))
-    crowded = keys_over(
-        df.join(hot, keys).select(*keys, coarse.alias("coarse")),
-        [*keys, "coarse"],
-        CROWD * hot_over,
-        "crowded",
-    )
-    finest = F.struct("coarse", F.when(F.col("crowded"), fine).alias("fine"))
-    cut = cut.join(crowded, [*keys, "coarse"], "left").withColumn(
-        "slice", F.when(F.col("hot"), finest)
-    )
-
-    ends = cut.where("hot").groupBy(*keys, "slice")
-    ends = ends.agg(F.max_by(value, F.struct(*order)).alias(value))
+    hot = hot_keys(df, keys, hot_over)
+    if not hot:
+        return _lagged(df, before, keys, order, value)
+    spark, key_fields = df.sparkSession, [df.schema[k] for k in keys]
+    listed = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], type(df.schema)(key_fields)))
+    cut = sliced(df.join(listed, keys, "left_semi"), keys, order, hot_over, sum(r.rows for r in hot))
+    ends = cut.groupBy(*keys, "slice").agg(F.max_by(value, F.struct(*order)).alias(value))
     if before is not None:
-        seeds = before.join(hot, keys, "left").withColumn(
-            "slice", F.lit(None).cast(cut.schema["slice"].dataType)
-        )
-        ends = ends.unionByName(seeds.where("hot").drop("hot"))
-    along = Window.partitionBy(*keys).orderBy(F.col("slice").asc_nulls_first())
-    extras = ends.withColumn(value, F.lag(value).over(along)).where(F.col(value).isNotNull())
+        seeds = before.join(listed, keys, "left_semi").withColumn("slice", F.lit(-1))
+        ends = ends.unionByName(seeds)
+        before = before.join(listed, keys, "left_anti")
+    along = Window.partitionBy(*keys).orderBy("slice")
+    starts = ends.withColumn(value, F.lag(value).over(along)).where(F.col(value).isNotNull())
+    rest = _lagged(df.join(listed, keys, "left_anti"), before, keys, order, value)
+    return rest.unionByName(_lagged(cut, starts, [*keys, "slice"], order, value).drop("slice"))
+
+
+def _lagged(df: DataFrame, before: DataFrame | None, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """The plain ``lag``, with what came before as extra rows, which have no order values and so come first."""
+    rows = df
     if before is not None:
-        extras = extras.unionByName(seeds.where("hot IS NULL").drop("hot"))
-
-    # The extra rows have no order values, so they come first.
-    rows = (
-        cut.select(*df.columns, "slice", F.lit(False).alias("extra"))
-        .unionByName(extras.withColumn("extra", F.lit(True)), allowMissingColumns=True)
-    )
-    within = Window.partitionBy(*keys, "slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return (
-        rows.withColumn("previous", F.lag(value).over(within))
-        .where(~F.col("extra"))
-        .drop("extra", "slice")
-    )
+        extras = before.withColumn("extra", F.lit(True))
+        rows = df.withColumn("extra", F.lit(False)).unionByName(extras, allowMissingColumns=True)
+    within = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    seen = rows.withColumn("previous", F.lag(value).over(within))
+    return seen.where(~F.col("extra")).drop("extra") if before is not None else seen
