@@ -3,12 +3,13 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from frames import DAY, by_code, edges, levels, limits, listed, ticks
 from pyspark.sql import functions as F
 
 from tickwright.operators.bands import price_bands
-from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels
-from tickwright.plans import day_features, updown_day
+from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels, tick_position
+from tickwright.plans import day_features, day_features_of_ticks, updown_day, updown_day_of_ticks
 from tickwright.plans.features import in_table_band_order
 from tickwright.schemas import BANDS, FEATURES, STOCK_DAY, UPDOWN
 from tickwright.sources import literal_keys
@@ -39,6 +40,48 @@ def test_levels_and_edges_from_ticks(spark):
     assert by_code(last_ticks(table))["a"].tran_id == 5
 
 
+def test_places_follow_time_as_text(spark):
+    """Places sort as (order_time, tran_id) does, for clock times of any length; others fail the job."""
+    times = ["", "9", "09", "09:30", "09:30:00", "09:30:00.", "09:30:00.1", "09:30:00.09", "09:30:00.10", "10", "23:59:59.999999", ":", "093000", None]
+    ids = [-(2**63), -5, 0, 7, 2**63 - 1]
+    table = ticks(spark, [("a", t, i, 1, 1) for t in times for i in ids] + [("a", "9", None, 1, 1)])
+    rows = table.select("order_time", "tran_id", tick_position().alias("place")).collect()
+    placed = sorted((r for r in rows if r.place is not None), key=lambda r: r.place)
+    assert [(r.order_time or "", r.tran_id) for r in placed] == sorted(((r.order_time or "", r.tran_id) for r in placed), key=lambda x: (x[0].encode(), x[1]))
+    assert len({r.place for r in placed}) == (len(times) - 1) * len(ids)
+    for odd in ("9am", "09:30:00.12345678"):
+        with pytest.raises(Exception, match="not a clock time"):
+            ticks(spark, [("a", odd, 1, 1, 1)]).select(tick_position()).collect()
+
+
+def test_day_rows_of_ticks_equal_those_of_levels(spark):
+    """Days without transaction ids, with a first tick without price, and with ties, by either way."""
+    rows = [
+        ("a", "09:30:01", 2, 10.00, 100),
+        ("a", "09:30:00", 9, 10.50, 10),
+        ("a", "09:30:00", 3, 11.00, 20),
+        ("a", "15:00:00", 5, 10.00, 7),
+        ("b", "10:00:00", 1, None, 1),
+        ("b", "11:00:00", 2, 5.00, 1),
+        ("c", "11:00:00", None, 5.00, 1),
+        ("c", "11:00:01", None, 6.00, 2),
+        ("d", "11:00:00", 3, 5.00, 1),
+        ("d", "12:00:00", 4, None, 1),
+    ]
+    table = ticks(spark, rows)
+    stored, opening = price_levels(table), open_close(table)
+    for default in (None, 0):
+        for keys in (None, stored.select(*STOCK_DAY).where("order_code <> 'a'")):
+            one = updown_day(stored, opening, keys, close_default=default).collect()
+            other = updown_day_of_ticks(table, keys, close_default=default).collect()
+            assert sorted(map(str, one)) == sorted(map(str, other)) and one
+    bounds = limits(spark, [(f"{c}.SZ", 9, 11) for c in "abcd"] + [("a.SH", 10, 12)])
+    named = stored.select(F.concat("order_code", F.lit(".SZ")).alias("ts_code"), F.col("order_date").alias("trade_date"), "price", "volume_sum", "sum")
+    both = named.unionByName(named.where("ts_code = 'a.SZ'").withColumn("ts_code", F.lit("a.SH")))
+    one, other = day_features(both, opening, bounds).collect(), day_features_of_ticks(table, bounds).collect()
+    assert sorted(map(str, one)) == sorted(map(str, other)) and len(one) == 4
+
+
 def test_updown_columns(spark):
     table = levels(spark, [("a", 9, 10), ("a", 10, 5), ("a", 11, 20)])
     rows = updown_day(table, edges(spark, [("a", 10, 11)]))

@@ -7,11 +7,12 @@ import pytest
 from tickwright.checks.queries import QUERIES
 from tickwright.operators.changes import price_changes
 from tickwright.operators.levels import open_close, price_levels
-from tickwright.plans import updown_day
 from tickwright.sources.events import coarse, event_ticks
 
 STREAMS_AND_FILES = {
     "stream_price_changes",
+    "stream_price_changes_batches",
+    "stream_price_changes_timed",
     "stream_day_window",
     "stream_closed_days",
     "tsv_files",
@@ -45,11 +46,32 @@ def test_sums_before_the_shuffle(spark, sf_dir):
     assert "partial_min_by" in plan_of(open_close(event_ticks(spark, sf_dir)))
 
 
-def test_one_shuffle_of_the_levels(spark, sf_dir):
-    """Levels are shuffled once to be built and at most once more to meet the opening prices."""
-    ticks = event_ticks(spark, sf_dir)
-    plan = plan_of(updown_day(price_levels(ticks), open_close(ticks)))
-    assert plan.count("Exchange") <= 4 and "Window" not in plan
+def executed_plan(df) -> str:
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    return final[: final.find("== Initial Plan ==")]
+
+
+@pytest.mark.parametrize("name", ["updown_day", "totals_vwap", "day_features"])
+def test_day_rows_read_ticks_once(spark, sf_dir, name):
+    """Levels are shuffled once to be built and once more, by day, for all that follows."""
+    plan = executed_plan(QUERIES[name](spark, sf_dir))
+    scans = 1 if name != "day_features" else 2  # its limits are made of the ticks' days here
+    assert plan.count("Scan parquet") == scans and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") <= 2 * scans
+
+
+@pytest.mark.parametrize("name", ["run_accumulator", "open_close", "edge_ticks"])
+def test_edges_need_no_sorted_aggregate(spark, sf_dir, name):
+    plan = executed_plan(QUERIES[name](spark, sf_dir))
+    assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_key_semijoin_keeps_some_and_drops_some(spark, scale):
+    folder = f"/root/testdata/{scale}"
+    kept = QUERIES["key_semijoin"](spark, folder).count()
+    assert 0.2 < kept / event_ticks(spark, folder).count() < 0.8
 
 
 def test_without_hot_keys_changes_are_a_plain_lag(spark, sf_dir):

@@ -166,13 +166,14 @@ def test_shared_dir_follows_the_session():
     assert shared_dir(there, "x").startswith("hdfs:///shared/x-")
     alone = session(**{"spark.master": "local[2]"})
     assert "/tickwright-" in shared_dir(alone, "x")
-    with pytest.raises(ValueError):
-        shared_dir(session(**{"spark.master": "yarn"}), "x")
+    for cluster in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(session(**{"spark.master": cluster}), "x")
 
 
 def test_jdbc_options():
     """No database is at hand: the options are checked, not a connection."""
-    assert jdbc_options("jdbc:x", table="t", user="u", password="p") == {
+    assert jdbc_options("jdbc:x", table="t", user="u", password="p", whole=True) == {
         "url": "jdbc:x",
         "dbtable": "t",
         "user": "u",
@@ -190,7 +191,8 @@ def test_jdbc_options():
     )
     assert split["dbtable"] == "(SELECT 1) split_source" and "query" not in split
     assert split["numPartitions"] == "64" and split["lowerBound"] == "2024-01-01"
-    for wrong in ({}, {"table": "t", "query": "q"}, {"table": "t", "partition_column": "d"}):
+    whole_and_split = dict(table="t", partition_column="d", lower=1, upper=9, partitions=2, whole=True)
+    for wrong in ({}, {"table": "t", "query": "q"}, {"table": "t", "partition_column": "d"}, {"table": "t"}, whole_and_split):
         with pytest.raises(ValueError):
             jdbc_options("jdbc:x", **wrong)
     assert jdbc_write_options("jdbc:x", "t", connections=30) == {

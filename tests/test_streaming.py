@@ -99,18 +99,40 @@ def test_restart_goes_on(spark):
     ]
 
 
-def test_old_days_are_forgotten(spark):
+def test_a_batch_writes_its_own_days_only(spark):
     from datetime import timedelta
 
-    folder, work = shared_dir(spark, "keep-in"), shared_dir(spark, "keep")
-    for i, day in enumerate([DAY, DAY + timedelta(5)]):
-        one = [("a", "09:30:00", i, 10, 1, day)]
-        ticks(spark, one).coalesce(1).write.mode("append").parquet(folder)
+    folder, work = shared_dir(spark, "days-in"), shared_dir(spark, "days")
+    versions = []
+    for i, days in enumerate([(0, 1), (1,), (2, 1), (0,)]):
+        rows = [("a", f"09:3{i}:00", 10 * i + d, 10 + i, 1, DAY + timedelta(d)) for d in days]
+        ticks(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        stream = read_tick_stream(spark, folder, files_per_trigger=1)
+        stream_price_changes(stream, f"{work}/out", work).awaitTermination()
+        written = spark.read.parquet(f"{work}/last_price").where(F.col("batch") == i)
+        versions.append({(r.order_date - DAY).days: int(r.price) for r in written.collect()})
+        time.sleep(1.1)
+    assert versions == [{0: 10, 1: 10}, {1: 11}, {1: 12, 2: 12}, {0: 13}]
+    folders = glob.glob(f"{work}/last_price/slot=*/order_date=*")
+    assert len(folders) == 5  # two versions of days 0 and 1, one of day 2
+    assert len(rows_of(read_table(spark, f"{work}/out"))) == 6
+
+
+def test_late_ticks_are_reported(spark):
+    folder, work = shared_dir(spark, "order-in"), shared_dir(spark, "order")
+    for rows in (
+        [("a", "09:30:05", 5, 10, 1), ("b", "09:30:00", 6, 7, 1)],
+        [("a", "09:30:01", 1, 11, 1), ("a", "09:30:05", 5, 12, 1), ("a", "09:30:05", 7, 13, 1)],
+        [("a", "09:30:06", 8, 13, 1), ("c", "09:00:00", 9, 1, 1)],
+    ):
+        ticks(spark, rows).coalesce(1).write.mode("append").parquet(folder)
         time.sleep(1.1)
     stream = read_tick_stream(spark, folder, files_per_trigger=1)
-    stream_price_changes(stream, f"{work}/out", work, keep_days=3).awaitTermination()
-    kept = spark.read.parquet(f"{work}/last_price/place=1").collect()
-    assert [r.order_date for r in kept] == [DAY + timedelta(5)]
+    stream_price_changes(stream, f"{work}/out", work).awaitTermination()
+    late = read_table(spark, f"{work}/late").collect()
+    assert sorted((r.batch, r.order_code, int(r.price)) for r in late) == [(1, "a", 11), (1, "a", 12)]
+    got = [(r[0], r[2], int(r[4])) for r in rows_of(read_table(spark, f"{work}/out"))]
+    assert got == [("a", "09:30:05", 10), ("a", "09:30:05", 13), ("b", "09:30:00", 7), ("c", "09:00:00", 1)]
 
 
 def test_day_window(spark, sf_dir):
@@ -136,8 +158,7 @@ def test_late_ticks_are_left_out(spark):
         ticks(spark, rows).coalesce(1).write.mode("append").parquet(folder)
         time.sleep(1.1)
     stream = read_tick_stream(spark, folder, files_per_trigger=1)
-    stamp = F.to_timestamp(F.concat_ws(" ", "order_date", "order_time"))
-    stream_day_window(stream.withColumn("ts", stamp), f"{work}/out", work).awaitTermination()
+    stream_day_window(stream, f"{work}/out", work).awaitTermination()
     got = latest_rows(read_table(spark, f"{work}/out")).collect()
     assert {r.order_date: r.volume for r in got} == {DAY: 5, DAY.replace(day=25): 6}
 
@@ -155,7 +176,7 @@ def test_drain_and_print(spark, parts):
     timed.processAllAvailable()
     timed.stop()
     assert len(numbers) == 6
-    shown = print_stream(stream.limit(1), shared_dir(spark, "console"))
+    shown = print_stream(stream, shared_dir(spark, "console"), rows=1)
     shown.awaitTermination()
     assert shown.exception() is None and shown.lastProgress["numInputRows"] > 0
 

@@ -253,7 +253,10 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE order_code = 'click' AND ticks.order_date = DATE '2024-01-05'",
     "key_semijoin": _with(_TICKS)
     + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE (order_code, ticks.order_date) IN "
-    "(SELECT (order_code, order_date) FROM ticks GROUP BY order_code, order_date HAVING SUM(volume) > 3300)",
+    "(SELECT (order_code, order_date) FROM ticks WHERE day(order_date) % 2 = 0)",
+    "literal_key_list": _with(_TICKS)
+    + f"SELECT {_TICK_COLUMNS} FROM ticks WHERE (order_code, ticks.order_date) IN "
+    "(('click', DATE '2024-01-05'), ('view', DATE '2024-01-06'))",
     "distinct_codes": "SELECT DISTINCT event_type || '.EV' AS ts_code FROM events",
     "json_ticks": _with(_TICKS) + f"SELECT {_TICK_COLUMNS} FROM ticks",
     "positional_ticks": _with(_TICKS) + _UNTYPED.format(seller="tran_id", side="<="),
@@ -304,6 +307,7 @@ ORACLE_SQL: dict[str, str] = {
     "day_features_table_order": _TABLE_ORDER,
     "price_changes": _PRICE_CHANGES,
     "price_changes_sliced": _PRICE_CHANGES,
+    "price_changes_stamped": _PRICE_CHANGES.replace(_DAY, "'2030-01-02' AS order_date"),
     "run_accumulator": _RUN_ROWS,
     "run_merge": _RUN_ROWS,
     "carry_forward": _with(_TICKS, _BARS) + _BAR_COLUMNS.format(start="new_start"),
@@ -315,6 +319,8 @@ ORACLE_SQL: dict[str, str] = {
     "csv_files": _written_features(),
     "updown_append": _UPDOWN_DAY,
     "stream_price_changes": _PRICE_CHANGES,
+    "stream_price_changes_batches": _PRICE_CHANGES,
+    "stream_price_changes_timed": _PRICE_CHANGES,
     "stream_day_window": _RUN_ROWS,
     "stream_closed_days": _with(_TICKS)
     + _RUN.format(

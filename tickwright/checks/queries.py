@@ -1,8 +1,10 @@
 """Each operator run over the shared test tables, named as in the coverage list."""
 
+import time
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from tickwright.functions import amount, parse_day, without_suffix
@@ -10,13 +12,12 @@ from tickwright.operators.bands import price_bands
 from tickwright.operators.carry import apply_starts, carry_forward
 from tickwright.operators.changes import price_changes
 from tickwright.operators.keys import distinct_codes, of_days, of_work_list, with_transaction
-from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels
+from tickwright.operators.levels import first_ticks, last_ticks, open_close, opened_levels, price_levels
 from tickwright.operators.moments import weighted_moments
 from tickwright.operators.runs import accumulate, merge_runs, run_rows
 from tickwright.operators.totals import day_totals
-from tickwright.plans import day_features, updown_day
+from tickwright.plans import day_features, day_features_of_ticks, updown_day, updown_day_of_ticks
 from tickwright.plans.features import in_table_band_order
-from tickwright.plans.opening import with_open_close
 from tickwright.schemas import PRICE_CHANGES, STOCK_DAY, TICK_JSON_NAMES, TICKS, UPDOWN
 from tickwright.session import shared_dir
 from tickwright.sinks import (
@@ -30,6 +31,7 @@ from tickwright.sinks import (
 from tickwright.sources import (
     decode_json,
     decode_positional,
+    literal_keys,
     read_table,
     read_tick_stream,
     split_rejected,
@@ -90,10 +92,15 @@ def stock_day_by_sql(spark, sf_dir):
 
 
 def key_semijoin(spark, sf_dir):
+    """The stock-days of even days, which are about half at any scale."""
     ticks = event_ticks(spark, sf_dir)
-    volumes = ticks.groupBy(*STOCK_DAY).agg(F.sum("volume").alias("volume"))
-    busy = work_list(volumes.where(F.col("volume") > 3300))
-    return of_work_list(ticks, busy).select(*TICK_VIEW)
+    even = work_list(ticks.where(F.dayofmonth("order_date") % 2 == 0))
+    return of_work_list(ticks, even).select(*TICK_VIEW)
+
+
+def literal_key_list(spark, sf_dir):
+    keys = literal_keys(spark, [("click", date(2024, 1, 5)), ("view", date(2024, 1, 6)), ("none", date(2024, 1, 5))])
+    return of_work_list(event_ticks(spark, sf_dir), keys).select(*TICK_VIEW)
 
 
 def code_list(spark, sf_dir):
@@ -160,8 +167,7 @@ def edge_ticks(spark, sf_dir):
 
 def totals_vwap(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
-    opened = with_open_close(price_levels(ticks), open_close(ticks), STOCK_DAY)
-    return day_totals(opened, [*STOCK_DAY, "start_price", "end_price"])
+    return day_totals(opened_levels(ticks), [*STOCK_DAY, "start_price", "end_price"])
 
 
 def moments_of_events(spark, sf_dir):
@@ -181,20 +187,18 @@ def bands_of_events(spark, sf_dir):
 
 def bands_of_lineitem(spark, sf_dir):
     """Limits at the month's lowest and highest price; many months have one price only."""
-    ticks = lineitem_ticks(spark, sf_dir)
-    levels = price_levels(ticks)
-    limits = ticks.groupBy(*STOCK_DAY).agg(
-        F.min("price").alias("down_limit"), F.max("price").alias("up_limit")
+    month = Window.partitionBy(*STOCK_DAY)
+    levels = price_levels(lineitem_ticks(spark, sf_dir)).withColumns(
+        {"down_limit": F.min("price").over(month), "up_limit": F.max("price").over(month)}
     )
-    return price_bands(levels.join(limits, STOCK_DAY), STOCK_DAY)
+    return price_bands(levels, STOCK_DAY)
 
 
 # Day rows
 
 
 def updown(spark, sf_dir):
-    ticks = event_ticks(spark, sf_dir)
-    return updown_day(price_levels(ticks), open_close(ticks))
+    return updown_day_of_ticks(event_ticks(spark, sf_dir))
 
 
 def updown_of_work_list(spark, sf_dir):
@@ -207,12 +211,15 @@ def updown_of_work_list(spark, sf_dir):
 
 def features(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
-    limits = work_list_limits(limit_list(ticks))
-    return day_features(as_listed(price_levels(ticks)), open_close(ticks), limits)
+    return day_features_of_ticks(ticks, work_list_limits(limit_list(ticks)))
 
 
 def features_table_order(spark, sf_dir):
-    return in_table_band_order(features(spark, sf_dir))
+    """From levels and edges as stored tables would give them."""
+    ticks = event_ticks(spark, sf_dir)
+    limits = work_list_limits(limit_list(ticks))
+    rows = day_features(as_listed(price_levels(ticks)), open_close(ticks), limits)
+    return in_table_band_order(rows)
 
 
 # Sequences
@@ -222,6 +229,12 @@ def changes(spark, sf_dir):
     return price_changes(coarse(event_ticks(spark, sf_dir)))
 
 
+def changes_stamped(spark, sf_dir):
+    """Change rows with the processing date, here a fixed one, in place of the stock-day's date."""
+    day = F.lit(date(2030, 1, 2))
+    return price_changes(coarse(event_ticks(spark, sf_dir)), day=day)
+
+
 def changes_sliced(spark, sf_dir):
     """The same rows with every stock-day of more than 40 ticks cut into slices."""
     return price_changes(coarse(event_ticks(spark, sf_dir)), hot_over=40)
@@ -295,6 +308,36 @@ def stream_changes(spark, sf_dir):
     return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
 
 
+def _time_ordered_files(spark, sf_dir, folder):
+    """The ticks in six files by ranges of their ids, which follow time; a stream takes the oldest file first."""
+    ticks = coarse(event_ticks(spark, sf_dir))
+    last = ticks.agg(F.max("tran_id")).first()[0] or 0
+    for k in range(6):
+        part = ticks.where(F.floor(F.col("tran_id") * 6 / (last + 1)) == k)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)  # the files' times, by which a stream orders them, are in seconds
+
+
+def stream_changes_in_batches(spark, sf_dir):
+    """The same rows over several batches, each of which goes on from the last prices before it."""
+    work = shared_dir(spark, "stream-batches")
+    _time_ordered_files(spark, sf_dir, f"{work}/in")
+    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=1)
+    stream_price_changes(ticks, f"{work}/out", work).awaitTermination()
+    return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
+
+
+def stream_changes_timed(spark, sf_dir):
+    """The same rows by a timed trigger, stopped when all that is there has been taken."""
+    work = shared_dir(spark, "stream-timed")
+    _time_ordered_files(spark, sf_dir, f"{work}/in")
+    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=2)
+    query = stream_price_changes(ticks, f"{work}/out", work, every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
+
+
 def stream_days(spark, sf_dir):
     work = shared_dir(spark, "stream-days")
     stream_day_window(_event_stream(spark, sf_dir), f"{work}/out", work).awaitTermination()
@@ -315,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "day_filter": day_filter,
     "stock_day_by_sql": stock_day_by_sql,
     "key_semijoin": key_semijoin,
+    "literal_key_list": literal_key_list,
     "distinct_codes": code_list,
     "json_ticks": json_ticks,
     "positional_ticks": positional_ticks,
@@ -335,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "day_features_table_order": features_table_order,
     "price_changes": changes,
     "price_changes_sliced": changes_sliced,
+    "price_changes_stamped": changes_stamped,
     "run_accumulator": run_accumulator,
     "run_merge": run_merge,
     "carry_forward": carried,
@@ -345,6 +390,8 @@ QUERIES: dict[str, Query] = {
     "csv_files": csv_files,
     "updown_append": updown_append,
     "stream_price_changes": stream_changes,
+    "stream_price_changes_batches": stream_changes_in_batches,
+    "stream_price_changes_timed": stream_changes_timed,
     "stream_day_window": stream_days,
     "stream_closed_days": stream_closed_days,
 }

@@ -1,6 +1,6 @@
-"""Price levels of a stock-day, and its first and last price."""
+"""Price levels of a stock-day, and its first and last price and ticks."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickwright.functions import amount
 from tickwright.operators.keys import with_transaction
@@ -9,6 +9,36 @@ from tickwright.schemas import AMOUNT, STOCK_DAY
 # Ties in time are settled by the transaction id.
 TICK_ORDER = ["order_time", "tran_id"]
 
+#: Characters of a clock time that a position holds; digits, colons and points sort as their text does.
+_CLOCK_LENGTH = 15
+
+
+def tick_position() -> Column:
+    """A tick's place in its day as one whole number, in the order of (order_time, tran_id).
+
+    Aggregates over a number of fixed width need no sort, unlike those over text. Times are compared as
+    text: each character is a digit to base 13, and what is shorter comes first. A missing time comes before
+    all; one that is not made of digits, colons and points, or is longer than 15 characters, fails the job.
+    Null without a transaction id.
+    """
+    time = F.coalesce("order_time", F.lit(""))
+    digits = F.rpad(F.translate(time, ".0123456789:", "123456789abc"), _CLOCK_LENGTH, "0")
+    number = F.conv(digits, 13, 10).cast("decimal(17,0)")
+    clock = time.rlike(rf"^[.0-9:]{{0,{_CLOCK_LENGTH}}}$")
+    checked = F.when(clock, number).otherwise(
+        F.raise_error(F.concat(F.lit("not a clock time: "), time)).cast("decimal(17,0)")
+    )
+    ids = F.expr("9223372036854775808BD") + F.col("tran_id").cast("decimal(20,0)")
+    place = checked * F.expr("18446744073709551616BD") + ids
+    return F.when(F.col("tran_id").isNotNull(), place.cast("decimal(38,0)"))
+
+
+def _level_sums() -> list[Column]:
+    return [
+        F.sum("volume").alias("volume_sum"),
+        F.sum(amount(F.col("price"), F.col("volume"))).cast(AMOUNT).alias("sum"),
+    ]
+
 
 def price_levels(ticks: DataFrame) -> DataFrame:
     """Volume and amount per stock-day and price.
@@ -17,40 +47,71 @@ def price_levels(ticks: DataFrame) -> DataFrame:
     neither sent whole nor gathered in one task.
     """
     priced = ticks.where(F.col("price").isNotNull())
-    return priced.groupBy(*STOCK_DAY, "price").agg(
-        F.sum("volume").alias("volume_sum"),
-        F.sum(amount(F.col("price"), F.col("volume"))).cast(AMOUNT).alias("sum"),
+    return priced.groupBy(*STOCK_DAY, "price").agg(*_level_sums())
+
+
+def opened_levels(ticks: DataFrame, close_default=None) -> DataFrame:
+    """Price levels with their day's ``start_price`` and ``end_price``, from one pass over the ticks.
+
+    Each level keeps the places of its first and last tick, and the day's are found among its levels, ticks
+    without a price included. A day without ticks that have a transaction id opens at 0 and closes at
+    ``close_default``; one whose first tick has no price is left out.
+    """
+    placed = ticks.withColumn("place", tick_position())
+    levels = placed.groupBy(*STOCK_DAY, "price").agg(
+        *_level_sums(), F.min("place").alias("first"), F.max("place").alias("last")
     )
+    day = Window.partitionBy(*STOCK_DAY)
+    edges = levels.withColumns(
+        {
+            "has_ticks": F.min("first").over(day).isNotNull(),
+            "open_price": F.min_by("price", "first").over(day),
+            "close_price": F.max_by("price", "last").over(day),
+        }
+    )
+    start = F.when(F.col("has_ticks"), F.col("open_price")).otherwise(F.lit(0)).cast("decimal(10,2)")
+    end = F.when(F.col("has_ticks"), F.col("close_price")).otherwise(F.lit(close_default))
+    opened = edges.where(F.col("price").isNotNull()).select(
+        *STOCK_DAY,
+        "price",
+        "volume_sum",
+        "sum",
+        start.alias("start_price"),
+        end.cast("decimal(10,2)").alias("end_price"),
+    )
+    return opened.where(F.col("start_price").isNotNull())
 
 
 def open_close(ticks: DataFrame) -> DataFrame:
     """First and last price of each stock-day: one row per task and day goes over the network."""
-    position = F.struct(*TICK_ORDER)
-    return (
-        with_transaction(ticks)
-        .groupBy(*STOCK_DAY)
-        .agg(
-            F.min_by("price", position).alias("open_price"),
-            F.max_by("price", position).alias("close_price"),
-        )
+    placed = with_transaction(ticks).select(*STOCK_DAY, "price", tick_position().alias("place"))
+    return placed.groupBy(*STOCK_DAY).agg(
+        F.min_by("price", "place").alias("open_price"), F.max_by("price", "place").alias("close_price")
     )
 
 
 def first_ticks(ticks: DataFrame) -> DataFrame:
     """The whole first tick of each stock-day."""
-    return _edge_ticks(ticks, F.min_by)
+    return ticks_at(ticks, STOCK_DAY, F.min)
 
 
 def last_ticks(ticks: DataFrame) -> DataFrame:
     """The whole last tick of each stock-day."""
-    return _edge_ticks(ticks, F.max_by)
+    return ticks_at(ticks, STOCK_DAY, F.max)
 
 
-def _edge_ticks(ticks: DataFrame, pick) -> DataFrame:
-    rest = [c for c in ticks.columns if c not in STOCK_DAY]
-    picked = (
-        with_transaction(ticks)
-        .groupBy(*STOCK_DAY)
-        .agg(pick(F.struct(*rest), F.struct(*TICK_ORDER)).alias("tick"))
-    )
-    return picked.select(*STOCK_DAY, "tick.*")
+def ticks_at(ticks: DataFrame, keys: list[str], edge, *sums: Column) -> DataFrame:
+    """The tick at the ``edge`` (``F.min`` or ``F.max``) of its key's places, with sums over the key if given.
+
+    The place is found by a hash aggregate, and the tick by a join on it: Spark broadcasts the places where
+    they are few, and else spreads the ticks by place. Of ticks at one place the smallest is taken.
+    """
+    placed = with_transaction(ticks).withColumn("place", tick_position())
+    edges = placed.groupBy(*keys).agg(edge("place").alias("edge"), *sums)
+    of_edge = [F.col(f"e.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    joined = placed.alias("t").join(edges.alias("e"), [*of_edge, F.col("e.edge") == F.col("t.place")])
+    rest = [c for c in ticks.columns if c not in keys]
+    extra = [c for c in edges.columns if c not in [*keys, "edge"]]
+    tick = F.struct(*[F.col(f"t.{c}").alias(c) for c in rest], *[F.col(f"e.{c}").alias(c) for c in extra])
+    picked = joined.groupBy(*[F.col(f"t.{k}").alias(k) for k in keys]).agg(F.sort_array(F.collect_list(tick))[0].alias("tick"))
+    return picked.select(*keys, "tick.*")

@@ -4,25 +4,36 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickwright.functions import amount
 from tickwright.operators.keys import with_transaction
+from tickwright.operators.levels import ticks_at
 from tickwright.schemas import AMOUNT, PRICE_CHANGES, STOCK_DAY
 
 _LAST = ["order_time", "tran_id", "order_dc", "price"]
 
 
-def run_aggregates() -> list[Column]:
-    """Aggregates of one run. All last values are those of the same, latest tick."""
-    position = F.struct("order_time", "tran_id")
+def _sums() -> list[Column]:
     return [
-        F.max_by(F.struct(*_LAST), position).alias("last"),
         F.sum("volume").alias("volume"),
         F.sum(amount(F.col("price"), F.col("volume"))).cast(AMOUNT).alias("sum"),
     ]
 
 
+def run_aggregates() -> list[Column]:
+    """Aggregates of one run of a stream. All last values are those of the same, latest tick."""
+    return [F.max_by(F.struct(*_LAST), F.struct("order_time", "tran_id")).alias("last"), *_sums()]
+
+
 def accumulate(ticks: DataFrame, *also_by: Column) -> DataFrame:
     """Mergeable run rows per stock-day, or per smaller part of it when more keys are given."""
+    names = [f"part_{k}" for k in range(len(also_by))]
     usable = with_transaction(ticks).where(F.col("price").isNotNull())
-    return usable.groupBy(*STOCK_DAY, *also_by).agg(*run_aggregates())
+    parts = usable.select(*STOCK_DAY, *_LAST, F.col("volume").alias("shares"), *[c.alias(n) for c, n in zip(also_by, names)])
+    sums = [
+        F.sum("shares").alias("volume"),
+        F.sum(amount(F.col("price"), F.col("shares"))).cast(AMOUNT).alias("sum"),
+    ]
+    return ticks_at(parts, [*STOCK_DAY, *names], F.max, *sums).select(
+        *STOCK_DAY, *names, F.struct(*_LAST).alias("last"), "volume", "sum"
+    )
 
 
 def merge_runs(parts: DataFrame) -> DataFrame:

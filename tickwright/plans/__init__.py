@@ -1,4 +1,4 @@
-from tickwright.plans.features import day_features
-from tickwright.plans.updown import updown_day
+from tickwright.plans.features import day_features, day_features_of_ticks
+from tickwright.plans.updown import updown_day, updown_day_of_ticks
 
-__all__ = ["day_features", "updown_day"]
+__all__ = ["day_features", "day_features_of_ticks", "updown_day", "updown_day_of_ticks"]

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickwright.functions import day_key, without_suffix
 from tickwright.operators.bands import band_index, band_sums, with_band_ratios
+from tickwright.operators.levels import opened_levels
 from tickwright.operators.moments import moment_sums, with_moment_terms, with_moments
 from tickwright.operators.totals import total_sums, with_averages
 from tickwright.plans.opening import with_open_close
@@ -25,10 +26,26 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
     )
     days = with_open_close(days, edges, STOCK_DAY).drop(*STOCK_DAY)
 
-    opened = with_moment_terms(levels.join(days, _DAY), _DAY).withColumn(
-        "band", band_index("price", "down_limit", "up_limit")
+    return _feature_rows(with_moment_terms(levels.join(days, _DAY), _DAY), _DAY)
+
+
+def day_features_of_ticks(ticks: DataFrame, limits: DataFrame) -> DataFrame:
+    """The same rows straight from ticks, which are read once.
+
+    ``limits`` is keyed as for ``day_features``; its code without the suffix is the ticks' code. Levels are
+    shuffled by stock-day once, for opening price, lowest price, limits and sums alike.
+    """
+    days = limits.select(*_DAY, "up_limit", "down_limit").distinct()
+    days = days.withColumns(
+        {"order_code": without_suffix(F.col("ts_code")), "order_date": F.col("trade_date")}
     )
-    sums = opened.groupBy(*_DAY, "up_limit", "down_limit", "start_price", "end_price").agg(
+    terms = with_moment_terms(opened_levels(ticks), STOCK_DAY)
+    return _feature_rows(terms.join(days, STOCK_DAY), [*STOCK_DAY, *_DAY])
+
+
+def _feature_rows(opened: DataFrame, keys: list[str]) -> DataFrame:
+    placed = opened.withColumn("band", band_index("price", "down_limit", "up_limit"))
+    sums = placed.groupBy(*keys, "up_limit", "down_limit", "start_price", "end_price").agg(
         *total_sums(),
         *moment_sums(),
         *band_sums("band", "volume_sum"),

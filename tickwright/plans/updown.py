@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickwright.functions import cents, half_up_ratio
+from tickwright.operators.levels import opened_levels
 from tickwright.operators.totals import day_totals
 from tickwright.plans.opening import with_open_close
 from tickwright.schemas import STOCK_DAY, UPDOWN
@@ -29,6 +30,20 @@ def updown_day(
     else:
         days = work_list.select(*STOCK_DAY).distinct()
         opened = levels.join(with_open_close(days, edges, STOCK_DAY, close_default), STOCK_DAY)
+    return _updown_rows(opened)
+
+
+def updown_day_of_ticks(
+    ticks: DataFrame, work_list: DataFrame | None = None, close_default=None
+) -> DataFrame:
+    """The same rows straight from ticks, which are read once; their levels are shuffled once more, by day."""
+    opened = opened_levels(ticks, close_default)
+    if work_list is not None:
+        opened = opened.join(work_list.select(*STOCK_DAY).distinct(), STOCK_DAY, "left_semi")
+    return _updown_rows(opened)
+
+
+def _updown_rows(opened: DataFrame) -> DataFrame:
     totals = day_totals(opened, [*STOCK_DAY, "start_price", "end_price"])
     rows = totals.where(F.col("price_min") != 0).withColumns(
         {

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,14 +26,21 @@ def build_session(app: str = "tickwright", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """One folder for this process, removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="tickwright-", ignore_cleanup_errors=True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Where that is not set, a session on one machine gets a temporary folder; a cluster gets an error.
+    Where that is not set, a session within this one process gets a temporary folder; a cluster gets an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tickwright-")
+        root = _own_folder().name
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

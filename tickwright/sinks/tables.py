@@ -52,16 +52,17 @@ def write_new_version(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def print_rows(df: DataFrame, rows: int = 20) -> None:
-    """Show the first rows."""
+    """Show a sample: the first ``rows`` rows."""
     df.show(rows, truncate=False)
 
 
-def print_stream(stream: DataFrame, checkpoint: str) -> StreamingQuery:
-    """Show the rows of each micro-batch."""
+def print_stream(stream: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQuery:
+    """Show a sample of each micro-batch: its first ``rows`` rows. Use ``drain`` to handle all."""
     return (
         stream.writeStream.format("console")
         .option("checkpointLocation", checkpoint)
         .option("truncate", "false")
+        .option("numRows", rows)
         .trigger(availableNow=True)
         .start()
     )

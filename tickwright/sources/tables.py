@@ -44,13 +44,19 @@ def jdbc_options(
     lower: str | int | None = None,
     upper: str | int | None = None,
     partitions: int | None = None,
+    whole: bool = False,
 ) -> dict[str, str]:
-    """Options of one JDBC read: a table or a free query, whole or split on a column."""
+    """Options of one JDBC read: a table or a free query, split on a column.
+
+    A read that isn't split goes through one task, so it has to be asked for: ``whole=True``, for what is small.
+    """
     if (table is None) == (query is None):
         raise ValueError("give either table or query")
     split = (partition_column, lower, upper, partitions)
     if any(x is not None for x in split) and any(x is None for x in split):
         raise ValueError("a split read needs partition_column, lower, upper and partitions")
+    if whole == (partition_column is not None):
+        raise ValueError("split the read on partition_column, or take it whole, in one task")
     if query is not None and partition_column is not None:
         table, query = f"({query}) split_source", None
     chosen = {

@@ -1,22 +1,44 @@
 """Price changes of a tick stream, with the last price per stock-day kept between batches."""
 
-from datetime import timedelta
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructType
 
-from tickwright.operators.changes import USED, last_prices, price_changes
+from tickwright.operators.changes import USED, price_changes
+from tickwright.operators.keys import with_transaction
+from tickwright.operators.levels import tick_position
 from tickwright.operators.previous import HOT_ROWS
-from tickwright.schemas import STOCK_DAY
+from tickwright.schemas import PRICE, STOCK_DAY
 from tickwright.streaming.drain import drain
 
+#: ``place`` is where the day's last tick stands, ``batch`` which batch wrote the day, ``slot`` one of two
+#: folders that a day's versions use in turn.
+STATE = (
+    StructType()
+    .add("order_code", StringType())
+    .add("price", PRICE)
+    .add("place", DecimalType(38, 0))
+    .add("batch", LongType())
+    .add("slot", IntegerType())
+    .add("order_date", DateType())
+)
+
+
+def _known(spark: SparkSession, path: str, days: list, number: int) -> DataFrame:
+    """The last ticks of the given days as they were before batch ``number``; other days' files aren't read."""
+    if number == 0 or not days:
+        return spark.createDataFrame([], STATE)
+    written = spark.read.schema(STATE).parquet(path)
+    older = written.where(F.col("order_date").isin(days) & (F.col("batch") < number))
+    newest = F.max("batch").over(Window.partitionBy("order_date"))
+    return older.withColumn("newest", newest).where("batch = newest").drop("newest")
+
 
 def stream_price_changes(
     ticks: DataFrame,
     output: str,
     work_dir: str,
     *,
-    keep_days: int | None = None,
     hot_over: int = HOT_ROWS,
     every: str | None = None,
 ) -> StreamingQuery:
@@ -24,38 +46,46 @@ def stream_price_changes(
 
     A keyed state function would need all ticks of a stock-day in a batch gathered and sorted in one
     Python task. Here each batch runs as the batch operator does, cut into slices where a stock-day is
-    large, and only the last price per stock-day passes from batch to batch, as a small table. Two
-    places for it are used in turn: a repeated batch reads what its predecessor wrote and replaces only
-    its own, so the result is the same after a failure.
+    large, and only the last price of each stock-day passes from batch to batch, in a folder for each day. A
+    batch reads and writes the folders of its own days only. Each day has two of them, used in turn: a
+    repeated batch reads what stood before it and replaces only its own, so the result is the same after a
+    failure.
 
-    Ticks of a stock-day must not come in an earlier batch than ticks before them. ``keep_days`` drops
-    last prices of days that many days behind the latest day seen.
+    A tick that does not come after the last one known of its stock-day is late: it is not taken into the
+    changes but written to ``work_dir/late/batch=<number>``. What is late is told by batches, not within one.
     """
-    schema = ticks.select(*STOCK_DAY, "price").schema
-
-    def place(number: int) -> str:
-        return f"{work_dir}/last_price/place={number % 2}"
+    state = f"{work_dir}/last_price"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch = batch.select(*USED).persist()
-        try:
-            known = None
-            if number > 0:
-                known = batch.sparkSession.read.schema(schema).parquet(place(number - 1))
-            latest = last_prices(batch)
-            before = None
-            if known is not None:
-                before = known.join(latest.select(*STOCK_DAY), STOCK_DAY, "left_semi")
-            changes = price_changes(batch, hot_over=hot_over, before=before)
-            changes.write.mode("overwrite").parquet(f"{output}/batch={number}")
-            if known is not None:
-                latest = latest.unionByName(known.join(latest, STOCK_DAY, "left_anti"))
-            if keep_days is not None:
-                newest = latest.agg(F.max("order_date")).first()[0]
-                if newest is not None:
-                    latest = latest.where(F.col("order_date") > newest - timedelta(days=keep_days))
-            latest.write.mode("overwrite").parquet(place(number))
-        finally:
-            batch.unpersist()
+        spark = batch.sparkSession
+        usable = with_transaction(batch.select(*USED)).dropna(subset=[*STOCK_DAY, "order_time", "price"])
+        days = [r.order_date for r in usable.select("order_date").distinct().collect()]
+        known = _known(spark, state, days, number)
+        kept = known.select(*STOCK_DAY, F.col("place").alias("kept"))
+        placed = usable.withColumn("place", tick_position()).join(kept, STOCK_DAY, "left")
+        late = F.coalesce(F.col("place") <= F.col("kept"), F.lit(False))
+        placed.where(late).select(*USED).write.mode("overwrite").parquet(f"{work_dir}/late/batch={number}")
+        fresh = placed.where(~late)
+        latest = fresh.groupBy(*STOCK_DAY).agg(
+            F.max_by("price", "place").alias("price"), F.max("place").alias("place")
+        )
+        before = known.select(*STOCK_DAY, "price").join(latest, STOCK_DAY, "left_semi")
+        changes = price_changes(fresh.select(*USED), hot_over=hot_over, before=before)
+        changes.write.mode("overwrite").parquet(f"{output}/batch={number}")
+
+        columns = [*STOCK_DAY, "price", "place"]
+        rest = known.select(*columns).join(latest, STOCK_DAY, "left_anti")
+        slots = known.select("order_date", "slot").distinct()
+        version = latest.select(*columns).unionByName(rest).join(slots, "order_date", "left")
+        version.select(
+            "order_code",
+            "price",
+            "place",
+            F.lit(number).cast("long").alias("batch"),
+            F.coalesce(1 - F.col("slot"), F.lit(0)).alias("slot"),
+            "order_date",
+        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "slot", "order_date"
+        ).parquet(state)
 
     return drain(ticks, write, f"{work_dir}/checkpoint", every=every)

@@ -12,13 +12,23 @@ from tickwright.schemas import PRICE_CHANGES, STOCK_DAY
 from tickwright.streaming.drain import drain
 
 
+def with_event_time(ticks: DataFrame) -> DataFrame:
+    """Ticks with their event time ``ts``, from day and clock time; null where those make no time."""
+    stamp = F.concat_ws(" ", F.date_format("order_date", "yyyy-MM-dd"), "order_time")
+    return ticks.withColumn("ts", F.try_to_timestamp(stamp))
+
+
 def day_window(ticks: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """Run rows per code and day. Ticks need an event time ``ts``; later ones than ``lateness`` go.
+    """Run rows per code and day. Ticks later than ``lateness`` behind the latest go, and those without a time.
+
+    The event time is ``ts``, or where ticks have none, it is made of day and clock time.
 
     In append mode a day is given once, when the watermark has passed its end; in update mode it is
     given again whenever it changes.
     """
-    usable = with_transaction(ticks).where(F.col("price").isNotNull())
+    if "ts" not in ticks.columns:
+        ticks = with_event_time(ticks)
+    usable = with_transaction(ticks).where(F.col("price").isNotNull() & F.col("ts").isNotNull())
     runs = (
         usable.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 day"), *STOCK_DAY)
