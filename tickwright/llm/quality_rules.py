@@ -25,7 +25,7 @@ RULES = [
     Rule("few_words", "n_words < 50"),
     Rule("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", "100 * n_symbols > 30 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", "n_lines >= 10 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     Rule("upper_case", "100 * n_upper > 40 * word_chars"),
     Rule("bare_words", "100 * n_bare_words > 20 * n_words"),
