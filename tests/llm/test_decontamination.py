@@ -64,6 +64,7 @@ def test_retrieval_equals_scoring_every_item(spark, monkeypatch):
     docs, items, _ = _corpus(4, 60)
     (index,) = indexes(_items(spark, items))
     passages = words_of([t for _, t in docs])
+    every = range(index.n_blocks)
     for words in passages:
         for _ in range(5):
             at = rng.randrange(max(1, len(words)))
@@ -73,15 +74,17 @@ def test_retrieval_equals_scoring_every_item(spark, monkeypatch):
                 for k, w in zip(index.items[t], index.weights[t]):
                     expected[k] = expected.get(k, 0) + w
             expected = {k: s for k, s in expected.items() if s + 1e-9 >= THRESHOLD}
-            found = dict(index.retrieve(numbers))
+            found = dict(index.retrieve(numbers, every))
             assert found.keys() == expected.keys() and all(abs(found[k] - s) < 1e-9 for k, s in expected.items())
-    # No passage that reaches the threshold is left out beforehand.
+    # No passage and block that reach the threshold are left out beforehand.
     numbers = [index.term_numbers(w) for w in passages]
-    told = set(index.passages(numbers))
+    told, reached = index.passages(numbers), 0
     for k, x in enumerate(numbers):
         for first in range(0, max(1, len(x) - index.stride), index.stride):
-            if index.retrieve(x[first : first + 2 * index.stride]):
-                assert (k, first) in told
+            for item, _ in index.retrieve(x[first : first + 2 * index.stride], every):
+                assert item // decontamination.BLOCK in told[k, first]
+                reached += 1
+    assert reached > 10
 
 
 def test_odd_texts_and_items(spark):

@@ -23,7 +23,7 @@ SHINGLE = 5
 #: The last part of an item is its answer.
 ANSWER_SHARE = 0.25
 K1, B = 1.2, 0.75
-#: Postings whose largest weight is kept.
+#: Neighbouring items whose postings of a term make a block; a block's largest weight is kept.
 BLOCK = 16
 #: Items that are searched for in one pass over the documents, and characters of them at most: the bound on
 #: what is sent to every task.
@@ -68,15 +68,23 @@ class Index:
         lists = [postings[t] for t in self.terms.tolist()]
         self.items = [[k for k, _ in found] for found in lists]
         self.weights = [[w for _, w in found] for found in lists]
-        self.most = [max(w) for w in self.weights]
-        self.block_most = [[max(w[b : b + BLOCK]) for b in range(0, len(w), BLOCK)] for w in self.weights]
+        self.blocks = [self._blocks(found) for found in lists]
         self._lay_out_bounds(len(items))
         self.shingles = [
             {tuple(w[k : k + SHINGLE].tolist()): k for k in range(len(w) - SHINGLE + 1)} for w in self.words
         ]
 
+    @staticmethod
+    def _blocks(found: list[tuple[int, float]]) -> dict[int, tuple[int, int, float]]:
+        """By block of items: the postings from, to, and the largest weight among them."""
+        blocks: dict[int, tuple[int, int, float]] = {}
+        for at, (k, weight) in enumerate(found):
+            first, _, most = blocks.get(k // BLOCK, (at, at, 0.0))
+            blocks[k // BLOCK] = first, at + 1, max(most, weight)
+        return blocks
+
     def _lay_out_bounds(self, n_items: int) -> None:
-        """Bounds over groups of neighbouring items, for telling in bulk which passages can reach the threshold.
+        """Largest weights by block, for telling in bulk which blocks a passage can reach the threshold in.
 
         Frequent terms are left out as long as no item loses more than half the threshold; what is left out
         is added to the bound as if every passage had it.
@@ -88,18 +96,15 @@ class Index:
             if (after <= THRESHOLD / 2).all():
                 left_out[self.items[t]] = after
                 self.frequent[t] = True
-        self.n_groups = -(-n_items // BLOCK)
-        self.group_left_out = np.array([left_out[g * BLOCK : (g + 1) * BLOCK].max() for g in range(self.n_groups)])
-        group, weight, self.group_starts = [], [], np.zeros(len(self.terms) + 1, np.int64)
-        for t in range(len(self.terms)):
-            best: dict[int, float] = {}
+        self.n_blocks = -(-n_items // BLOCK)
+        self.block_left_out = np.array([left_out[b * BLOCK : (b + 1) * BLOCK].max() for b in range(self.n_blocks)])
+        block, weight, self.block_starts = [], [], np.zeros(len(self.terms) + 1, np.int64)
+        for t, blocks in enumerate(self.blocks):
             if not self.frequent[t]:
-                for k, w in zip(self.items[t], self.weights[t]):
-                    best[k // BLOCK] = max(best.get(k // BLOCK, 0.0), w)
-            group += best
-            weight += best.values()
-            self.group_starts[t + 1] = len(group)
-        self.groups, self.group_weights = np.array(group, np.int64), np.array(weight)
+                block += blocks
+                weight += [most for _, _, most in blocks.values()]
+            self.block_starts[t + 1] = len(block)
+        self.block_numbers, self.block_weights = np.array(block, np.int64), np.array(weight)
 
     def term_numbers(self, words: np.ndarray) -> np.ndarray:
         """-1 for words that no item has."""
@@ -108,8 +113,8 @@ class Index:
         at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
         return np.where(self.terms[at] == words, at, -1)
 
-    def passages(self, numbers: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-        """(text, first word) of the passages that can reach the threshold.
+    def passages(self, numbers: list[np.ndarray]) -> dict[tuple[int, int], list[int]]:
+        """By (text, first word) of the passages, the blocks in which they can reach the threshold.
 
         A passage is two neighbouring cells of as many words as the longest item has, so that any such
         stretch lies within one. Its bound adds up the largest weights of its cells' terms.
@@ -117,83 +122,74 @@ class Index:
         counts = np.array([len(x) for x in numbers])
         cells = np.maximum(-(-counts // self.stride), 1)
         first_cell = np.cumsum(cells) - cells
-        n_cells = int(cells.sum())
         flat = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
         cell = np.repeat(first_cell, counts) + place // self.stride
         heard = flat >= 0
         heard[heard] &= ~self.frequent[flat[heard]]
-        pair = np.unique(cell[heard] * len(self.terms) + flat[heard])
-        cell, term = pair // max(len(self.terms), 1), pair % max(len(self.terms), 1)
-        begin, n = self.group_starts[term], self.group_starts[term + 1] - self.group_starts[term]
+        cell, term = np.divmod(np.unique(cell[heard] * len(self.terms) + flat[heard]), max(len(self.terms), 1))
+        begin, n = self.block_starts[term], self.block_starts[term + 1] - self.block_starts[term]
         at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        owner = np.repeat(cell, n)
-        # Only cells with any such term have a bound worth a sum; the others can't reach the threshold.
-        key = owner * self.n_groups + self.groups[at]
-        keys, which = np.unique(key, return_inverse=True)
-        sums = np.bincount(which, self.group_weights[at], minlength=len(keys))
-        last_cell = first_cell + cells - 1
-        text = np.searchsorted(first_cell, keys // self.n_groups, "right") - 1
-        has_next = keys // self.n_groups < last_cell[text]
-        after = np.searchsorted(keys, keys + self.n_groups)
-        after = np.minimum(after, max(len(keys) - 1, 0))
-        next_sum = np.where(has_next & (keys[after] == keys + self.n_groups), sums[after], 0.0) if len(keys) else sums
-        has_before = keys // self.n_groups > first_cell[text]
-        bound = self.group_left_out[keys % self.n_groups] + 1e-9
-        # As the first cell of a passage, and as the second one.
-        as_first = keys[sums + next_sum + bound >= THRESHOLD] // self.n_groups
-        before = np.searchsorted(keys, keys - self.n_groups)
-        before = np.minimum(before, max(len(keys) - 1, 0))
-        before_sum = np.where(keys[before] == keys - self.n_groups, sums[before], 0.0) if len(keys) else sums
-        as_second = keys[has_before & (sums + before_sum + bound >= THRESHOLD)] // self.n_groups - 1
-        for c in np.unique(np.concatenate([as_first, as_second])):
-            k = int(np.searchsorted(first_cell, c, "right") - 1)
-            # The last cell of a long text is the second one of its last passage.
-            yield k, int(min(c - first_cell[k], max(cells[k] - 2, 0))) * self.stride
-
-    def retrieve(self, numbers: np.ndarray) -> list[tuple[int, float]]:
-        """All items whose score for the passage reaches the threshold, by block-max WAND."""
+        # Blocks without any such term in a cell can't reach the threshold there.
+        keys, which = np.unique(np.repeat(cell, n) * self.n_blocks + self.block_numbers[at], return_inverse=True)
+        found: dict[tuple[int, int], list[int]] = {}
+        if not len(keys):
+            return found
+        sums = np.bincount(which, self.block_weights[at], minlength=len(keys))
+        cell, block = np.divmod(keys, self.n_blocks)
+        text = np.searchsorted(first_cell, cell, "right") - 1
+
+        def other(step: int, inside: np.ndarray) -> np.ndarray:
+            """The same block's sum in a neighbouring cell of the same text."""
+            k = np.minimum(np.searchsorted(keys, keys + step * self.n_blocks), len(keys) - 1)
+            return np.where(inside & (keys[k] == keys + step * self.n_blocks), sums[k], 0.0)
+
+        bound = sums + self.block_left_out[block] + 1e-9
+        has_next, has_before = cell < first_cell[text] + cells[text] - 1, cell > first_cell[text]
+        as_first = bound + other(1, has_next) >= THRESHOLD
+        as_second = has_before & (bound + other(-1, has_before) >= THRESHOLD)
+        for flags, back in ((as_first, 0), (as_second, 1)):
+            for c, k, b in zip(cell[flags] - back, text[flags], block[flags].tolist()):
+                # The last cell of a long text is the second one of its last passage.
+                at_cell = min(c - first_cell[k], max(cells[k] - 2, 0))
+                blocks = found.setdefault((int(k), int(at_cell) * self.stride), [])
+                if b not in blocks:
+                    blocks.append(b)
+        return found
+
+    def retrieve(self, numbers: np.ndarray, blocks: list[int]) -> list[tuple[int, float]]:
+        """All items of these blocks whose score for the passage reaches the threshold, by block-max WAND."""
         terms = np.unique(numbers[numbers >= 0]).tolist()
-        cursor = {t: 0 for t in terms}
         found = []
+        for b in sorted(blocks):
+            here = [(t, *self.blocks[t][b]) for t in terms if b in self.blocks[t]]
+            if sum(most for *_, most in here) + 1e-9 >= THRESHOLD:
+                found += self._retrieve_in_block(here)
+        return found
+
+    def _retrieve_in_block(self, here: list[tuple[int, int, int, float]]) -> Iterator[tuple[int, float]]:
+        """``here``: terms with their block's postings from, to, and largest weight."""
+        cursor = {t: at for t, at, _, _ in here}
         while True:
-            live = sorted((t for t in terms if cursor[t] < len(self.items[t])), key=lambda t: self.items[t][cursor[t]])
+            live = sorted((self.items[t][cursor[t]], t, most) for t, _, to, most in here if cursor[t] < to)
             total, pivot = 0.0, None
-            for n, t in enumerate(live):
-                total += self.most[t]
+            for item, _, most in live:
+                total += most
                 if total + 1e-9 >= THRESHOLD:
-                    pivot = self.items[t][cursor[t]]
+                    pivot = item
                     break
             if pivot is None:
-                return found
-            # All that stand at the pivot count, also behind the term that reached it.
-            ahead = [t for t in live if self.items[t][cursor[t]] <= pivot]
-            bound, leap = 0.0, None
-            for t in ahead:
-                at = cursor[t]
-                while at < len(self.items[t]) and self.items[t][min(at // BLOCK * BLOCK + BLOCK, len(self.items[t])) - 1] < pivot:
-                    at = (at // BLOCK + 1) * BLOCK
-                if at < len(self.items[t]):
-                    bound += self.block_most[t][at // BLOCK]
-                    end = self.items[t][min(at // BLOCK * BLOCK + BLOCK, len(self.items[t])) - 1] + 1
-                    leap = end if leap is None else min(leap, end)
-            if bound + 1e-9 < THRESHOLD:
-                # No item up to the end of the shortest block can do it, unless a further term starts before.
-                beyond = [self.items[t][cursor[t]] for t in live if t not in ahead]
-                to = min([pivot + 1 if leap is None else max(leap, pivot + 1), *beyond])
-                for t in ahead:
-                    while cursor[t] < len(self.items[t]) and self.items[t][cursor[t]] < to:
-                        cursor[t] += 1
-                continue
+                return
             score = 0.0
-            for t in ahead:
-                while cursor[t] < len(self.items[t]) and self.items[t][cursor[t]] < pivot:
+            for t, _, to, _ in here:
+                # Items before the pivot can't reach the threshold.
+                while cursor[t] < to and self.items[t][cursor[t]] < pivot:
                     cursor[t] += 1
-                if cursor[t] < len(self.items[t]) and self.items[t][cursor[t]] == pivot:
+                if cursor[t] < to and self.items[t][cursor[t]] == pivot:
                     score += self.weights[t][cursor[t]]
                     cursor[t] += 1
             if score + 1e-9 >= THRESHOLD:
-                found.append((pivot, score))
+                yield pivot, score
 
     def verify(self, item: int, words: np.ndarray, first: int) -> tuple[float, float, int] | None:
         """Overlaps of question and answer where the passage shares most shingles with the item."""
@@ -218,8 +214,8 @@ class Index:
         words = words_of(texts)
         numbers = np.split(self.term_numbers(np.concatenate(words)), np.cumsum([len(w) for w in words])[:-1]) if texts else []
         best: dict[tuple[int, int], Leak] = {}
-        for text, first in self.passages(numbers):
-            for item, score in self.retrieve(numbers[text][first : first + 2 * self.stride]):
+        for (text, first), blocks in self.passages(numbers).items():
+            for item, score in self.retrieve(numbers[text][first : first + 2 * self.stride], blocks):
                 checked = self.verify(item, words[text], first)
                 if checked and checked[0] >= OVERLAP and checked[1] >= OVERLAP:
                     leak = Leak(self.ids[item], score, *checked)
