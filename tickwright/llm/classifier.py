@@ -236,11 +236,9 @@ def keep_by_quality(
 ) -> DataFrame:
     """The rows of docs, with all their columns, whose score reaches the threshold.
 
-    Rows are scored where their text is: the text is read twice and nothing is joined back to it.
+    Rows are scored where their text is: the text is read twice and never shuffled.
     """
-    known = known_labels(labels).select(F.col("doc_id").alias("known_id"))
-    taught = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("known_id"), "left_semi")
-    model = learn(spark, document_statistics(taught), labels)
+    model = learn(spark, document_statistics(docs), labels)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
