@@ -48,8 +48,9 @@ def test_components_equal_all_pairs(spark, seed, size):
     assert {r.doc_id: r.n_shingles for r in found} == sets
 
 
-def test_blocks_of_a_large_neighbourhood(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+@pytest.mark.parametrize("block", [60, 300, 2000])
+def test_blocks_of_a_large_neighbourhood(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", block)
     rows = _corpus(5)
     found = near_duplicates(spark, _frame(spark, rows), 2).collect()
     assert {r.doc_id: r.component_id for r in found} == brute.components(rows, 2)
@@ -67,7 +68,8 @@ def test_small_sets_are_never_missed(a, b):
             values, _ = minhash.distinct_shingles([t.encode()], 1, minhash.Powers())
             runs.append(set(minhash._listed(values).tolist()))
         assert runs[0] & runs[1]
-        assert minhash._star_links(np.array([0, 1]), texts, 0, 1, 80) == [(0, 1)]
+        none = np.zeros(2, bool)
+        assert minhash._tree_links(np.array([0, 1]), texts, np.array([0, 1]), none, 1, 80) == [(0, 1)]
 
 
 def test_repeated_rows_and_null_ids(spark):

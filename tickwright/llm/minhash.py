@@ -74,11 +74,14 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, _SKETCH)
 
 
-def _star_links(ids: np.ndarray, texts: list[str], head: int, size: int, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked among these documents, a tree for each component.
-
-    All are compared with the head; what isn't linked to it is compared with all. Links between documents
-    that are connected already are not looked for.
+def _tree_links(
+    ids: np.ndarray, texts: list[str], asked: np.ndarray, joined: np.ndarray, size: int, percent: int
+) -> list[tuple[int, int]]:
+    """Links that connect what is linked with the documents ``asked``, a tree for each component.
+
+    Those asked are numbers of documents, in turn compared with all that they aren't connected with yet.
+    ``joined`` marks documents that are known to be connected with each other; another one that comes to be
+    connected with them is not asked any more.
     """
     values, counts = distinct_shingles([t.encode().lower() for t in texts], size, Powers())
     after = np.cumsum(counts)
@@ -122,56 +125,85 @@ def _star_links(ids: np.ndarray, texts: list[str], head: int, size: int, percent
                     found.append(y)
         return found
 
+    known = np.flatnonzero(joined)
+    parent[known] = known[0] if len(known) else 0
     edges = []
-
-    def meet(x: int) -> None:
-        if counts[x]:
+    for x in asked:
+        if counts[x] and (joined[x] or not len(known) or root(x) != root(known[0])):
             for y in linked(x):
                 a, b = sorted((root(x), root(y)))
                 if a != b:
                     parent[b] = a
                     edges.append((int(ids[x]), int(ids[y])))
-
-    heads = np.flatnonzero(ids == head)
-    for x in heads:
-        meet(x)
-    joined = {root(x) for x in heads}
-    for x in range(m):
-        if ids[x] != head and root(x) not in joined:
-            meet(x)
-            joined = {root(y) for y in heads}
     return edges
 
 
-def near_links(docs: DataFrame, lists: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) that connect all that is linked; ``lists`` has a row (run, doc_id, n) for each listed run."""
+def _blocks(weight) -> "F.Column":
+    return F.ceil(weight / BLOCK_SHINGLES).cast("long")
+
+
+def _every(blocks: str) -> "F.Column":
+    return F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)
+
+
+def near_links(spark: SparkSession, docs: DataFrame, lists: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect all that is linked; ``lists`` has a row (run, doc_id, n) for each listed run.
+
+    Whoever shares a run with another shares the run's head with it, its smallest id. So documents are
+    compared around their heads, in blocks that a task can hold: first all with the head, then those that
+    aren't linked to it with all. A neighbourhood of one block does both at once.
+    """
     heads = lists.groupBy("run").agg(F.min("doc_id").alias("head"), F.count("*").alias("m")).where("m > 1").drop("m")
-    # Whoever shares a run with another shares its head too.
-    stars = lists.join(heads, "run").groupBy("head", "doc_id").agg(F.max("n").alias("n"))
+    path = shared_dir(spark, "heads")
+    lists.join(heads, "run").groupBy("head", "doc_id").agg(F.max("n").alias("n")).write.parquet(path)
+    stars = spark.read.parquet(path)
     weights = stars.groupBy("head").agg(F.sum("n").alias("weight"), F.count("*").alias("m")).where("m > 1")
-    blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
-    dealt = (
-        stars.join(weights.select("head", blocks.alias("blocks")), "head")
-        .withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
-    )
-    # Each pair of blocks meets in one task; the head is in all of them.
-    is_head = F.col("head") == F.col("doc_id")
-    every = F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)
-    tasks = (
-        dealt.withColumn("own", F.explode(F.when(is_head, every).otherwise(F.array("own"))))
-        .where(~is_head | (F.col("own") <= F.col("other")))
-        .select(F.col("doc_id").alias("member"), "head", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    )
-    texts = docs.select("doc_id", "text").join(tasks, F.col("doc_id") == F.col("member"))
+    sized = weights.select("head", _blocks(F.col("weight")).alias("blocks"))
+    members = stars.join(sized, "head").withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
 
-    def links(group: pd.DataFrame) -> pd.DataFrame:
+    def with_texts(tasks: DataFrame) -> DataFrame:
+        return texts.join(tasks, F.col("id") == F.col("doc_id")).drop("id")
+
+    def around_head(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["doc_id", "text"])
-        found = _star_links(group["doc_id"].to_numpy(), list(group["text"]), int(group["head"].iloc[0]), size, percent)
+        ids, large = group["doc_id"].to_numpy(), group["blocks"].iloc[0] > 1
+        is_head = ids == group["head"].iloc[0]
+        asked = np.flatnonzero(is_head) if large else np.concatenate([np.flatnonzero(is_head), np.flatnonzero(~is_head)])
+        found = _tree_links(ids, list(group["text"]), asked, is_head, size, percent)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64").assign(large=large)
+
+    is_head = F.col("head") == F.col("doc_id")
+    in_blocks = members.withColumn("block", F.explode(F.when(is_head, _every("blocks")).otherwise(F.array("block"))))
+    first_path = shared_dir(spark, "links-with-heads")
+    with_texts(in_blocks).groupBy("head", "block").applyInPandas(
+        around_head, "a long, b long, large boolean"
+    ).write.parquet(first_path)
+    first = spark.read.parquet(first_path)
+    links = first.select("a", "b")
+    if not sized.where("blocks > 1").limit(1).count():
+        return links
+
+    def among_members(group: pd.DataFrame) -> pd.DataFrame:
+        # Who is asked may also be a member of this block.
+        group = group.sort_values("asked", ascending=False).drop_duplicates(["doc_id", "text"])
+        asked = np.flatnonzero(group["asked"].to_numpy())
+        found = _tree_links(group["doc_id"].to_numpy(), list(group["text"]), asked, group["joined"].to_numpy(), size, percent)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    grouped = texts.select("doc_id", "text", "head", "i", "j").groupBy("head", "i", "j")
-    return grouped.applyInPandas(links, "a long, b long")
+    direct = first.where("large").select(F.col("a").alias("head"), F.col("b").alias("doc_id"), F.lit(True).alias("direct"))
+    large = members.where((F.col("blocks") > 1) & ~is_head).join(direct, ["head", "doc_id"], "left")
+    large = large.withColumn("joined", F.col("direct").isNotNull())
+    open_weights = large.where(~F.col("joined")).groupBy("head").agg(F.sum("n").alias("open_weight"))
+    asked = large.join(open_weights.select("head", _blocks(F.col("open_weight")).alias("open_blocks")), "head")
+    columns = ["doc_id", "head", "part", "block", "asked", "joined"]
+    searched = asked.select("*", F.explode(_every("open_blocks")).alias("part"), F.lit(False).alias("asked"))
+    own_part = F.pmod(F.xxhash64("doc_id", F.lit("open")), "open_blocks").alias("part")
+    asking = asked.where(~F.col("joined")).drop("block").select("*", own_part, F.lit(True).alias("asked"), F.explode(_every("blocks")).alias("block"))
+    tasks = searched.select(*columns).unionByName(asking.select(*columns))
+    return links.unionByName(
+        with_texts(tasks).groupBy("head", "part", "block").applyInPandas(among_members, "a long, b long")
+    )
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -195,7 +227,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, p
     classes = spark.read.parquet(classes_path)
     links_path = shared_dir(spark, "near-links")
     lists = classes.select(F.col("rep").alias("doc_id"), "n", F.explode("runs").alias("run"))
-    near_links(rows, lists, size, percent).write.parquet(links_path)
+    near_links(spark, rows, lists, size, percent).write.parquet(links_path)
     roots = components(spark, spark.read.parquet(links_path))
     copied = classes.join(roots, F.col("rep") == F.col("node"), "left").where("m > 1 OR root IS NOT NULL")
     component = copied.select(
