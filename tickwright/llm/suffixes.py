@@ -8,7 +8,8 @@ one bucket at a time by the fewer than ``v`` bytes before and after a ranked win
 the long tie between them, so memory is bounded by the bucket and not by how long the ties are.
 
 Texts lie in chunks, laid out one after another on a line on which every text begins at a multiple of ``v``;
-sampled positions travel as packed numbers of a chunk and bucket.
+sampled positions travel as packed numbers of a chunk and bucket. What repeats within a chunk is settled there:
+its bucket gets one of it, so a passage that a third of all texts share costs a bucket a place for each chunk.
 """
 
 import hashlib
@@ -20,7 +21,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, prefixes, window_hashes
+from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, powers, prefixes, window_hashes
 
 LENGTH = 400
 #: Text of a chunk at least, and at most if no one text is larger.
@@ -122,6 +123,12 @@ def _by_bucket(chunk: int, bucket: np.ndarray, order: np.ndarray, **columns: Cal
     return pd.DataFrame(rows, columns=["bucket", "chunk", *columns])
 
 
+def _rows(parts: list[pd.DataFrame], columns: list[str]) -> pd.DataFrame:
+    """The parts that have rows, with all columns; what a part lacks is null."""
+    some = [p for p in parts if len(p)]
+    return pd.concat(some).reindex(columns=columns).astype(object).where(lambda x: x.notna(), None) if some else pd.DataFrame(columns=columns)
+
+
 def _per_row(rows: pd.DataFrame, counts: list[int], flags: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The chunk of each row that has flagged elements, and which."""
     after = np.cumsum(counts)
@@ -144,52 +151,81 @@ def _repeats(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Blocks:
-    """The steps, each a function of one chunk's or one bucket's rows."""
+    """The steps, each a function of one chunk's or one bucket's rows.
+
+    ``kind`` tells what a row's places are. Of those that repeat within a chunk the first goes to its bucket
+    as ``several``; the others are decided and only pass through any bucket, by the chunk's number.
+    """
 
     def __init__(self, length: int, buckets: int):
         self.length, self.buckets = length, buckets
         self.v, self.cover = cover_for(length)
         self.window = length - self.v + 1
-
-    def _keyed(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        bucket = ((names >> np.uint64(KEY_BITS)) % np.uint64(self.buckets)).astype(np.int64)
-        return bucket, names & np.uint64((1 << KEY_BITS) - 1)
+        self.side = self.v - 1
+        # A suffix k places before a ranked window shares the k bytes before it and side - k after it, so at
+        # least half of the bytes on one side: those who share half before and those who share half behind
+        # meet apart. For each family: first and last k, bytes sent from before and after, bytes that must agree.
+        half = -(-self.side // 2)
+        self.families = {
+            "before": (half, self.side, self.side, self.side - half, half),
+            "after": (0, half - 1, half - 1, self.side, self.side - half + 1),
+        }
+
+    def _named(self, hashes: np.ndarray) -> np.ndarray:
+        """Names with their bucket in the upper bits."""
+        bits = np.uint64(KEY_BITS)
+        return ((hashes >> bits) % np.uint64(self.buckets)) << bits | hashes & np.uint64((1 << KEY_BITS) - 1)
+
+    def _through(self, chunk: int, kind: str, places: np.ndarray, **columns) -> pd.DataFrame:
+        """What is decided already."""
+        if not len(places):
+            return pd.DataFrame()
+        return pd.DataFrame([{"bucket": chunk % self.buckets, "chunk": chunk, "kind": kind, "places": packed_places(places)} | columns])
 
     def name_samples(self, chunk: pd.DataFrame) -> pd.DataFrame:
         """Chunk to buckets: place and key of every sample."""
-        line = Line(chunk, self.v)
-        places = line.samples(self.length, self.v, self.cover)
-        places.sort()
-        bucket, key = self._keyed(line.hashes(places, self.window))
-        order = np.argsort(bucket, kind="stable")
+        line, number = Line(chunk, self.v), int(chunk["chunk"].iloc[0])
+        places = np.sort(line.samples(self.length, self.v, self.cover))
+        names = self._named(line.hashes(places, self.window))
+        again, first = _repeats(names)
+        rest = again & ~first
+        rows = [self._through(number, "ranked", places[rest], keys=packed(names[rest], 8))]
+        for kind, flags in (("one", ~again), ("several", again & first)):
+            rows.append(self._keyed_rows(number, kind, places[flags], names[flags]))
+        return _rows(rows, ["bucket", "chunk", "kind", "places", "keys"])
+
+    def _keyed_rows(self, chunk: int, kind: str, places: np.ndarray, names: np.ndarray, **columns) -> pd.DataFrame:
+        bucket = (names >> np.uint64(KEY_BITS)).astype(np.int64)
         return _by_bucket(
-            int(chunk["chunk"].iloc[0]),
+            chunk,
             bucket,
-            order,
+            np.argsort(bucket, kind="stable"),
+            kind=lambda _: kind,
             places=lambda at: packed_places(places[at]),
-            keys=lambda at: packed(key[at], KEY_BITS // 8),
+            keys=lambda at: packed(names[at], KEY_BITS // 8),
+            **columns,
         )
 
     def rank_samples(self, rows: pd.DataFrame) -> pd.DataFrame:
-        """Bucket to chunks: the samples whose window occurs again; their key is their rank."""
-        places, keys = [unpacked_places(p) for p in rows["places"]], np.concatenate([unpacked(k, KEY_BITS // 8) for k in rows["keys"]])
-        again, _ = _repeats(keys)
-        at = np.concatenate(places)
-        bucket = int(rows["bucket"].iloc[0])
-        found = [
-            (chunk, bucket, packed_places(at[k]), packed(keys[k], KEY_BITS // 8))
-            for chunk, k in _per_row(rows, [len(p) for p in places], again)
-        ]
-        return pd.DataFrame(found, columns=["chunk", "bucket", "places", "keys"])
+        """Bucket to chunks: the samples whose window occurs again; their name is their rank."""
+        bucket = np.uint64(rows["bucket"].iloc[0]) << np.uint64(KEY_BITS)
+        through, rows = rows[rows["kind"] == "ranked"], rows[rows["kind"] != "ranked"]
+        found = list(through[["chunk", "places", "keys"]].itertuples(index=False, name=None))
+        if len(rows):
+            places = [unpacked_places(p) for p in rows["places"]]
+            keys = np.concatenate([unpacked(k, KEY_BITS // 8) for k in rows["keys"]])
+            counts = [len(p) for p in places]
+            again = _repeats(keys)[0] | np.repeat((rows["kind"] == "several").to_numpy(), counts)
+            at = np.concatenate(places)
+            found += [(chunk, packed_places(at[k]), packed(keys[k] | bucket, 8)) for chunk, k in _per_row(rows, counts, again)]
+        return pd.DataFrame(found, columns=["chunk", "places", "keys"])
 
     def chain_ranks(self, rows: pd.DataFrame) -> pd.DataFrame:
         """Chunk to buckets: each ranked sample with the ranks of the samples ``v`` before and after it, or 0."""
-        places = [unpacked_places(p) for p in rows["places"]]
-        buckets = np.repeat(rows["bucket"].to_numpy(), [len(p) for p in places])
-        places, keys = np.concatenate(places), np.concatenate([unpacked(k, KEY_BITS // 8) for k in rows["keys"]])
+        places = np.concatenate([unpacked_places(p) for p in rows["places"]])
+        names = np.concatenate([unpacked(k, 8) for k in rows["keys"]])
         order = np.argsort(places, kind="stable")
-        places, keys, buckets = places[order], keys[order], buckets[order]
-        names = keys | (buckets.astype(np.uint64) << np.uint64(KEY_BITS))
+        places, names = places[order], names[order]
 
         def at(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             k = np.minimum(np.searchsorted(places, wanted), len(places) - 1)
@@ -198,105 +234,139 @@ class Blocks:
         (before, has_before), (after, has_after) = at(places - self.v), at(places + self.v)
         chain = mixed(mixed(before * BASE + names) * BASE + after) | np.uint64(1)
         chain[~(has_before & has_after)] = 0
-        order = np.argsort(buckets, kind="stable")
-        return _by_bucket(
-            int(rows["chunk"].iloc[0]),
-            buckets,
-            order,
-            places=lambda k: packed_places(places[k]),
-            keys=lambda k: packed(keys[k], KEY_BITS // 8),
-            chains=lambda k: packed(chain[k], 8),
-        )
+        again, first = _repeats(names, chain)
+        number = int(rows["chunk"].iloc[0])
+        out = [
+            self._through(number, "settled", places[~first & (chain > 0)]),
+            self._through(number, "compare", places[~first & (chain == 0)]),
+        ]
+        for kind, flags in (("one", ~again), ("several", again & first)):
+            chains = chain[flags]
+            out.append(
+                self._keyed_rows(number, kind, places[flags], names[flags], chains=lambda k, c=chains: packed(c[k], 8))
+            )
+        return _rows(out, ["bucket", "chunk", "kind", "places", "keys", "chains"])
 
     def settle(self, rows: pd.DataFrame) -> pd.DataFrame:
         """Bucket to chunks: samples settled by their chains, and samples to compare.
 
         Settled ones are compared only where others of their rank are open, one for each chain.
         """
-        places = [unpacked_places(p) for p in rows["places"]]
-        at = np.concatenate(places)
-        keys = np.concatenate([unpacked(k, KEY_BITS // 8) for k in rows["keys"]])
-        chains = np.concatenate([unpacked(c, 8) for c in rows["chains"]])
-        again, first = _repeats(keys, chains)
-        settled = again & (chains > 0)
-        open_ = np.isin(keys, np.unique(keys[~settled]))
-        compare = ~settled | (open_ & first)
-        found = []
-        for kind, flags in (("settled", settled), ("compare", compare)):
-            found += [(chunk, kind, packed_places(at[k])) for chunk, k in _per_row(rows, [len(p) for p in places], flags)]
+        decided = rows["kind"].isin(["settled", "compare"])
+        found = list(rows[decided][["chunk", "kind", "places"]].itertuples(index=False, name=None))
+        rows = rows[~decided]
+        if len(rows):
+            places = [unpacked_places(p) for p in rows["places"]]
+            at, counts = np.concatenate(places), [len(p) for p in places]
+            keys = np.concatenate([unpacked(k, KEY_BITS // 8) for k in rows["keys"]])
+            chains = np.concatenate([unpacked(c, 8) for c in rows["chains"]])
+            again, first = _repeats(keys, chains)
+            settled = (again | np.repeat((rows["kind"] == "several").to_numpy(), counts)) & (chains > 0)
+            open_ = np.isin(keys, np.unique(keys[~settled]))
+            for kind, flags in (("settled", settled), ("compare", ~settled | (open_ & first))):
+                found += [(chunk, kind, packed_places(at[k])) for chunk, k in _per_row(rows, counts, flags)]
         return pd.DataFrame(found, columns=["chunk", "kind", "places"])
 
     def contexts(self, chunk: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        """Chunk to buckets: the samples to compare with the bytes around their windows."""
-        columns = ["bucket", "chunk", "places", "names", "room", "around"]
+        """Chunk to buckets: the samples to compare with the bytes around their windows, once for each family."""
+        columns = ["bucket", "chunk", "kind", "family", "places", "names", "room", "around"]
         if chunk.empty or rows.empty:
             return pd.DataFrame(columns=columns)
-        line = Line(chunk, self.v)
+        line, number = Line(chunk, self.v), int(chunk["chunk"].iloc[0])
         places = np.sort(np.concatenate([unpacked_places(p) for p in rows["places"]]))
-        names = line.hashes(places, self.window)
-        bucket, _ = self._keyed(names)
-        # A second hash of the window, independent of the first.
-        second = _second_hashes(line, places, self.window)
         text = line.text_of(places)
-        side = self.v - 1
-        left = np.minimum(side, places - line.starts[text])
-        right = np.minimum(side, line.starts[text] + line.sizes[text] - places - self.window)
-        steps = np.arange(side)
-
-        def around(k: np.ndarray) -> bytes:
-            before = line.bytes[places[k][:, None] - 1 - steps]
-            after = line.bytes[places[k][:, None] + self.window + steps]
-            return np.hstack([before, after]).tobytes()
-
-        order = np.argsort(bucket, kind="stable")
-        return _by_bucket(
-            int(chunk["chunk"].iloc[0]),
-            bucket,
-            order,
-            places=lambda k: packed_places(places[k]),
-            names=lambda k: packed(names[k], 8) + packed(second[k], 8),
-            room=lambda k: packed(left[k].astype(np.uint64), 2) + packed(right[k].astype(np.uint64), 2),
-            around=around,
-        )
+        left = np.minimum(self.side, places - line.starts[text])
+        right = np.minimum(self.side, line.starts[text] + line.sizes[text] - places - self.window)
+        names, second = line.hashes(places, self.window), _second_hashes(line, places, self.window)
+        out = []
+        for family, (first_k, last_k, n_before, n_after, near) in self.families.items():
+            if last_k < first_k:
+                continue
+            fits = np.flatnonzero((left if family == "before" else right) >= near)
+            before = line.bytes[places[fits][:, None] - 1 - np.arange(n_before)]
+            after = line.bytes[places[fits][:, None] + self.window + np.arange(n_after)]
+            around = np.ascontiguousarray(np.hstack([before, after]))
+            room = np.minimum(left[fits], n_before), np.minimum(right[fits], n_after)
+            # What is the same in all bytes shares every suffix that fits; one of it is compared with others.
+            facts = np.hstack([x.astype("<u8")[:, None].view(np.uint8).reshape(len(fits), -1) for x in (names[fits], second[fits], *room)])
+            whole = np.ascontiguousarray(np.hstack([facts, around]))
+            _, index, same, counts = np.unique(
+                whole.view(f"V{whole.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True
+            )
+            first = index[same] == np.arange(len(fits))
+            start, last = places[fits] - np.minimum(room[0], last_k), places[fits] - np.maximum(self.side - room[1], first_k)
+            sure = ~first & (start <= last)
+            if sure.any():
+                runs = packed(start[sure].astype(np.uint64), 5) + packed(last[sure].astype(np.uint64), 5)
+                out.append(pd.DataFrame([{"bucket": number % self.buckets, "chunk": number, "kind": "runs", "places": runs}]))
+            agreed = (before if family == "before" else after)[:, :near].astype(np.uint64) + np.uint64(1)
+            met = mixed(names[fits] ^ mixed((agreed * powers(BASE, near)[:near]).sum(axis=1, dtype=np.uint64)))
+            bucket = (met % np.uint64(self.buckets)).astype(np.int64)
+            for kind, flags in (("one", counts[same] == 1), ("several", first & (counts[same] > 1))):
+                at = np.flatnonzero(flags)
+                at = at[np.argsort(bucket[at], kind="stable")]
+                out.append(
+                    _by_bucket(
+                        number,
+                        bucket,
+                        at,
+                        kind=lambda _, kind=kind: kind,
+                        family=lambda _, family=family: family,
+                        places=lambda k, fits=fits: packed_places(places[fits[k]]),
+                        names=lambda k, fits=fits: packed(names[fits[k]], 8) + packed(second[fits[k]], 8),
+                        room=lambda k, room=room: packed(room[0][k].astype(np.uint64), 2) + packed(room[1][k].astype(np.uint64), 2),
+                        around=lambda k, around=around: around[k].tobytes(),
+                    )
+                )
+        return _rows(out, columns)
 
     def compare(self, rows: pd.DataFrame) -> pd.DataFrame:
         """Bucket to chunks: the first and last of each run of suffixes that share their string with another."""
-        side = self.v - 1
+        through = rows["kind"] == "runs"
+        found = list(rows[through][["chunk", "kind", "places"]].itertuples(index=False, name=None))
+        for family in self.families:
+            own = rows[rows["family"] == family]
+            if len(own):
+                found += self._compare_family(own, *self.families[family][:4])
+        return pd.DataFrame(found, columns=["chunk", "kind", "places"])
+
+    def _compare_family(self, rows: pd.DataFrame, first_k: int, last_k: int, n_before: int, n_after: int) -> list[tuple]:
         places = [unpacked_places(p) for p in rows["places"]]
         counts = [len(p) for p in places]
         at = np.concatenate(places)
         halves = lambda column, n: [np.concatenate([unpacked(x[i * len(x) // 2 : (i + 1) * len(x) // 2], n) for x in rows[column]]) for i in (0, 1)]
         first, second = halves("names", 8)
         left, right = [x.astype(np.int64) for x in halves("room", 2)]
+        several = np.repeat((rows["kind"] == "several").to_numpy(), counts)
         rank = mixed(first ^ mixed(second))
-        again, _ = _repeats(rank)
-        bytes_ = np.frombuffer(b"".join(rows["around"]), np.uint8).reshape(len(at), 2 * side)
-        shared = np.zeros((len(at), self.v), bool)
-        keep = np.flatnonzero(again)
-        rank, left, right = rank[keep], left[keep], right[keep]
-        known = Powers()
-        known.reach(side + 1)
-        before = np.zeros(len(keep), np.uint64)
-        after = np.zeros(len(keep), np.uint64)
-        for j in range(side):
-            after += (bytes_[keep, side + j].astype(np.uint64) + np.uint64(1)) * known.up[j]
+        around = np.frombuffer(b"".join(rows["around"]), np.uint8).reshape(len(at), n_before + n_after)
+        shared = np.zeros((len(at), last_k - first_k + 1), bool)
+        keep = np.flatnonzero(_repeats(rank)[0] | several)
+        rank, left, right, several = rank[keep], left[keep], right[keep], several[keep]
+        up = powers(BASE, max(n_before, n_after))
+        term = lambda column, power: (around[keep, column].astype(np.uint64) + np.uint64(1)) * up[power]
+        before, after = np.zeros(len(keep), np.uint64), np.zeros(len(keep), np.uint64)
+        for j in range(first_k):
+            before += term(j, j)
+        for j in range(self.side - first_k):
+            after += term(n_before + j, j)
         # The suffix ``k`` before the sample has ``k`` bytes ahead of the window and the rest behind it.
-        for k in range(self.v):
-            fits = np.flatnonzero((left >= k) & (right >= side - k))
+        for k in range(first_k, last_k + 1):
+            fits = np.flatnonzero((left >= k) & (right >= self.side - k))
             key = mixed(rank[fits] + mixed(before[fits] * BASE + mixed(after[fits] ^ _SECOND)))
-            repeats, _ = _repeats(key)
-            shared[keep[fits[repeats]], k] = True
-            if k < side:
-                before += (bytes_[keep, k].astype(np.uint64) + np.uint64(1)) * known.up[k]
-                after -= (bytes_[keep, 2 * side - 1 - k].astype(np.uint64) + np.uint64(1)) * known.up[side - 1 - k]
+            repeats = _repeats(key)[0] | several[fits]
+            shared[keep[fits[repeats]], k - first_k] = True
+            if k < last_k:
+                before += term(k, k)
+                after -= term(n_before + self.side - 1 - k, self.side - 1 - k)
         found = []
         for chunk, k in _per_row(rows, counts, shared.any(axis=1)):
             edge = np.diff(np.pad(shared[k], ((0, 0), (1, 1))).astype(np.int8), axis=1)
             row, begin = np.nonzero(edge == 1)
             _, end = np.nonzero(edge == -1)
-            last, start = at[k][row] - begin, at[k][row] - end + 1
+            last, start = at[k][row] - first_k - begin, at[k][row] - first_k - end + 1
             found.append((chunk, "runs", packed(start.astype(np.uint64), 5) + packed(last.astype(np.uint64), 5)))
-        return pd.DataFrame(found, columns=["chunk", "kind", "places"])
+        return found
 
     def remove(self, chunk: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         """Chunk to texts: what is removed of each, and the digest of the rest."""
@@ -374,17 +444,27 @@ def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int) -> Dat
             )
 
     corpus = texts.mapInPandas(zipped, "chunk long, a long, b long, z binary").repartition(buckets, "chunk")
-    sampled = corpus.groupBy("chunk").applyInPandas(lambda rows: blocks.name_samples(rows), "bucket long, chunk long, places binary, keys binary")
-    ranked = sampled.groupBy("bucket").applyInPandas(lambda rows: blocks.rank_samples(rows), "chunk long, bucket long, places binary, keys binary")
+    sampled = corpus.groupBy("chunk").applyInPandas(
+        lambda rows: blocks.name_samples(rows), "bucket long, chunk long, kind string, places binary, keys binary"
+    )
+    ranked = sampled.groupBy("bucket").applyInPandas(
+        lambda rows: blocks.rank_samples(rows), "chunk long, places binary, keys binary"
+    )
     chained = ranked.groupBy("chunk").applyInPandas(
-        lambda rows: blocks.chain_ranks(rows), "bucket long, chunk long, places binary, keys binary, chains binary"
+        lambda rows: blocks.chain_ranks(rows),
+        "bucket long, chunk long, kind string, places binary, keys binary, chains binary",
+    )
+    settled = chained.groupBy("bucket").applyInPandas(
+        lambda rows: blocks.settle(rows), "chunk long, kind string, places binary"
     )
-    settled = chained.groupBy("bucket").applyInPandas(lambda rows: blocks.settle(rows), "chunk long, kind string, places binary")
     open_ = settled.where("kind = 'compare'").repartition(buckets, "chunk")
     around = corpus.groupBy("chunk").cogroup(open_.groupBy("chunk")).applyInPandas(
-        lambda chunk, rows: blocks.contexts(chunk, rows), "bucket long, chunk long, places binary, names binary, room binary, around binary"
+        lambda chunk, rows: blocks.contexts(chunk, rows),
+        "bucket long, chunk long, kind string, family string, places binary, names binary, room binary, around binary",
+    )
+    runs = around.groupBy("bucket").applyInPandas(
+        lambda rows: blocks.compare(rows), "chunk long, kind string, places binary"
     )
-    runs = around.groupBy("bucket").applyInPandas(lambda rows: blocks.compare(rows), "chunk long, kind string, places binary")
     found = settled.where("kind = 'settled'").unionByName(runs).repartition(buckets, "chunk")
     return corpus.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(lambda chunk, rows: blocks.remove(chunk, rows), RESULT)
 
