@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import example, given, settings, strategies as st
 
 from tests.llm import brute
 from tickwright.llm import suffixes
@@ -68,7 +68,8 @@ def test_many_chunks_and_ids(spark, monkeypatch):
     _check(spark, rows, 60)
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=400, deadline=None)
+@example(["aabbbaabbb", "aaaaaabbaabbb"], 9)
 @given(st.lists(st.text("ab", max_size=60), min_size=1, max_size=8), st.sampled_from([9, 12, 22]))
 def test_steps_on_any_texts(texts, length):
     """The steps by hand, with one bucket and one chunk."""
@@ -104,9 +105,8 @@ def test_text_is_cut_at_whole_characters(spark):
     passage = "".join(random.Random(3).choices("abcdefghé ", k=450))
     rows = [(1, "one " + passage), (2, "two " + passage + " end"), (3, "same" * 150), (3, "same" * 150), (4, None), (5, "")]
     found = without_repeats(spark, _frame(spark, rows)).collect()
-    assert sorted((r.doc_id, r.text) for r in found if r.doc_id != 4) == [(1, "one"), (2, "two end"), (3, ""), (3, ""), (5, "")] or sorted(
-        (r.doc_id, r.text.strip()) for r in found if r.doc_id != 4
-    ) == [(1, "one"), (2, "two  end"), (3, ""), (3, ""), (5, "")]
+    kept = sorted((r.doc_id, " ".join(r.text.split())) for r in found if r.doc_id != 4)
+    assert kept == [(1, "one"), (2, "two end"), (3, ""), (3, ""), (5, "")]
     assert [r.text for r in found if r.doc_id == 4] == [None]
     assert all(r.spans == r.a == r["_a"] == "clash" and (r.text is None or r.n_chars == len(r.text)) for r in found)
     assert cover_for(400)[0] == 133 and np.all(np.diff(cover_for(400)[1]) > 0)

@@ -283,6 +283,8 @@ class Blocks:
             if last_k < first_k:
                 continue
             fits = np.flatnonzero((left if family == "before" else right) >= near)
+            if not len(fits):
+                continue
             before = line.bytes[places[fits][:, None] - 1 - np.arange(n_before)]
             after = line.bytes[places[fits][:, None] + self.window + np.arange(n_after)]
             around = np.ascontiguousarray(np.hstack([before, after]))
