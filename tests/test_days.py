@@ -8,7 +8,7 @@ from frames import DAY, by_code, edges, levels, limits, listed, ticks
 from pyspark.sql import functions as F
 
 from tickwright.operators.bands import price_bands
-from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels, tick_position
+from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels, with_place
 from tickwright.plans import day_features, day_features_of_ticks, updown_day, updown_day_of_ticks
 from tickwright.plans.features import in_table_band_order
 from tickwright.schemas import BANDS, FEATURES, STOCK_DAY, UPDOWN
@@ -42,16 +42,16 @@ def test_levels_and_edges_from_ticks(spark):
 
 def test_places_follow_time_as_text(spark):
     """Places sort as (order_time, tran_id) does, for clock times of any length; others fail the job."""
-    times = ["", "9", "09", "09:30", "09:30:00", "09:30:00.", "09:30:00.1", "09:30:00.09", "09:30:00.10", "10", "23:59:59.999999", ":", "093000", None]
+    times = ["", "9", "09", "09:30", "09:30:00", "09:30:00.", "09:30:00.1", "09:30:00.09", "09:30:00.10", "09:30:00.123456", "09:30:01", "10", "12:00:00", "19:59:59", "20:00:00", "23:59:59.999999", ":", "093000", None]
     ids = [-(2**63), -5, 0, 7, 2**63 - 1]
     table = ticks(spark, [("a", t, i, 1, 1) for t in times for i in ids] + [("a", "9", None, 1, 1)])
-    rows = table.select("order_time", "tran_id", tick_position().alias("place")).collect()
+    rows = with_place(table).select("order_time", "tran_id", "place").collect()
     placed = sorted((r for r in rows if r.place is not None), key=lambda r: r.place)
     assert [(r.order_time or "", r.tran_id) for r in placed] == sorted(((r.order_time or "", r.tran_id) for r in placed), key=lambda x: (x[0].encode(), x[1]))
     assert len({r.place for r in placed}) == (len(times) - 1) * len(ids)
     for odd in ("9am", "09:30:00.12345678"):
         with pytest.raises(Exception, match="not a clock time"):
-            ticks(spark, [("a", odd, 1, 1, 1)]).select(tick_position()).collect()
+            with_place(ticks(spark, [("a", odd, 1, 1, 1)])).select("place").collect()
 
 
 def test_day_rows_of_ticks_equal_those_of_levels(spark):

@@ -6,7 +6,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, Stri
 
 from tickwright.operators.changes import USED, price_changes
 from tickwright.operators.keys import with_transaction
-from tickwright.operators.levels import tick_position
+from tickwright.operators.levels import with_place
 from tickwright.operators.previous import HOT_ROWS
 from tickwright.schemas import PRICE, STOCK_DAY
 from tickwright.streaming.drain import drain
@@ -62,7 +62,7 @@ def stream_price_changes(
         days = [r.order_date for r in usable.select("order_date").distinct().collect()]
         known = _known(spark, state, days, number)
         kept = known.select(*STOCK_DAY, F.col("place").alias("kept"))
-        placed = usable.withColumn("place", tick_position()).join(kept, STOCK_DAY, "left")
+        placed = with_place(usable).join(kept, STOCK_DAY, "left")
         late = F.coalesce(F.col("place") <= F.col("kept"), F.lit(False))
         placed.where(late).select(*USED).write.mode("overwrite").parquet(f"{work_dir}/late/batch={number}")
         fresh = placed.where(~late)
