@@ -163,7 +163,8 @@ def near_links(spark: SparkSession, docs: DataFrame, lists: DataFrame, size: int
     texts = docs.select(F.col("doc_id").alias("id"), "text")
 
     def with_texts(tasks: DataFrame) -> DataFrame:
-        return texts.join(tasks, F.col("id") == F.col("doc_id")).drop("id")
+        # Members grow with the corpus: they are joined alike at every size, not broadcast at a small one.
+        return texts.join(tasks.hint("merge"), F.col("id") == F.col("doc_id")).drop("id")
 
     def around_head(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates(["doc_id", "text"])
@@ -253,7 +254,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, size: int = SHINGLE,
     staying = decided.groupBy("doc_id").agg(F.max("kept").alias("stays")).where("stays AND doc_id IS NOT NULL")
     # The row travels as one column, so that no name of docs can clash.
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    named = rows.join(staying, F.col("id") == F.col("doc_id"))
+    named = rows.join(staying.hint("merge"), F.col("id") == F.col("doc_id"))
     first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("row.text")))
     one = named.withColumn("first", first).where("first = 1").select("row")
     nameless = rows.where("id IS NULL").select("row")
