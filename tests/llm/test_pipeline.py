@@ -1,6 +1,7 @@
 """The pipeline's stages on a small corpus and on the shared tables."""
 
 import random
+import re
 
 import pytest
 
@@ -88,3 +89,71 @@ def test_run_packs_what_is_left(stages, spark, sf_dir):
     assert sorted(whole.columns) == sorted(ours.columns)
     tokens = lambda df: sorted((r.doc_id, r.doc_tokens) for r in df.select("doc_id", "doc_tokens").distinct().collect())
     assert tokens(whole) == tokens(ours) and {d for d, _ in tokens(ours)} == {r.doc_id for r in stages["decontamination"].collect()}
+
+
+def test_a_passage_of_51_short_words_goes(spark):
+    rng = random.Random(7)
+    draw = lambda n: [rng.choice("abcdefghijklmnopqrstuvwxyz") + rng.choice("aeiou") for _ in range(n)]
+    passage, shorter, within = draw(51), draw(50), draw(60)
+    long_words = [f"{w}longerthaneight" for w in draw(40)]
+    join = lambda *parts: " ".join(w for p in parts for w in p)
+    own = [draw(200) for _ in range(8)]
+    copy = join(draw(60))
+    rows = [
+        (1, join(["é1"], passage, own[1], ["z1"])),
+        (2, join(own[2], ["y2"]) + " " + "\n".join(passage) + " é2"),  # other gaps
+        (3, join(own[3], ["x3"], shorter, ["w3"])),
+        (4, join(["v4"], shorter, own[4])),
+        (5, join(own[5], ["u5"], within, ["t5"], own[6], ["s5"], within)),
+        (6, join(own[7], long_words)),
+        (7, join(["q7"], long_words)),
+        (8, copy),
+        (8, copy),
+        (9, join(passage)),
+        (10, None),
+        (11, ""),
+    ]
+    found = sorted((r.doc_id, None if r.text is None else r.text.split()) for r in corpus_pipeline.repeated_passages(spark, _docs(spark, rows), "").collect())
+    expected = [
+        (1, ["é1", *own[1], "z1"]),
+        (2, [*own[2], "y2", "é2"]),
+        (3, rows[2][1].split()),
+        (4, rows[3][1].split()),
+        (5, [*own[5], "u5", "t5", *own[6], "s5"]),
+        (6, own[7]),
+        (7, ["q7"]),
+        (8, []),
+        (8, []),
+        (9, []),
+        (10, None),
+        (11, []),
+    ]
+    assert found == expected
+
+
+def test_byte_strings_and_word_passages_are_what_goes(stages):
+    """Bytes of all texts that lie in a string of 400 bytes or in 51 words that occur twice."""
+    rows = sorted((r.doc_id, r.text or "") for r in stages["near-duplicates"].collect())
+    found = {r.doc_id: r.text or "" for r in stages["repeated passages"].collect()}
+    raw = [text.encode() for _, text in rows]
+    words = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", b)] for b in raw]
+    places = {}
+    for k, spans in enumerate(words):
+        own = [raw[k][a:b] for a, b in spans]
+        for i in range(len(own) - 50):
+            places.setdefault(b" ".join(own[i : i + 51]), []).append((k, i))
+    gone, more = brute.repeated_bytes([t for _, t in rows], 400), 0
+    cut_words = [set() for _ in rows]
+    for at in places.values():
+        for k, i in at if len(at) > 1 else []:
+            cut_words[k].update(range(i, i + 51))
+    for k, cut in enumerate(cut_words):
+        for i in cut:  # with the gap to the next one that is cut
+            inside = range(words[k][i][0], words[k][i + 1][0] if i + 1 in cut else words[k][i][1])
+            more += not gone[k].issuperset(inside)
+            gone[k].update(inside)
+    assert more
+    for (doc_id, _), b, cut in zip(rows, raw, gone):
+        kept = bytes(c for i, c in enumerate(b) if i not in cut)
+        # Up to a character's bytes at a span's edges.
+        assert 0 <= len(found[doc_id].encode()) - len(kept) <= 6 * (1 + len(cut) // 100)

@@ -49,6 +49,11 @@ def window_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, known:
     return mixed((sums[ends] - sums[starts]) * known.down[starts] ^ (ends - starts).astype(np.uint64))
 
 
+def word_edges(data: np.ndarray, in_word: np.ndarray = ~_SPACE) -> np.ndarray:
+    """Where words begin and where they have ended, in turn."""
+    return np.flatnonzero(np.diff(in_word[data], prepend=False, append=False))
+
+
 def word_hashes(texts: list[bytes], known: Powers, in_word: np.ndarray = ~_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word of all texts in turn, and how many words each text has.
 

@@ -10,6 +10,9 @@ the long tie between them, so memory is bounded by the bucket and not by how lon
 Texts lie in chunks, laid out one after another on a line on which every text begins at a multiple of ``v``;
 sampled positions travel as packed numbers of a chunk and bucket. What repeats within a chunk is settled there:
 its bucket gets one of it, so a passage that a third of all texts share costs a bucket a place for each chunk.
+
+Passages of a number of words are strings over codes of words: all lengths and places are then multiples of
+a code's bytes, the ``unit``.
 """
 
 import hashlib
@@ -21,13 +24,15 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, powers, prefixes, window_hashes
+from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, powers, prefixes, window_hashes, word_edges, word_hashes
 
 LENGTH = 400
 #: Text of a chunk at least, and at most if no one text is larger.
 CHUNK_BYTES = 2_000_000, 32_000_000
 #: Bits of a window's hash that travel besides its bucket's number.
 KEY_BITS = 40
+#: Bytes of a word's hash that stand for it where passages are told by words; a wrong one needs all others to agree.
+WORD_BYTES = 5
 
 # Perfect difference sets, by their modulus. Each difference but 0 occurs once.
 COVERS = {
@@ -157,11 +162,12 @@ class Blocks:
     as ``several``; the others are decided and only pass through any bucket, by the chunk's number.
     """
 
-    def __init__(self, length: int, buckets: int):
+    def __init__(self, length: int, buckets: int, unit: int = 1):
         self.length, self.buckets = length, buckets
-        self.v, self.cover = cover_for(length)
-        self.window = length - self.v + 1
-        self.side = self.v - 1
+        v, cover = cover_for(length // unit)
+        self.v, self.cover = v * unit, cover * unit
+        self.window = length - self.v + unit
+        self.side = self.v - unit
         # A suffix k places before a ranked window shares the k bytes before it and side - k after it, so at
         # least half of the bytes on one side: those who share half before and those who share half behind
         # meet apart. For each family: first and last k, bytes sent from before and after, bytes that must agree.
@@ -419,21 +425,30 @@ def _text_hashes(text) -> list:
     return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit("again"), text).alias("b")]
 
 
-def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int) -> DataFrame:
+def _word_codes(text: str, known: Powers) -> bytes:
+    """WORD_BYTES for each word."""
+    hashes, _ = word_hashes([text.encode()], known)
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
+
+
+def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int, words: bool = False) -> DataFrame:
     """For each different text of ``texts`` (text, a, b), RESULT: what occurs elsewhere in another place.
 
-    Copies of a whole text are not seen here. The texts are shuffled once, compressed, and that shuffle is
-    used by the three steps that read bytes.
+    With ``words``, ``length`` counts words and all of RESULT is about the texts' codes. Copies of a whole text
+    are not seen here. The texts are shuffled once, compressed, and that shuffle is used by the three steps that
+    read bytes.
     """
+    unit = WORD_BYTES if words else 1
     buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least, most = CHUNK_BYTES
     chunk_bytes = min(most, max(least, total // (8 * buckets)))
     n_chunks = math.ceil(total / chunk_bytes) or 1
-    blocks = Blocks(length, buckets)
+    blocks = Blocks(length * unit, buckets, unit)
 
     def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        zip_ = zstandard.ZstdCompressor(level=1)
+        zip_, known = zstandard.ZstdCompressor(level=1), Powers()
+        coded = (lambda t: _word_codes(t, known)) if words else str.encode
         seen: set[tuple[int, int]] = set()  # copies in this task; copies of other tasks meet in the chunk
         for batch in batches:
             fresh = []
@@ -442,7 +457,7 @@ def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int) -> Dat
                 seen.add(key)
             batch = batch[fresh]
             yield pd.DataFrame(
-                {"chunk": batch["a"] % n_chunks, "a": batch["a"], "b": batch["b"], "z": [zip_.compress(t.encode()) for t in batch["text"]]}
+                {"chunk": batch["a"] % n_chunks, "a": batch["a"], "b": batch["b"], "z": [zip_.compress(coded(t)) for t in batch["text"]]}
             )
 
     corpus = texts.mapInPandas(zipped, "chunk long, a long, b long, z binary").repartition(buckets, "chunk")
@@ -500,11 +515,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     return joined.select("doc_id", "n_bytes", "n_removed", "kept_sha256", "spans")
 
 
-def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """docs with repeated strings cut out of ``text`` and ``n_chars`` counted anew, where docs has it.
 
-    A span that begins or ends within a character is narrowed to whole characters. Rows whose text is all
-    repeated stay with an empty text; null texts stay null.
+    With ``words``, passages of so many words that occur twice go too, however short they are; the gaps between
+    the words may differ, and go with them. A span that begins or ends within a character is narrowed to whole characters. Rows
+    whose text is all repeated stay with an empty text; null texts stay null.
     """
     # The row travels as one column, so that no name of docs can clash.
     a, b = _text_hashes(F.col("text"))
@@ -512,23 +528,49 @@ def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("text", *_text_hashes(F.col("text")))
     found = repeated_in_texts(spark, hashed, length).where("n_removed > 0").select("a", "b", "spans")
-    copied = hashed.where(F.octet_length("text") >= length).groupBy("a", "b").agg(
-        F.count("*").alias("m"), F.max(F.octet_length("text").cast("long")).alias("size")
-    ).where("m > 1")
-    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("size").alias("after")))
-    cuts = found.join(copied, ["a", "b"], "full").select("a", "b", F.when(F.col("m").isNotNull(), all_of_it).otherwise(F.col("spans")).alias("spans"))
+    if words is None:
+        found, least = found.withColumn("word_spans", F.lit(None).cast(_SPANS)), length
+    else:
+        passages = repeated_in_texts(spark, hashed, words, words=True).where("n_removed > 0")
+        found = found.join(passages.select("a", "b", F.col("spans").alias("word_spans")), ["a", "b"], "full")
+        least = min(length, 2 * words - 1)
+    copied = hashed.where(F.octet_length("text") >= least).groupBy("a", "b").agg(F.count("*").alias("m"))
+    cuts = found.join(copied.where("m > 1"), ["a", "b"], "full").withColumn("cut", F.lit(True))
     joined = keyed.join(cuts, (F.col("row_a") == F.col("a")) & (F.col("row_b") == F.col("b")), "left")
 
     @F.pandas_udf("string")
-    def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if s is None else cut_text(t, s) for t, s in zip(text, spans)], dtype=object)
+    def cut(text: pd.Series, spans: pd.Series, word_spans: pd.Series, copied: pd.Series) -> pd.Series:
+        rows = zip(text, spans, word_spans, copied)
+        return pd.Series([t if t is None else _cut(t, s, w, c, length, words) for t, s, w, c in rows], dtype=object)
 
     text = F.col("row.text")
-    changed = F.when(F.col("spans").isNotNull(), cut(text, "spans")).otherwise(text)
+    changed = F.when(F.col("cut"), cut(text, "spans", "word_spans", F.col("m").isNotNull())).otherwise(text)
     new = {"text": changed, "n_chars": F.char_length(changed).cast("long")}
     return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def _cut(text: str, spans, word_spans, copied: bool, length: int, words: int | None) -> str:
+    """``text`` without its spans in bytes and in codes of words; all of it goes if it is long enough and ``copied``."""
+    raw = text.encode()
+    if copied and len(raw) >= length:
+        return ""
+    gone = [] if spans is None else [(s["first"], s["after"]) for s in spans]
+    if words is not None and (copied or word_spans is not None):
+        edges = word_edges(np.frombuffer(raw, np.uint8))
+        if copied and len(edges) >= 2 * words:
+            return ""
+        # Whole words; a span within codes that agree by chance is narrowed to them.
+        whole = [] if word_spans is None else [(-(-s["first"] // WORD_BYTES), s["after"] // WORD_BYTES) for s in word_spans]
+        gone += [(int(edges[2 * k]), int(edges[2 * m - 1])) for k, m in whole if m - k >= words]
+    joined: list[dict] = []
+    for first, after in sorted(gone):
+        if joined and first <= joined[-1]["after"]:
+            joined[-1]["after"] = max(after, joined[-1]["after"])
+        else:
+            joined.append({"first": first, "after": after})
+    return cut_text(text, joined)
+
+
 def cut_text(text: str, spans) -> str:
     raw = text.encode()
     inside = lambda at: at < len(raw) and raw[at] & 0xC0 == 0x80  # noqa: E731  within a character
