@@ -1,5 +1,7 @@
 """Chat windows, quality rules and license scans against plain Python."""
 
+import re
+
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -164,3 +166,46 @@ def test_license_signatures_and_containment():
     long, inner, low = Detection("a", 0, 5, 1, 0.5), Detection("b", 1, 3, 9, 0.5), Detection("c", 0, 5, 0, 0.5)
     overlap = Detection("d", 4, 8, 0, 0.5)
     assert resolve([low, inner, overlap, long]) == [long, overlap]
+
+
+def _sample(parsed, most):
+    """A text that fits a pattern's parse, with as few or as many repeats as it allows (up to two)."""
+    out = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "IN":
+            out.append(" " if str(arg[0][0]) == "NEGATE" else chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0]))
+        elif name == "MAX_REPEAT":
+            low, high, inner = arg
+            out.append(_sample(inner, most) * (min(high, max(low, 2)) if most else low))
+        elif name == "SUBPATTERN":
+            out.append(_sample(arg[3], most))
+        elif name == "BRANCH":
+            out.append(_sample(arg[1][-1 if most else 0], most))
+        else:
+            assert name == "ASSERT_NOT", name
+    return "".join(out)
+
+
+@pytest.mark.parametrize("most", [False, True])
+def test_each_license_signature_is_found_by_a_scan(most):
+    lost = []
+    for s in signatures():
+        text = _sample(re._parser.parse(s.pattern.pattern), most)
+        assert s.pattern.fullmatch(text), (s, text)
+        if s.label not in scan(text)["labels"].split(","):
+            lost.append((s.label, text))
+    assert not lost
+
+
+def test_licenses_spelled_out():
+    for non in ("NonCommercial", "Non-Commercial", "non commercial"):
+        assert scan(f"Attribution-{non} 4.0")["labels"] == "cc-by-nc"
+        assert scan(f"Creative Commons Attribution-{non} 4.0")["labels"] == "cc-by-nc"
+        assert scan(f"licensed under the Creative Commons Attribution {non} NoDerivatives 4.0")["labels"] == "cc-by-nc-nd"
+        for alike in ("ShareAlike", "Share Alike", "Share-Alike"):
+            assert scan(f"Creative Commons Attribution-{non}-{alike} 4.0")["labels"] == "cc-by-nc-sa"
+            assert scan(f"Attribution-{alike}")["labels"] == "cc-by-sa"
+    assert scan("Creative Commons Attribution 4.0")["labels"] == "cc-by"

@@ -29,7 +29,8 @@ BASE_PHRASES = [
 ]
 
 # Licence families by priority of their names, as label, keyword, name and identifier patterns. In the
-# patterns a space stands for whatever parts two words.
+# patterns a space stands for whatever parts two words, so one that may be missing is "(?: )?"; every text that a
+# pattern matches holds its keyword.
 FAMILIES = [
     ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[cs]e", r"agpl 3 0(?: only| or later)?"),
     ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public licen[cs]e(?: version)? v?2 1", r"lgpl 2 1(?: only| or later)?"),
@@ -79,9 +80,10 @@ FAMILIES = [
     ("cc-by-nc", "nc", r"cc by nc", r"cc by nc [1234] 0"),
     ("cc-by-nd", "nd", r"cc by nd", r"cc by nd [1234] 0"),
     ("cc-by-sa", "sa", r"cc by sa", r"cc by sa [1234] 0"),
-    ("cc-by-nc-sa", "noncommercial", r"attribution non ?commercial share ?alike", r"cc by nc sa"),
-    ("cc-by-nc", "noncommercial", r"attribution non ?commercial", r"cc by nc"),
-    ("cc-by-sa", "sharealike", r"attribution share ?alike", r"cc by sa"),
+    ("cc-by-nc-nd", "attribution", r"(?:creative commons )?attribution non(?: )?commercial no(?: )?deriv(?:ative)?s", r"cc by nc nd"),
+    ("cc-by-nc-sa", "attribution", r"(?:creative commons )?attribution non(?: )?commercial share(?: )?alike", r"cc by nc sa"),
+    ("cc-by-nc", "attribution", r"(?:creative commons )?attribution non(?: )?commercial", r"cc by nc"),
+    ("cc-by-sa", "attribution", r"(?:creative commons )?attribution share(?: )?alike", r"cc by sa"),
     ("cc-by", "commons", r"creative commons attribution", r"cc by [1234] 0"),
     ("odbl-1.0", "database", r"open (?:data commons )?(?:open )?database licen[cs]e", r"odbl 1 0"),
     ("pddl-1.0", "dedication", r"public domain dedication and licen[cs]e", r"pddl 1 0"),
@@ -100,10 +102,10 @@ SENTENCES = [
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "purpose", r"permission to use copy modify and or distribute this software for any purpose"),
     ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without modification"),
-    ("bsd-3-clause", "endorse", r"neither the name of (?:[%s]+ ){1,8}nor the names of its contributors" % _WORD),
+    ("bsd-3-clause", "contributors", r"neither the name of (?:[%s]+ ){1,8}nor the names of its contributors" % _WORD),
     ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software"),
     ("gpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu"),
-    ("zlib", "alter", r"subject to the following restrictions the origin of this software must not be misrepresented"),
+    ("zlib", "misrepresented", r"subject to the following restrictions the origin of this software must not be misrepresented"),
     ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
     ("bsl-1.0", "obtaining", r"obtaining a copy of the software and accompanying documentation covered by this license"),
     ("mpl-2.0", "subject", r"subject to the terms of the mozilla public license"),
