@@ -157,3 +157,26 @@ def test_byte_strings_and_word_passages_are_what_goes(stages):
         kept = bytes(c for i, c in enumerate(b) if i not in cut)
         # Up to a character's bytes at a span's edges.
         assert 0 <= len(found[doc_id].encode()) - len(kept) <= 6 * (1 + len(cut) // 100)
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
+    rng = random.Random(5)
+    draw = lambda: [f"w{rng.randrange(500)}" for _ in range(100)]
+    near = lambda words: [*words[:50], "other", *words[51:]]
+    a, b, c, d = draw(), draw(), draw(), draw()
+    rows = [
+        (1, a),
+        (5, near(a)),  # goes for 1
+        (5, b),  # stays, though its id's other text goes
+        (6, near(b)),  # goes for 5's second text
+        (7, c),
+        (7, d),  # two documents
+        (7, near(c)),  # one of the two near texts of 7 stays
+        (8, near(d)),
+        (8, near(d)),  # both go
+        (None, a),
+    ]
+    kept = [(r.doc_id, r.text.split()) for r in keep_one_of_each(spark, _docs(spark, [(i, " ".join(t)) for i, t in rows])).collect()]
+    assert (7, c) in kept or (7, near(c)) in kept
+    kept = [row for row in kept if row[1] not in (c, near(c))]
+    assert sorted(map(str, kept)) == sorted(map(str, [(1, a), (5, b), (7, d), (None, a)])), [k for k, _ in kept]

@@ -245,17 +245,50 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, p
     return judged.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _numbered(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """Each different (id, a, b) with a ``number`` of its own, in the order of ids.
+
+    The rows are written in ranges: all numbers must come from the same cuts.
+    """
+    path = shared_dir(spark, "numbers")
+    ranged = texts.select("id", "a", "b").distinct().repartitionByRange("id", "a", "b")
+    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    sizes = rows.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()  # a row for each range
+    before, starts = 0, []
+    for size in sizes:
+        starts.append((size.part, before))
+        before += size.n
+    offsets = spark.createDataFrame(starts, "part int, before long")
+    place = F.row_number().over(Window.partitionBy("part").orderBy("id", "a", "b"))
+    placed = rows.withColumn("place", place).join(F.broadcast(offsets), "part")
+    return placed.select("id", "a", "b", (F.col("before") + F.col("place")).alias("number"))
+
+
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of docs, with all their columns, of the smallest id of each component.
 
-    Of rows that share an id one stays, if that id does; rows without an id all stay.
+    Rows that share an id but not their text are documents of their own, each judged by its text; of equal or
+    near-duplicate rows of one id one stays, if that id does. Rows without an id all stay.
     """
-    decided = near_duplicates(spark, docs, size, percent)
-    staying = decided.groupBy("doc_id").agg(F.max("kept").alias("stays")).where("stays AND doc_id IS NOT NULL")
     # The row travels as one column, so that no name of docs can clash.
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    named = rows.join(staying.hint("merge"), F.col("id") == F.col("doc_id"))
+    text = F.coalesce("text", F.lit(""))
+    hashes = F.xxhash64(text).alias("a"), F.xxhash64(F.lit("again"), text).alias("b")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), *hashes)
+    named, nameless = rows.where("id IS NOT NULL"), rows.where("id IS NULL").select("row")
+    differing = named.groupBy("id").agg(
+        F.min("a").alias("a"), F.max("a").alias("most_a"), F.min("b").alias("b"), F.max("b").alias("most_b")
+    ).where("a != most_a OR b != most_b")
+    if differing.limit(1).count():
+        # Members and links are told by a number for each id and text.
+        numbers = _numbered(spark, named).select(F.col("id").alias("n_id"), F.col("a").alias("n_a"), F.col("b").alias("n_b"), "number")
+        same = (F.col("id") == F.col("n_id")) & (F.col("a") == F.col("n_a")) & (F.col("b") == F.col("n_b"))
+        path = shared_dir(spark, "numbered")
+        named.join(numbers.hint("merge"), same).select("row", F.col("number").alias("id")).write.parquet(path)
+        named = spark.read.parquet(path)
+    judged = named.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text"))
+    staying = near_duplicates(spark, judged, size, percent).groupBy("doc_id").agg(F.max("kept").alias("stays")).where("stays")
+    found = named.select("row", "id").join(staying.hint("merge"), F.col("id") == F.col("doc_id"))
     first = F.row_number().over(Window.partitionBy("id").orderBy(F.col("row.text")))
-    one = named.withColumn("first", first).where("first = 1").select("row")
-    nameless = rows.where("id IS NULL").select("row")
+    one = found.withColumn("first", first).where("first = 1").select("row")
     return one.unionByName(nameless).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
