@@ -97,3 +97,11 @@ def test_odd_texts_and_items(spark):
     assert find_leaks(spark, _docs(spark, docs), _items(spark, [])).count() == 0
     assert find_leaks(spark, _docs(spark, []), _items(spark, items)).count() == 0
     assert isinstance(next(indexes(_items(spark, items))), Index)
+
+
+def test_documents_with_an_item_without_id_go(spark):
+    items = [(None, "one two three four five six"), (None, "seven eight nine ten eleven"), (4, "alpha beta gamma delta epsilon zeta")]
+    docs = [(1, "pad one two three four five six pad"), (2, "alpha beta gamma delta epsilon zeta"), (3, "Seven, eight nine ten eleven"), (4, "one two three"), (5, None)]
+    kept = without_leaks(spark, _docs(spark, docs), _items(spark, items)).collect()
+    assert sorted(r.doc_id for r in kept) == [4, 5]
+    assert sorted(r.doc_id for r in without_leaks(spark, _docs(spark, docs), _items(spark, items[:2])).collect()) == [2, 4, 5]

@@ -333,7 +333,7 @@ def _holds_leak(index: Index):
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, in which no item is found."""
-    for index in indexes(items):
+    """The rows of docs, with all their columns, in which no item is found; items need no id for that."""
+    for index in indexes(items.select(F.lit(0).alias("item_id"), "text")):
         docs = docs.where(~_holds_leak(index)(F.coalesce("text", F.lit(""))))
     return docs
