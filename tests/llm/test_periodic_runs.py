@@ -1,0 +1,86 @@
+"""Runs on a grammar against every period of every text."""
+
+import random
+
+import numpy as np
+import pytest
+from tests.llm import brute
+
+from tickwright.llm import periodic_runs as module
+from tickwright.llm.periodic_runs import Words, find_runs, periodic_runs
+from tickwright.llm.queries import op13_periodic_runs
+
+
+def _texts(rng):
+    texts = []
+    for _ in range(rng.randint(1, 8)):
+        n, kinds = rng.randint(0, 80), rng.randint(1, 4)
+        w = [rng.randrange(kinds) for _ in range(n)]
+        if n and rng.random() < 0.6:
+            a = rng.randrange(n)
+            p = rng.randint(1, max(1, (n - a) // 2))
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+            if rng.random() < 0.5:
+                w[rng.randrange(n)] = 9
+        texts += [w] * rng.choice([1, 1, 3])
+    return texts
+
+
+def _found(texts, **how):
+    ids = np.array([x for w in texts for x in w], np.int64)
+    owner = np.repeat(np.arange(len(texts)), [len(w) for w in texts])
+    opens = np.concatenate([[0], np.cumsum([len(w) for w in texts])])
+    rows = [[] for _ in texts]
+    for first, end, period in zip(*find_runs(ids, owner, **how)):
+        rows[owner[first]].append((int(first - opens[owner[first]]), int(end - first), int(period)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_runs_equal_every_period(seed):
+    texts = _texts(random.Random(seed))
+    assert _found(texts) == [brute.runs(w) for w in texts]
+
+
+def test_parts_of_candidates_do_not_matter(monkeypatch):
+    monkeypatch.setattr(module, "CANDIDATES", 50)
+    texts = _texts(random.Random(99)) + [[0, 1] * 200, [3] * 300]
+    assert _found(texts) == [brute.runs(w) for w in texts]
+
+
+def test_a_wrong_hash_is_found_out(monkeypatch):
+    monkeypatch.setattr(Words, "_equal", lambda self, a, b, length: np.ones(len(a), bool))
+    texts = [[0, 1, 2, 3, 4, 5] * 3 + [7, 8] + [0, 1, 2, 3, 4, 6] * 4, [1, 2, 3, 4, 5, 6, 1, 2, 3, 4, 5, 7] * 2]
+    assert _found(texts) == [brute.runs(w) for w in texts]
+
+
+def test_long_texts_of_few_words():
+    rng = random.Random(5)
+    thue = [bin(i).count("1") % 2 for i in range(4096)]
+    fibonacci = [0, 1]
+    for _ in range(14):
+        fibonacci, shorter = fibonacci + fibonacci[: max(1, int(len(fibonacci) * 0.618))], fibonacci
+    texts = [thue, fibonacci[:1500], [rng.randrange(2) for _ in range(1500)], [0] * 1500]
+    assert _found(texts) == [brute.runs(w) for w in texts]
+
+
+def test_query_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    docs = [d for d in docs if len(brute.words(d.text)) < 3000]
+    found = {r.doc_id: tuple(r)[:8] for r in op13_periodic_runs(spark, sf_dir).collect()}
+    assert len(found) >= len(docs) > 150
+    assert [found[d.doc_id] for d in docs] == [brute.run_row(d.doc_id, d.text) for d in docs]
+    assert sum(found[d.doc_id][1] > 0 for d in docs) > 5
+
+
+def test_odd_rows(spark):
+    text = "x " * 20 + "end"
+    rows = [(1, None, 0), (2, "", 0), (None, text, 0), (4, text, 1), (4, text, 1), (5, " \t\n", 0), (6, "é a " * 12, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, runs int")
+    found = sorted(((r.doc_id, [tuple(x) for x in r.runs], r.collapsed) for r in periodic_runs(docs).collect()), key=str)
+    once = [(0, 20, 1)]
+    assert found == sorted(
+        [(1, [], ""), (2, [], ""), (None, once, "x end"), (4, once, "x end"), (4, once, "x end"), (5, [], ""),
+         (6, [(0, 12, 1)], "é a")], key=str)
+    assert periodic_runs(docs.limit(0)).collect() == []

@@ -110,9 +110,35 @@ roots AS (SELECT node, min(root) AS component_id FROM reached GROUP BY node)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents JOIN roots ON node = doc_id LEFT JOIN sizes USING (doc_id)"""
 
+_PHRASES = f"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(text, '{_UPPER}', '{_UPPER.lower()}') AS t FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+places AS (
+  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM words, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size),
+counts AS (SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS v FROM counts WHERE size > 1 AND f >= 10),
+inner_phrases AS (
+  SELECT lang, f, unnest([v[1] || ' ' || v[2], v[2] || ' ' || v[3]]) AS phrase FROM frequent WHERE size = 3),
+within AS (SELECT lang, phrase, max(f) AS longer FROM inner_phrases GROUP BY ALL),
+cuts AS (SELECT lang, phrase, f AS a, size, v, unnest(range(1, size)) AS k FROM frequent),
+measured AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.v[1 : k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.v[k + 1 : c.size], ' ')),
+lowest AS (SELECT * FROM measured QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT m.*, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, m.phrase) AS rank
+  FROM lowest m LEFT JOIN within w ON w.lang = m.lang AND w.phrase = m.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT r.lang, rank, phrase, a, l, r, n, score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE rank <= 2000"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": _CHAT,
     "op2_quality_rules": _RULES,
     "op5_warc": _WARC,
     "op7_minhash_dedup": _NEAR,
+    "op11_collocations": _PHRASES,
 }

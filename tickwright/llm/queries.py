@@ -5,11 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickwright.llm.chat import format_conversations, read_back
+from tickwright.llm.collocations import collocations
 from tickwright.llm.classifier import score_documents
 from tickwright.llm.decontamination import find_leaks
 from tickwright.llm.licenses import scan_licenses
 from tickwright.llm.minhash import near_duplicates
 from tickwright.llm.packing import pack_documents
+from tickwright.llm.periodic_runs import periodic_runs, run_digests, with_planted_repeats
+from tickwright.llm.personal_data import personal_data, span_digests
 from tickwright.llm.quality_rules import quality_rules
 from tickwright.llm.sharding import shard_documents
 from tickwright.llm.suffixes import repeated_spans
@@ -73,6 +76,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(personal_data(_table(spark, sf_dir, "documents")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs in the documents, a tenth of which are made periodic first."""
+    return run_digests(periodic_runs(with_planted_repeats(_table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -84,4 +100,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_collocations": op11_collocations,
+    "op12_personal_data": op12_personal_data,
+    "op13_periodic_runs": op13_periodic_runs,
 }
