@@ -24,8 +24,8 @@ TOP = 2000
 #: Bytes of text whose n-grams make up a hash partition, on average.
 PARTITION_BYTES = 8_000_000
 #: Characters of text counted at once, and n-grams a task gathers before it sends them on.
-GROUP_CHARS = 8_000_000
-GATHERED = 6_000_000
+GROUP_CHARS = 4_000_000
+GATHERED = 2_000_000
 #: The bit table: bits for each survivor, and at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Bits of the table in one of its pieces.
@@ -101,8 +101,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[str]]]
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(at, weights=counts).astype(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return keys[new], np.add.reduceat(counts[order].astype(np.int64), new) if len(new) else np.empty(0, np.int64)
 
 
 def _address(hashes: np.ndarray, partitions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,8 +159,8 @@ def survivors(texts: DataFrame, partitions: int, longest: int, least: int) -> Da
         size = 0
 
         def sent() -> pd.DataFrame:
-            home, keys = (np.concatenate(x) for x in zip(*[_address(h, partitions) for h, _ in held]))
-            packed, counts = _summed((home.astype(np.uint64) << np.uint64(32)) | keys, np.concatenate([c for _, c in held]))
+            packed, counts = _summed(*map(np.concatenate, zip(*held)))
+            held.clear()
             home = (packed >> np.uint64(32)).astype(np.int64)
             edges = np.flatnonzero(np.diff(home, prepend=-1, append=-1))
             rows = [
@@ -171,11 +173,13 @@ def survivors(texts: DataFrame, partitions: int, longest: int, least: int) -> Da
             for language, parts in group.items():
                 grams = Grams(parts, longest)
                 for hashes, counts in zip(grams.hashes(language), grams.counts):
-                    held.append((hashes, counts))
+                    home, keys = _address(hashes, partitions)
+                    held.append(((home.astype(np.uint64) << np.uint64(32)) | keys, counts.astype(np.uint32)))
                     size += len(hashes)
-            if size >= GATHERED:
-                yield sent()
-                held, size = [], 0
+                del grams
+                if size >= GATHERED:
+                    yield sent()
+                    size = 0
         if size:
             yield sent()
 
