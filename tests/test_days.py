@@ -8,7 +8,7 @@ from frames import DAY, by_code, edges, levels, limits, listed, ticks
 from pyspark.sql import functions as F
 
 from tickwright.operators.bands import price_bands
-from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels, with_place
+from tickwright.operators.levels import first_ticks, last_ticks, open_close, price_levels
 from tickwright.plans import day_features, day_features_of_ticks, updown_day, updown_day_of_ticks
 from tickwright.plans.features import in_table_band_order
 from tickwright.schemas import BANDS, FEATURES, STOCK_DAY, UPDOWN
@@ -40,18 +40,24 @@ def test_levels_and_edges_from_ticks(spark):
     assert by_code(last_ticks(table))["a"].tran_id == 5
 
 
-def test_places_follow_time_as_text(spark):
-    """Places sort as (order_time, tran_id) does, for clock times of any length; others fail the job."""
-    times = ["", "9", "09", "09:30", "09:30:00", "09:30:00.", "09:30:00.1", "09:30:00.09", "09:30:00.10", "09:30:00.123456", "09:30:01", "10", "12:00:00", "19:59:59", "20:00:00", "23:59:59.999999", ":", "093000", None]
+@pytest.mark.parametrize("seed", range(3))
+def test_edges_follow_time_as_text(spark, seed):
+    """First and last ticks by (order_time, tran_id), for times of any length and form, and without one."""
+    import random
+
+    chance = random.Random(seed)
+    times = ["", "9", "09", "09:30", "09:30:00", "09:30:00.", "09:30:00.1", "09:30:00.09", "09:30:00.123456789", "09:30:00+08:00", "2024-01-01T09:30:00.1234567890123Z", "9am", "é", ":", "093000", None]
     ids = [-(2**63), -5, 0, 7, 2**63 - 1]
-    table = ticks(spark, [("a", t, i, 1, 1) for t in times for i in ids] + [("a", "9", None, 1, 1)])
-    rows = with_place(table).select("order_time", "tran_id", "place").collect()
-    placed = sorted((r for r in rows if r.place is not None), key=lambda r: r.place)
-    assert [(r.order_time or "", r.tran_id) for r in placed] == sorted(((r.order_time or "", r.tran_id) for r in placed), key=lambda x: (x[0].encode(), x[1]))
-    assert len({r.place for r in placed}) == (len(times) - 1) * len(ids)
-    for odd in ("9am", "09:30:00.12345678"):
-        with pytest.raises(Exception, match="not a clock time"):
-            with_place(ticks(spark, [("a", odd, 1, 1, 1)])).select("place").collect()
+    rows = [(f"c{c}", chance.choice(times), chance.choice(ids), p, 1) for c in range(40) for p in range(1, chance.randint(2, 6))]
+    rows += [(f"c{c}", "0", None, 99, 1) for c in range(40)]
+    table = ticks(spark, rows)
+    first, last, prices = by_code(first_ticks(table)), by_code(last_ticks(table)), by_code(open_close(table))
+    for code in first:
+        order = sorted((r for r in rows if r[0] == code and r[2] is not None), key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[2], r[3]))
+        assert (first[code].order_time, first[code].tran_id) == order[0][1:3]
+        assert (last[code].order_time, last[code].tran_id) == order[-1][1:3]
+        assert first[code].price == order[0][3] and last[code].price == order[-1][3]
+        assert prices[code].open_price in {r[3] for r in order if r[1:3] == order[0][1:3]}
 
 
 def test_day_rows_of_ticks_equal_those_of_levels(spark):

@@ -80,17 +80,30 @@ def test_high_prices(spark):
     )
 
 
-def test_what_does_not_fit_is_null(spark):
-    """A wrong price of 99,999,999.99: the spread still fits, the other two need more than 38 digits."""
-    book = [(Decimal("99999999.99"), 100), (Decimal("10.00"), 5000), (Decimal("10.50"), 900)]
-    rows = [("a", p, v) for p, v in book] + [("b", 10, 5), ("b", 11, 5), ("c", 10, 10**14), ("c", 11, 5)]
-    rows += [("d", "9000000.00", 2), ("d", "1.00", 3)]
-    found = by_code(weighted_moments(levels(spark, rows), STOCK_DAY))
-    assert found["a"].price_std == float(spread(book))
-    assert found["a"].price_skewness is None and found["a"].price_kurtosis is None
-    same(found["b"], [(Decimal(10), 5), (Decimal(11), 5)])
-    assert found["c"].price_std is None
-    assert found["d"].price_skewness is not None and found["d"].price_kurtosis is None
+def test_sums_of_any_length(spark):
+    """Wrong prices up to 99,999,999.99 and very many shares: sums of more than 38 digits, and powers of more."""
+    far = Decimal("99999999.99")
+    books = {
+        "a": [(far, 100), (Decimal("10.00"), 5000), (Decimal("10.50"), 900)],
+        "b": [(Decimal(10), 5), (Decimal(11), 5)],
+        "c": [(Decimal(10), 10**14), (Decimal(11), 5)],
+        "d": [(Decimal("9000000.00"), 2), (Decimal("1.00"), 3)],
+        "e": [(Decimal(1_000_000), 10**12), (Decimal("0.01"), 10**12), (Decimal("123456.78"), 7)],
+        "f": [(far, 10**16), (Decimal("0.01"), 8 * 10**16), (Decimal("5.55"), -3)],
+        "g": [(far, 1), (Decimal("0.01"), 1)],
+        "h": [(far, -50), (Decimal("70000000.00"), 10**9), (Decimal(3), 4 * 10**15)],
+    }
+    chance = random.Random(5)
+    for i in range(60):
+        top = chance.choice([10**5, 10**8, 10**10 - 1])
+        books[f"r{i}"] = [(Decimal(c) / 100, chance.randint(0, 10 ** chance.randint(0, 15))) for c in {chance.randint(0, top) for _ in range(12)}]
+    check(spark, books)
+
+
+def test_only_beyond_any_volume_is_nothing_known(spark):
+    found = by_code(weighted_moments(levels(spark, [("a", 10, 10**17), ("a", 11, 1), ("b", 10, 10**17 - 1000)]), STOCK_DAY))
+    assert found["a"].price_std is None and found["a"].price_skewness is None and found["a"].price_kurtosis is None
+    assert found["b"].price_std == 0
 
 
 def test_shared_tables(spark, sf_dir):

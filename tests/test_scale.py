@@ -7,12 +7,15 @@ import pytest
 from tickwright.checks.queries import QUERIES
 from tickwright.operators.changes import price_changes
 from tickwright.operators.levels import open_close, price_levels
-from tickwright.sources.events import coarse, event_ticks
+from tickwright.operators.moments import weighted_moments
+from tickwright.schemas import STOCK_DAY
+from tickwright.sources.events import coarse, event_ticks, lineitem_ticks
 
 STREAMS_AND_FILES = {
     "stream_price_changes",
     "stream_price_changes_batches",
     "stream_price_changes_timed",
+    "stream_change_log",
     "stream_day_window",
     "stream_closed_days",
     "tsv_files",
@@ -57,14 +60,21 @@ def test_day_rows_read_ticks_once(spark, sf_dir, name):
     """Levels are shuffled once to be built and once more, by day, for all that follows."""
     plan = executed_plan(QUERIES[name](spark, sf_dir))
     scans = 1 if name != "day_features" else 2  # its limits are made of the ticks' days here
-    assert plan.count("Scan parquet") == scans and "SortAggregate" not in plan
+    assert plan.count("Scan parquet") == scans
     assert plan.count("Exchange hashpartitioning") <= 2 * scans
 
 
-@pytest.mark.parametrize("name", ["run_accumulator", "open_close", "edge_ticks"])
-def test_edges_need_no_sorted_aggregate(spark, sf_dir, name):
+@pytest.mark.parametrize("name, times", [("run_accumulator", 1), ("open_close", 1), ("edge_ticks", 2)])
+def test_edges_need_one_pass(spark, sf_dir, name, times):
+    """Whole ticks travel in the aggregate: one scan and one exchange for each edge, and no join back."""
     plan = executed_plan(QUERIES[name](spark, sf_dir))
-    assert "SortAggregate" not in plan
+    assert plan.count("Scan parquet") == plan.count("Exchange hashpartitioning") == times
+    assert "Join" not in plan and plan.count("partial_m") >= times
+
+
+def test_moments_are_summed_before_the_shuffle(spark, sf_dir):
+    plan = plan_of(weighted_moments(price_levels(lineitem_ticks(spark, sf_dir)), STOCK_DAY))
+    assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 2 and "partial_try_sum" in plan
 
 
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])

@@ -18,6 +18,8 @@ from tickwright.streaming import (
     day_window,
     drain,
     latest_rows,
+    replay,
+    stream_change_log,
     stream_day_window,
     stream_price_changes,
 )
@@ -184,3 +186,59 @@ def test_drain_and_print(spark, parts):
 def test_day_window_is_streaming(spark, parts):
     path, _ = parts
     assert day_window(read_tick_stream(spark, path).withColumn("ts", F.current_timestamp())).isStreaming
+
+
+def _rows(log):
+    return sorted(map(tuple, replay(log).collect()), key=str)
+
+
+def test_log_of_ticks_in_any_order(spark, sf_dir):
+    """Ticks dealt over batches by chance: after each batch the log gives the changes of all ticks so far."""
+    few = coarse(event_ticks(spark, sf_dir)).where("order_date < DATE'2024-01-03'").withColumn("part", F.pmod(F.xxhash64("tran_id"), F.lit(3)))
+    folder, work = shared_dir(spark, "log-in"), shared_dir(spark, "log")
+    taken_back = 0
+    for part in range(3):
+        few.where(F.col("part") == part).drop("part").repartition(2).write.mode("append").parquet(folder)
+        stream = read_tick_stream(spark, folder, schema=TICKS)
+        stream_change_log(stream, f"{work}/out", work, slice_chars=2).awaitTermination()  # starts anew each time
+        log = read_table(spark, f"{work}/out")
+        assert _rows(log) == sorted(map(tuple, price_changes(few.where(F.col("part") <= part)).collect()), key=str)
+        taken_back += log.where("op < 0").count()
+    assert taken_back > 0
+    assert log.where(F.col("batch") == 0).where("op < 0").count() == 0
+
+
+def test_late_ticks_undo_changes(spark):
+    folder, work = shared_dir(spark, "late-log-in"), shared_dir(spark, "late-log")
+    seen = []
+    for rows in (
+        [("a", "09:30:05", 5, 10, 1), ("a", "09:31:00", 6, 11, 2), ("b", "x", 1, 7, 1)],
+        [("a", "09:30:30", 4, 11, 3), ("a", "09:30:31", 5, 11, 4), ("a", "09:30:05", 5, 10, 1)],
+        [("a", "09:29:00", 1, 10, 5), ("c", None, 1, 1, 1), ("c", "09:29:00", None, 1, 1), ("b", "w", 1, 7, None)],
+    ):
+        ticks(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+        stream_change_log(read_tick_stream(spark, folder), f"{work}/out", work).awaitTermination()
+        log = read_table(spark, f"{work}/out").where(F.col("batch") == len(seen))
+        seen.append(sorted((r.op, r.order_code, r.order_time, int(r.price)) for r in log.collect()))
+        time.sleep(1.1)
+    assert seen == [
+        [(1, "a", "09:30:05", 10), (1, "a", "09:31:00", 11), (1, "b", "x", 7)],
+        [(-1, "a", "09:31:00", 11), (1, "a", "09:30:30", 11)],
+        [(-1, "a", "09:30:05", 10), (-1, "b", "x", 7), (1, "a", "09:29:00", 10), (1, "b", "w", 7)],
+    ]
+
+
+def test_a_batch_reads_its_source_once(spark, monkeypatch):
+    """What a batch is made of is worked out once, however often its rows are used."""
+    folder, work = shared_dir(spark, "once-in"), shared_dir(spark, "once")
+    ticks(spark, [("a", "09:30:00", i, i % 7, 1) for i in range(1, 60)]).coalesce(1).write.parquet(folder)
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            counted.add(batch.num_rows)
+            yield batch
+
+    source = read_tick_stream(spark, folder)
+    stream_price_changes(source.mapInArrow(seen, source.schema), f"{work}/out", work).awaitTermination()
+    assert counted.value == 59

@@ -242,6 +242,17 @@ _LEVEL_COLUMNS = (
 
 _UPDOWN_DAY = _with(_TICKS, _EVENT_LEVELS, _EVENT_EDGES, _EVENT_SUMS) + _UPDOWN
 
+_EDGE_TICKS = f"""SELECT {_TICK_COLUMNS}, edge FROM (
+  SELECT *, 'first' AS edge, row_number() OVER (PARTITION BY order_code, order_date ORDER BY order_time, tran_id) AS r
+  FROM {{ticks}} UNION ALL
+  SELECT *, 'last' AS edge, row_number() OVER (PARTITION BY order_code, order_date ORDER BY order_time DESC, tran_id DESC) AS r
+  FROM {{ticks}}) t WHERE r = 1"""
+
+_ODD_CLOCKS = """
+odd AS (
+  SELECT * REPLACE (CASE volume % 4 WHEN 0 THEN order_time || '789' WHEN 1 THEN order_time || '+08:00'
+                    WHEN 2 THEN 'T' || order_time ELSE order_time END AS order_time) FROM ticks)"""
+
 ORACLE_SQL: dict[str, str] = {
     "tick_scan": _with(_TICKS)
     + f"SELECT {_TICK_COLUMNS}, CAST(CAST(price * 100 AS BIGINT) * volume AS DOUBLE) / 100 AS sum "
@@ -269,12 +280,8 @@ ORACLE_SQL: dict[str, str] = {
     "open_close": _with(_TICKS, _EVENT_EDGES)
     + f"SELECT order_code, {_DAY}, CAST(open_price AS DOUBLE) AS open_price, "
     "CAST(close_price AS DOUBLE) AS close_price FROM edges",
-    "edge_ticks": _with(_TICKS)
-    + f"SELECT {_TICK_COLUMNS}, edge FROM ("
-    "SELECT *, 'first' AS edge, row_number() OVER (PARTITION BY order_code, order_date "
-    "ORDER BY order_time, tran_id) AS r FROM ticks UNION ALL "
-    "SELECT *, 'last' AS edge, row_number() OVER (PARTITION BY order_code, order_date "
-    "ORDER BY order_time DESC, tran_id DESC) AS r FROM ticks) t WHERE r = 1",
+    "edge_ticks": _with(_TICKS) + _EDGE_TICKS.format(ticks="ticks"),
+    "edge_ticks_any_clock": _with(_TICKS, _ODD_CLOCKS) + _EDGE_TICKS.format(ticks="odd"),
     "totals_vwap": _with(_TICKS, _EVENT_LEVELS, _EVENT_EDGES, _EVENT_SUMS)
     + f"""SELECT order_code, {_DAY}, {_money('o')} AS start_price, {_money('e')} AS end_price,
        CAST(v AS BIGINT) AS volume, {_money('a')} AS amount, CAST(uv AS BIGINT) AS up_volume, {_money('ua')} AS up_sum,
@@ -321,6 +328,7 @@ ORACLE_SQL: dict[str, str] = {
     "stream_price_changes": _PRICE_CHANGES,
     "stream_price_changes_batches": _PRICE_CHANGES,
     "stream_price_changes_timed": _PRICE_CHANGES,
+    "stream_change_log": _PRICE_CHANGES,
     "stream_day_window": _RUN_ROWS,
     "stream_closed_days": _with(_TICKS)
     + _RUN.format(

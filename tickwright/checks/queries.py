@@ -48,7 +48,7 @@ from tickwright.sources.events import (
     limit_list,
     lineitem_ticks,
 )
-from tickwright.streaming import latest_rows, stream_day_window, stream_price_changes
+from tickwright.streaming import latest_rows, replay, stream_change_log, stream_day_window, stream_price_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +165,19 @@ def edge_ticks(spark, sf_dir):
     return first.unionByName(last_ticks(ticks).withColumn("edge", F.lit("last")))
 
 
+def edge_ticks_of_any_clock(spark, sf_dir):
+    """Clock times with nanoseconds, with a zone and with a mark in front, compared as text."""
+    odd = (
+        F.when(F.col("volume") % 4 == 0, F.concat("order_time", F.lit("789")))
+        .when(F.col("volume") % 4 == 1, F.concat("order_time", F.lit("+08:00")))
+        .when(F.col("volume") % 4 == 2, F.concat(F.lit("T"), "order_time"))
+        .otherwise(F.col("order_time"))
+    )
+    ticks = event_ticks(spark, sf_dir).withColumn("order_time", odd).select(*TICK_VIEW)
+    first = first_ticks(ticks).withColumn("edge", F.lit("first"))
+    return first.unionByName(last_ticks(ticks).withColumn("edge", F.lit("last")))
+
+
 def totals_vwap(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
     return day_totals(opened_levels(ticks), [*STOCK_DAY, "start_price", "end_price"])
@@ -308,21 +321,33 @@ def stream_changes(spark, sf_dir):
     return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
 
 
+def _in_parts(ticks, part, folder):
+    """The ticks in six parts, one after another; how many files each has. A stream takes the oldest files first.
+
+    The input is read once, and a part has as many files as Spark has tasks at a time, so it is written and read
+    in parallel.
+    """
+    spark = ticks.sparkSession
+    ticks.withColumn("part", part.cast("int")).write.partitionBy("part").parquet(f"{folder}-parts")
+    parts, files = spark.read.parquet(f"{folder}-parts"), spark.sparkContext.defaultParallelism
+    for k in range(6):
+        parts.where(F.col("part") == k).drop("part").repartition(files).write.mode("append").parquet(folder)
+        time.sleep(1.1)  # the files' times, by which a stream orders them, are in seconds
+    return files
+
+
 def _time_ordered_files(spark, sf_dir, folder):
-    """The ticks in six files by ranges of their ids, which follow time; a stream takes the oldest file first."""
+    """By ranges of the ticks' ids, which follow time."""
     ticks = coarse(event_ticks(spark, sf_dir))
     last = ticks.agg(F.max("tran_id")).first()[0] or 0
-    for k in range(6):
-        part = ticks.where(F.floor(F.col("tran_id") * 6 / (last + 1)) == k)
-        part.coalesce(1).write.mode("append").parquet(folder)
-        time.sleep(1.1)  # the files' times, by which a stream orders them, are in seconds
+    return _in_parts(ticks, F.floor(F.col("tran_id") * 6 / (last + 1)), folder)
 
 
 def stream_changes_in_batches(spark, sf_dir):
     """The same rows over several batches, each of which goes on from the last prices before it."""
     work = shared_dir(spark, "stream-batches")
-    _time_ordered_files(spark, sf_dir, f"{work}/in")
-    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=1)
+    files = _time_ordered_files(spark, sf_dir, f"{work}/in")
+    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=files)
     stream_price_changes(ticks, f"{work}/out", work).awaitTermination()
     return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
 
@@ -330,14 +355,24 @@ def stream_changes_in_batches(spark, sf_dir):
 def stream_changes_timed(spark, sf_dir):
     """The same rows by a timed trigger, stopped when all that is there has been taken."""
     work = shared_dir(spark, "stream-timed")
-    _time_ordered_files(spark, sf_dir, f"{work}/in")
-    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=2)
+    files = _time_ordered_files(spark, sf_dir, f"{work}/in")
+    ticks = read_tick_stream(spark, f"{work}/in", files_per_trigger=2 * files)
     query = stream_price_changes(ticks, f"{work}/out", work, every="1 second")
     query.processAllAvailable()
     query.stop()
     return read_table(spark, f"{work}/out").select(*PRICE_CHANGES.names)
 
 
+def stream_changes_of_shuffled_ticks(spark, sf_dir):
+    """The same rows from ticks in no order over several batches: what the log of additions and retractions leaves."""
+    work = shared_dir(spark, "stream-log")
+    ticks = coarse(event_ticks(spark, sf_dir))
+    files = _in_parts(ticks, F.pmod(F.xxhash64("tran_id"), F.lit(6)), f"{work}/in")
+    stream = read_tick_stream(spark, f"{work}/in", files_per_trigger=2 * files)
+    stream_change_log(stream, f"{work}/out", work, slice_chars=2).awaitTermination()
+    return replay(read_table(spark, f"{work}/out"))
+
+
 def stream_days(spark, sf_dir):
     work = shared_dir(spark, "stream-days")
     stream_day_window(_event_stream(spark, sf_dir), f"{work}/out", work).awaitTermination()
@@ -368,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "lineitem_levels": levels_of_lineitem,
     "open_close": open_close_of_events,
     "edge_ticks": edge_ticks,
+    "edge_ticks_any_clock": edge_ticks_of_any_clock,
     "totals_vwap": totals_vwap,
     "weighted_moments": moments_of_events,
     "lineitem_moments": moments_of_lineitem,
@@ -392,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "stream_price_changes": stream_changes,
     "stream_price_changes_batches": stream_changes_in_batches,
     "stream_price_changes_timed": stream_changes_timed,
+    "stream_change_log": stream_changes_of_shuffled_ticks,
     "stream_day_window": stream_days,
     "stream_closed_days": stream_closed_days,
 }

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickwright.functions import amount
 from tickwright.operators.keys import with_transaction
-from tickwright.operators.levels import TICK_ORDER, with_place
+from tickwright.operators.levels import TICK_ORDER, place
 from tickwright.operators.previous import HOT_ROWS, with_previous
 from tickwright.schemas import PRICE_CHANGES, STOCK_DAY
 
@@ -35,4 +35,4 @@ def price_changes(
 def last_prices(ticks: DataFrame) -> DataFrame:
     """The last price of each stock-day."""
     usable = with_transaction(ticks).where(F.col("price").isNotNull())
-    return with_place(usable).groupBy(*STOCK_DAY).agg(F.max_by("price", "place").alias("price"))
+    return usable.groupBy(*STOCK_DAY).agg(F.max_by("price", place()).alias("price"))

@@ -9,55 +9,14 @@ from tickwright.schemas import AMOUNT, STOCK_DAY
 # Ties in time are settled by the transaction id.
 TICK_ORDER = ["order_time", "tran_id"]
 
-#: Characters of a clock time that a place holds; digits, colons and points sort as their text does.
-_CLOCK_LENGTH = 15
-_CLOCK = rf"^[.0-9:]{{0,{_CLOCK_LENGTH}}}$"
-_COMMON_CLOCK = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]([.][0-9]{1,6})?$"
 
 
-def _common_clock_number() -> str:
-    """SQL: what ``_clock_number`` gives, from the time's microseconds ``_us`` and its length ``_n``.
+def place() -> Column:
+    """A tick's place in its day: (order_time, tran_id), null without a transaction id.
 
-    A number's digits become those to base 16 by adding 6 for each ten, 96 for each hundred and so on; each
-    digit then stands for itself and three.
+    Times are compared as text of any length and form; a missing one comes before all.
     """
-
-    def pair(number: str, at: int) -> str:
-        return f"({number} + 6L * ({number} div 10) + 51L) * {16**at}L"
-
-    pairs = [pair("(_us div 3600000000)", 13), pair("(_us div 60000000 % 60)", 10), pair("(_us div 1000000 % 60)", 7)]
-    fraction = " + ".join(["_us % 1000000", *[f"{6 * 16**k}L * (_us % 1000000 div {10 ** (k + 1)})" for k in range(5)]])
-    threes = "shiftleft(shiftright(3355443L, 60 - 4 * _n), 60 - 4 * _n)"  # 0x333333, as far as there are digits
-    point = f"CASE WHEN _n > 8 THEN {16**6}L + {fraction} + {threes} ELSE 0L END"
-    return " + ".join([*pairs, f"{13 * (16**12 + 16**9)}L", point])
-
-
-def _clock_number(time: Column) -> Column:
-    """A time's text as a number to base 16, what is shorter before what is longer; fails for other texts."""
-    digits = F.rpad(F.translate(time, ".0123456789:", "13456789abcd"), _CLOCK_LENGTH, "0")
-    wrong = F.raise_error(F.concat(F.lit("not a clock time: "), time)).cast("bigint")
-    return F.when(time.rlike(_CLOCK), F.conv(digits, 16, 10).cast("bigint")).otherwise(wrong)
-
-
-def with_place(ticks: DataFrame) -> DataFrame:
-    """Adds ``place``, a tick's place in its day as one whole number, in the order of (order_time, tran_id).
-
-    Aggregates over a number of fixed width need no sort, unlike those over text. Times are compared as
-    text: each character is a digit to base 16, and what is shorter comes first. A missing time comes before
-    all; one that is not made of digits, colons and points, or is longer than 15 characters, fails the job.
-    Null without a transaction id.
-    """
-    time = F.coalesce("order_time", F.lit(""))
-    micros = F.unix_micros(F.concat(F.lit("1970-01-01 "), time).cast("timestamp"))
-    midnight = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp"))
-    parts = ticks.withColumn("_common", time.rlike(_COMMON_CLOCK)).withColumns(
-        {"_n": F.length(time), "_us": F.when(F.col("_common"), micros - midnight)}
-    )
-    clock = F.when(F.col("_common"), F.expr(_common_clock_number())).otherwise(_clock_number(time))
-    # Ids are less than 2**64 apart.
-    place = clock.cast("decimal(19,0)") * F.expr("18446744073709551616BD") + F.col("tran_id").cast("decimal(19,0)")
-    numbered = parts.withColumn("place", F.when(F.col("tran_id").isNotNull(), place.cast("decimal(38,0)")))
-    return numbered.drop("_common", "_n", "_us")
+    return F.when(F.col("tran_id").isNotNull(), F.struct(*TICK_ORDER))
 
 
 def _level_sums() -> list[Column]:
@@ -84,8 +43,8 @@ def opened_levels(ticks: DataFrame, close_default=None) -> DataFrame:
     without a price included. A day without ticks that have a transaction id opens at 0 and closes at
     ``close_default``; one whose first tick has no price is left out.
     """
-    levels = with_place(ticks).groupBy(*STOCK_DAY, "price").agg(
-        *_level_sums(), F.min("place").alias("first"), F.max("place").alias("last")
+    levels = ticks.groupBy(*STOCK_DAY, "price").agg(
+        *_level_sums(), F.min(place()).alias("first"), F.max(place()).alias("last")
     )
     day = Window.partitionBy(*STOCK_DAY)
     edges = levels.withColumns(
@@ -110,8 +69,8 @@ def opened_levels(ticks: DataFrame, close_default=None) -> DataFrame:
 
 def open_close(ticks: DataFrame) -> DataFrame:
     """First and last price of each stock-day: one row per task and day goes over the network."""
-    return with_place(with_transaction(ticks)).groupBy(*STOCK_DAY).agg(
-        F.min_by("price", "place").alias("open_price"), F.max_by("price", "place").alias("close_price")
+    return with_transaction(ticks).groupBy(*STOCK_DAY).agg(
+        F.min_by("price", place()).alias("open_price"), F.max_by("price", place()).alias("close_price")
     )
 
 
@@ -126,17 +85,13 @@ def last_ticks(ticks: DataFrame) -> DataFrame:
 
 
 def ticks_at(ticks: DataFrame, keys: list[str], edge, *sums: Column) -> DataFrame:
-    """The tick at the ``edge`` (``F.min`` or ``F.max``) of its key's places, with sums over the key if given.
+    """The tick at the ``edge`` (``F.min`` or ``F.max``) of its key, with sums over the key if given.
 
-    The place is found by a hash aggregate, and the tick by a join on it: Spark broadcasts the places where
-    they are few, and else spreads the ticks by place. Of ticks at one place the smallest is taken.
+    The whole tick is carried in the aggregate's value, so one pass finds it and one row per task and key goes
+    over the network. Of ticks at one place the smallest is the first and the largest the last.
     """
-    placed = with_place(with_transaction(ticks))
-    edges = placed.groupBy(*keys).agg(edge("place").alias("edge"), *sums)
-    of_edge = [F.col(f"e.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
-    joined = placed.alias("t").join(edges.alias("e"), [*of_edge, F.col("e.edge") == F.col("t.place")])
-    rest = [c for c in ticks.columns if c not in keys]
-    extra = [c for c in edges.columns if c not in [*keys, "edge"]]
-    tick = F.struct(*[F.col(f"t.{c}").alias(c) for c in rest], *[F.col(f"e.{c}").alias(c) for c in extra])
-    picked = joined.groupBy(*[F.col(f"t.{k}").alias(k) for k in keys]).agg(F.sort_array(F.collect_list(tick))[0].alias("tick"))
-    return picked.select(*keys, "tick.*")
+    rest = [c for c in ticks.columns if c not in [*keys, *TICK_ORDER]]
+    tick = edge(F.struct(*TICK_ORDER, *rest)).alias("tick")
+    found = with_transaction(ticks).groupBy(*keys).agg(tick, *sums)
+    extra = [c for c in found.columns if c not in [*keys, "tick"]]
+    return found.select(*keys, *[F.col(f"tick.{c}").alias(c) for c in ticks.columns if c not in keys], *extra)

@@ -4,10 +4,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickwright.functions import amount
 from tickwright.operators.keys import with_transaction
-from tickwright.operators.levels import ticks_at
+from tickwright.operators.levels import TICK_ORDER
 from tickwright.schemas import AMOUNT, PRICE_CHANGES, STOCK_DAY
 
-_LAST = ["order_time", "tran_id", "order_dc", "price"]
+# In this order the largest is the latest tick's.
+_LAST = [*TICK_ORDER, "order_dc", "price"]
 
 
 def _sums() -> list[Column]:
@@ -19,27 +20,19 @@ def _sums() -> list[Column]:
 
 def run_aggregates() -> list[Column]:
     """Aggregates of one run of a stream. All last values are those of the same, latest tick."""
-    return [F.max_by(F.struct(*_LAST), F.struct("order_time", "tran_id")).alias("last"), *_sums()]
+    return [F.max(F.struct(*_LAST)).alias("last"), *_sums()]
 
 
 def accumulate(ticks: DataFrame, *also_by: Column) -> DataFrame:
-    """Mergeable run rows per stock-day, or per smaller part of it when more keys are given."""
-    names = [f"part_{k}" for k in range(len(also_by))]
+    """Mergeable run rows per stock-day, or per smaller part of it when more keys are given: one pass."""
     usable = with_transaction(ticks).where(F.col("price").isNotNull())
-    parts = usable.select(*STOCK_DAY, *_LAST, F.col("volume").alias("shares"), *[c.alias(n) for c, n in zip(also_by, names)])
-    sums = [
-        F.sum("shares").alias("volume"),
-        F.sum(amount(F.col("price"), F.col("shares"))).cast(AMOUNT).alias("sum"),
-    ]
-    return ticks_at(parts, [*STOCK_DAY, *names], F.max, *sums).select(
-        *STOCK_DAY, *names, F.struct(*_LAST).alias("last"), "volume", "sum"
-    )
+    return usable.groupBy(*STOCK_DAY, *also_by).agg(*run_aggregates())
 
 
 def merge_runs(parts: DataFrame) -> DataFrame:
     """Run rows of the same stock-day to one."""
     return parts.groupBy(*STOCK_DAY).agg(
-        F.max_by("last", F.struct("last.order_time", "last.tran_id")).alias("last"),
+        F.max("last").alias("last"),
         F.sum("volume").alias("volume"),
         F.sum("sum").cast(AMOUNT).alias("sum"),
     )

@@ -26,20 +26,20 @@ def day_features(levels: DataFrame, edges: DataFrame, limits: DataFrame) -> Data
     )
     days = with_open_close(days, edges, STOCK_DAY).drop(*STOCK_DAY)
 
-    return _feature_rows(with_moment_terms(levels.join(days, _DAY), _DAY), _DAY)
+    return _feature_rows(with_moment_terms(levels.join(days, _DAY)), _DAY)
 
 
 def day_features_of_ticks(ticks: DataFrame, limits: DataFrame) -> DataFrame:
     """The same rows straight from ticks, which are read once.
 
     ``limits`` is keyed as for ``day_features``; its code without the suffix is the ticks' code. Levels are
-    shuffled by stock-day once, for opening price, lowest price, limits and sums alike.
+    shuffled by stock-day once, for opening price, limits and sums alike.
     """
     days = limits.select(*_DAY, "up_limit", "down_limit").distinct()
     days = days.withColumns(
         {"order_code": without_suffix(F.col("ts_code")), "order_date": F.col("trade_date")}
     )
-    terms = with_moment_terms(opened_levels(ticks), STOCK_DAY)
+    terms = with_moment_terms(opened_levels(ticks))
     return _feature_rows(terms.join(days, STOCK_DAY), [*STOCK_DAY, *_DAY])
 
 

@@ -2,38 +2,59 @@
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructType
 
 from tickwright.operators.changes import USED, price_changes
 from tickwright.operators.keys import with_transaction
-from tickwright.operators.levels import with_place
+from tickwright.operators.levels import TICK_ORDER, place
 from tickwright.operators.previous import HOT_ROWS
 from tickwright.schemas import PRICE, STOCK_DAY
 from tickwright.streaming.drain import drain
 
-#: ``place`` is where the day's last tick stands, ``batch`` which batch wrote the day, ``slot`` one of two
-#: folders that a day's versions use in turn.
+#: Price, time and id are those of the day's last tick; ``batch`` is which batch wrote the day, ``slot`` one of
+#: two folders that a day's versions use in turn.
 STATE = (
     StructType()
     .add("order_code", StringType())
     .add("price", PRICE)
-    .add("place", DecimalType(38, 0))
+    .add("order_time", StringType())
+    .add("tran_id", LongType())
     .add("batch", LongType())
     .add("slot", IntegerType())
     .add("order_date", DateType())
 )
 
 
-def _known(spark: SparkSession, path: str, days: list, number: int) -> DataFrame:
-    """The last ticks of the given days as they were before batch ``number``; other days' files aren't read."""
+def known_days(spark: SparkSession, path: str, schema: StructType, days: list, number: int) -> DataFrame:
+    """What ``path`` holds of the given days as it was before batch ``number``; other days' files aren't read."""
     if number == 0 or not days:
-        return spark.createDataFrame([], STATE)
-    written = spark.read.schema(STATE).parquet(path)
+        return spark.createDataFrame([], schema)
+    written = spark.read.schema(schema).parquet(path)
     older = written.where(F.col("order_date").isin(days) & (F.col("batch") < number))
     newest = F.max("batch").over(Window.partitionBy("order_date"))
     return older.withColumn("newest", newest).where("batch = newest").drop("newest")
 
 
+def write_days(version: DataFrame, known: DataFrame, path: str, schema: StructType, number: int) -> None:
+    """A version of all days in ``version``, each into the one of its two folders that ``known`` was not read from."""
+    slots = known.select("order_date", "slot").distinct()
+    rows = version.join(slots, "order_date", "left").withColumns(
+        {"batch": F.lit(number).cast("long"), "slot": F.coalesce(1 - F.col("slot"), F.lit(0))}
+    )
+    writer = rows.select(*schema.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("slot", "order_date").parquet(path)
+
+
+def written_once(batch: DataFrame, folder: str, number: int) -> DataFrame:
+    """The batch's rows from a file of its own, so that its source is read and worked out once.
+
+    Two folders are used in turn; what a batch before the last one has written is replaced.
+    """
+    path = f"{folder}/slot={number % 2}"
+    batch.write.mode("overwrite").parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
 def stream_price_changes(
     ticks: DataFrame,
     output: str,
@@ -58,34 +79,21 @@ def stream_price_changes(
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        usable = with_transaction(batch.select(*USED)).dropna(subset=[*STOCK_DAY, "order_time", "price"])
+        ticks = with_transaction(batch.select(*USED)).dropna(subset=[*STOCK_DAY, "order_time", "price"])
+        usable = written_once(ticks, f"{work_dir}/ticks", number)
         days = [r.order_date for r in usable.select("order_date").distinct().collect()]
-        known = _known(spark, state, days, number)
-        kept = known.select(*STOCK_DAY, F.col("place").alias("kept"))
-        placed = with_place(usable).join(kept, STOCK_DAY, "left")
-        late = F.coalesce(F.col("place") <= F.col("kept"), F.lit(False))
-        placed.where(late).select(*USED).write.mode("overwrite").parquet(f"{work_dir}/late/batch={number}")
-        fresh = placed.where(~late)
-        latest = fresh.groupBy(*STOCK_DAY).agg(
-            F.max_by("price", "place").alias("price"), F.max("place").alias("place")
-        )
+        known = known_days(spark, state, STATE, days, number)
+        kept = known.select(*STOCK_DAY, F.struct(*TICK_ORDER).alias("kept"))
+        late = F.coalesce(F.struct(*TICK_ORDER) <= F.col("kept"), F.lit(False))
+        placed = usable.join(kept, STOCK_DAY, "left").withColumn("late", late)
+        placed.where("late").select(*USED).write.mode("overwrite").parquet(f"{work_dir}/late/batch={number}")
+        fresh = placed.where("NOT late").select(*USED)
+        last = fresh.groupBy(*STOCK_DAY).agg(F.max_by(F.struct("price", *TICK_ORDER), place()).alias("last"))
+        latest = last.select(*STOCK_DAY, "last.*")
         before = known.select(*STOCK_DAY, "price").join(latest, STOCK_DAY, "left_semi")
-        changes = price_changes(fresh.select(*USED), hot_over=hot_over, before=before)
+        changes = price_changes(fresh, hot_over=hot_over, before=before)
         changes.write.mode("overwrite").parquet(f"{output}/batch={number}")
-
-        columns = [*STOCK_DAY, "price", "place"]
-        rest = known.select(*columns).join(latest, STOCK_DAY, "left_anti")
-        slots = known.select("order_date", "slot").distinct()
-        version = latest.select(*columns).unionByName(rest).join(slots, "order_date", "left")
-        version.select(
-            "order_code",
-            "price",
-            "place",
-            F.lit(number).cast("long").alias("batch"),
-            F.coalesce(1 - F.col("slot"), F.lit(0)).alias("slot"),
-            "order_date",
-        ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "slot", "order_date"
-        ).parquet(state)
+        rest = known.select(*latest.columns).join(latest, STOCK_DAY, "left_anti")
+        write_days(latest.unionByName(rest), known, state, STATE, number)
 
     return drain(ticks, write, f"{work_dir}/checkpoint", every=every)
