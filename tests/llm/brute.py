@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 
 GAP = re.compile("[\x20\x09-\x0d]+")
@@ -99,6 +100,12 @@ def repeated_bytes(texts, length):
     return out
 
 
+def sparse(raw, spans, length, words):
+    """Whether ``length`` neighbouring bytes somewhere hold fewer than ``words`` whole words, given the words' spans."""
+    starts, ends = [a for a, _ in spans], [b for _, b in spans]
+    return any(bisect_right(ends, p + length) - bisect_left(starts, p) < words for p in range(len(raw) - length + 1))
+
+
 def crc(data):
     return zlib.crc32(data)
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from hypothesis import example, given, settings, strategies as st
 
 from tests.llm import brute
 from tickwright.llm import suffixes
-from tickwright.llm.suffixes import COVERS, Blocks, cover_for, cut_text, repeated_spans, without_repeats
+from tickwright.llm.suffixes import COVERS, Blocks, cover_for, cut_text, repeated_spans, sparse_part, without_repeats
 
 DOCS = "doc_id long, text string, spans string, a string, _a string, n_chars long"
 
@@ -110,3 +111,12 @@ def test_text_is_cut_at_whole_characters(spark):
     assert [r.text for r in found if r.doc_id == 4] == [None]
     assert all(r.spans == r.a == r["_a"] == "clash" and (r.text is None or r.n_chars == len(r.text)) for r in found)
     assert cover_for(400)[0] == 133 and np.all(np.diff(cover_for(400)[1]) > 0)
+
+
+def test_sparse_parts_are_found():
+    rng = random.Random(4)
+    for _ in range(600):
+        raw = "".join(rng.choice("ab  \n") for _ in range(rng.randint(0, 60))).encode()
+        spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", raw)]
+        length, words = rng.randint(1, 30), rng.randint(1, 9)
+        assert sparse_part(raw, length, words) == brute.sparse(raw, spans, length, words), (raw, length, words)

@@ -518,16 +518,24 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
 def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """docs with repeated strings cut out of ``text`` and ``n_chars`` counted anew, where docs has it.
 
-    With ``words``, passages of so many words that occur twice go too, however short they are; the gaps between
-    the words may differ, and go with them. A span that begins or ends within a character is narrowed to whole characters. Rows
-    whose text is all repeated stay with an empty text; null texts stay null.
+    With ``words``, passages of so many words that occur twice go, however short they are; the gaps between the
+    words may differ, and go with them. Strings of bytes are then looked for among the texts in which ``length``
+    bytes somewhere hold fewer whole words: any other such string holds a passage. A span that begins or ends within
+    a character is narrowed to whole characters. Rows whose text is all repeated stay with an empty text; null texts
+    stay null.
     """
     # The row travels as one column, so that no name of docs can clash.
     a, b = _text_hashes(F.col("text"))
     keyed = docs.select(F.struct("*").alias("row"), a.alias("row_a"), b.alias("row_b"))
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("text", *_text_hashes(F.col("text")))
-    found = repeated_in_texts(spark, hashed, length).where("n_removed > 0").select("a", "b", "spans")
+
+    @F.pandas_udf("boolean")
+    def has_sparse_part(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: sparse_part(t.encode(), length, words))
+
+    strings = hashed if words is None else hashed.where(has_sparse_part("text"))
+    found = repeated_in_texts(spark, strings, length).where("n_removed > 0").select("a", "b", "spans")
     if words is None:
         found, least = found.withColumn("word_spans", F.lit(None).cast(_SPANS)), length
     else:
@@ -549,6 +557,17 @@ def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
     return joined.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def sparse_part(raw: bytes, length: int, words: int) -> bool:
+    """Whether ``length`` neighbouring bytes somewhere hold fewer than ``words`` whole words."""
+    edges = word_edges(np.frombuffer(raw, np.uint8))
+    if len(raw) < length or len(edges) < 2 * words:
+        return len(raw) >= length
+    # From just after a word's first byte, or the text's beginning, to a word's last byte, or the text's end.
+    first = np.concatenate([[-1], edges[::2]])
+    after = np.concatenate([edges[1::2], [len(raw) + 1]])
+    return bool((after[words - 1 :] - first[: len(after) - words + 1] > length + 1).any())
+
+
 def _cut(text: str, spans, word_spans, copied: bool, length: int, words: int | None) -> str:
     """``text`` without its spans in bytes and in codes of words; all of it goes if it is long enough and ``copied``."""
     raw = text.encode()
