@@ -19,6 +19,8 @@ STREAMS_AND_FILES = {
     "stream_day_window",
     "stream_closed_days",
     "tsv_files",
+    "day_lines",
+    "labelled_load",
     "csv_files",
     "updown_append",
     "keyed_update",

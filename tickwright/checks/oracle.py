@@ -322,6 +322,8 @@ ORACLE_SQL: dict[str, str] = {
     + _BAR_COLUMNS.format(start='CASE WHEN "end" < 50 THEN new_start ELSE start END'),
     "tsv_lines": _LINES_OF_CHANGES,
     "tsv_files": _LINES_OF_CHANGES,
+    "day_lines": _PRICE_CHANGES + " WHERE changed.order_date >= DATE '2024-01-10' AND order_code IN ('click', 'view') AND changed.price > 20",
+    "labelled_load": _PRICE_CHANGES,
     "csv_projection": _written_features(),
     "csv_files": _written_features(),
     "updown_append": _UPDOWN_DAY,

@@ -24,7 +24,10 @@ from tickwright.sinks import (
     append_rows,
     change_lines,
     feature_fields,
+    load_labelled,
+    read_labelled,
     write_change_lines,
+    write_day_lines,
     write_feature_csv,
     write_new_version,
 )
@@ -32,6 +35,7 @@ from tickwright.sources import (
     decode_json,
     decode_positional,
     literal_keys,
+    read_day_lines,
     read_table,
     read_tick_stream,
     split_rejected,
@@ -288,6 +292,24 @@ def tsv_files(spark, sf_dir):
     return read_table(spark, path, fmt="text")
 
 
+def day_lines(spark, sf_dir):
+    """Lines by day, read back through a source that opens the asked days only and looks for codes in raw lines."""
+    path = shared_dir(spark, "day-lines")
+    write_day_lines(changes(spark, sf_dir), path)
+    found = read_day_lines(spark, path).where("order_date >= DATE'2024-01-10' AND order_code IN ('click', 'view') AND price > 20")
+    return found.select(*PRICE_CHANGES.names)
+
+
+def labelled_load(spark, sf_dir):
+    """Change rows loaded by code under a label each; the second load of a label adds nothing."""
+    path = shared_dir(spark, "labelled")
+    rows = changes(spark, sf_dir)
+    load_labelled(rows.where("order_code <= 'click'"), path, "early")
+    load_labelled(rows.where("order_code > 'click'"), path, "late")
+    load_labelled(rows, path, "early")
+    return read_labelled(spark, path, PRICE_CHANGES)
+
+
 def csv_projection(spark, sf_dir):
     return feature_fields(features(spark, sf_dir))
 
@@ -422,6 +444,8 @@ QUERIES: dict[str, Query] = {
     "keyed_update": keyed_update,
     "tsv_lines": tsv_lines,
     "tsv_files": tsv_files,
+    "day_lines": day_lines,
+    "labelled_load": labelled_load,
     "csv_projection": csv_projection,
     "csv_files": csv_files,
     "updown_append": updown_append,

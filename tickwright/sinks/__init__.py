@@ -1,4 +1,5 @@
-from tickwright.sinks.lines import change_lines, feature_fields, write_change_lines, write_feature_csv
+from tickwright.sinks.labelled import load_labelled, read_labelled
+from tickwright.sinks.lines import change_lines, feature_fields, write_change_lines, write_day_lines, write_feature_csv
 from tickwright.sinks.tables import (
     append_rows,
     jdbc_write_options,
@@ -13,9 +14,12 @@ __all__ = [
     "change_lines",
     "feature_fields",
     "jdbc_write_options",
+    "load_labelled",
     "print_rows",
     "print_stream",
+    "read_labelled",
     "write_change_lines",
+    "write_day_lines",
     "write_feature_csv",
     "write_jdbc",
     "write_new_version",

@@ -1,6 +1,6 @@
 """Text forms of change rows and feature rows."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickwright.functions import clean_text, plain_long, plain_price, plain_statistic, tab_line
 from tickwright.schemas import FEATURES
@@ -9,19 +9,27 @@ _TEXT = {"ticket_code", "ticket_dc"}
 _STATISTIC = {"price_std", "price_skewness", "price_kurtosis"}
 
 
+def _change_line() -> Column:
+    return tab_line(
+        F.col("order_code"),
+        F.date_format("order_date", "yyyy-MM-dd"),
+        F.col("order_time"),
+        F.col("order_dc"),
+        F.col("price"),
+        F.col("volume"),
+        F.col("sum"),
+    )
+
+
 def change_lines(changes: DataFrame) -> DataFrame:
     """One tab-separated line per change row, in column ``value``."""
-    return changes.select(
-        tab_line(
-            F.col("order_code"),
-            F.date_format("order_date", "yyyy-MM-dd"),
-            F.col("order_time"),
-            F.col("order_dc"),
-            F.col("price"),
-            F.col("volume"),
-            F.col("sum"),
-        ).alias("value")
-    )
+    return changes.select(_change_line().alias("value"))
+
+
+def write_day_lines(changes: DataFrame, path: str) -> None:
+    """Append change rows as lines, in a folder for each day; a day is gathered first, so that it is a few files."""
+    lines = changes.hint("rebalance", "order_date").select(_change_line().alias("value"), "order_date")
+    lines.write.mode("append").partitionBy("order_date").text(path)
 
 
 def write_change_lines(changes: DataFrame, path: str, mode: str = "append") -> None:

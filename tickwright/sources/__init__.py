@@ -1,4 +1,5 @@
 from tickwright.sources.decode import decode_json, decode_positional, split_rejected
+from tickwright.sources.lines import read_day_lines
 from tickwright.sources.tables import (
     jdbc_options,
     literal_keys,
@@ -15,6 +16,7 @@ __all__ = [
     "decode_positional",
     "jdbc_options",
     "literal_keys",
+    "read_day_lines",
     "read_jdbc",
     "read_table",
     "read_tick_stream",
