@@ -209,3 +209,24 @@ def test_licenses_spelled_out():
             assert scan(f"Creative Commons Attribution-{non}-{alike} 4.0")["labels"] == "cc-by-nc-sa"
             assert scan(f"Attribution-{alike}")["labels"] == "cc-by-sa"
     assert scan("Creative Commons Attribution 4.0")["labels"] == "cc-by"
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("under GPLv3 here", "gpl-3.0"),
+        ("GPL version 3", "gpl-3.0"),
+        ("GNU GPL version 2 or later", "gpl-2.0"),
+        ("GNU LGPL v2.1", "lgpl-2.1"),
+        ("licensed under GPL-3.0-or-later", "gpl-3.0"),
+        ("a 3-clause BSD text", "bsd-3-clause"),
+        ("Apache 2.0", "apache-2.0"),
+        ("the Apache License", "apache"),
+        ("The Apache License, Version 2.0", "apache-2.0"),
+        ("AGPLv3 or MIT licensed", "agpl-3.0,mit"),
+        ("MPL-2.0, EPL v1.0 and the SIL OFL 1.1", "epl-1.0,mpl-2.0,ofl-1.1"),
+        ("gplus, abgpl and gpls are nothing", ""),
+    ],
+)
+def test_short_names(text, labels):
+    assert scan(text)["labels"] == labels

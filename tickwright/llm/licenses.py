@@ -97,6 +97,39 @@ FAMILIES = [
     ("proprietary", "proprietary", r"proprietary and confidential", r"proprietary"),
 ]
 
+# Short names as people write them, as label, keyword and pattern.
+SHORT_NAMES = [
+    ("agpl-3.0", "agpl", r"(?:gnu )?agpl(?: licen[cs]e)?(?: version)?(?: )?v?3(?: 0)?(?: only| or (?:any )?later(?: version)?)?"),
+    ("agpl", "agpl", r"(?:gnu )?agpl"),
+    ("lgpl-2.1", "lgpl", r"(?:gnu )?lgpl(?: licen[cs]e)?(?: version)?(?: )?v?2 1(?: only| or (?:any )?later(?: version)?)?"),
+    ("lgpl-3.0", "lgpl", r"(?:gnu )?lgpl(?: licen[cs]e)?(?: version)?(?: )?v?3(?: 0)?(?: only| or (?:any )?later(?: version)?)?"),
+    ("lgpl", "lgpl", r"(?:gnu )?lgpl"),
+    ("gpl-2.0", "gpl", r"(?:gnu )?gpl(?: licen[cs]e)?(?: version)?(?: )?v?2(?: 0)?(?: only| or (?:any )?later(?: version)?)?"),
+    ("gpl-3.0", "gpl", r"(?:gnu )?gpl(?: licen[cs]e)?(?: version)?(?: )?v?3(?: 0)?(?: only| or (?:any )?later(?: version)?)?"),
+    ("gpl", "gpl", r"(?:gnu )?gpl"),
+    ("gfdl", "gfdl", r"(?:gnu )?gfdl"),
+    ("apache-2.0", "apache", r"apache(?: (?:software )?licen[cs]e)?(?: version)?(?: )?v?2(?: 0)?"),
+    ("apache", "apache", r"apache (?:software )?licen[cs]ed?"),
+    ("bsd-2-clause", "bsd", r"(?:2|two) clause bsd|bsd (?:2|two) clause"),
+    ("bsd-3-clause", "bsd", r"(?:3|three) clause bsd|bsd (?:3|three) clause|(?:new|modified|revised) bsd"),
+    ("bsd-4-clause", "bsd", r"(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd"),
+    ("bsd", "bsd", r"bsd (?:style )?licen[cs]ed?"),
+    ("mit", "mit", r"mit (?:style )?licen[cs]ed?|mit x11 licen[cs]e"),
+    ("mit", "expat", r"expat licen[cs]e"),
+    ("isc", "isc", r"isc licen[cs]ed"),
+    ("mpl-1.1", "mpl", r"mpl(?: version)?(?: )?v?1 1"),
+    ("mpl-2.0", "mpl", r"mpl(?: version)?(?: )?v?2(?: 0)?"),
+    ("epl-1.0", "epl", r"epl(?: version)?(?: )?v?1(?: 0)?"),
+    ("epl-2.0", "epl", r"epl(?: version)?(?: )?v?2(?: 0)?"),
+    ("cddl-1.0", "cddl", r"cddl(?: version)?(?: )?v?1(?: [01])?"),
+    ("eupl-1.2", "eupl", r"eupl(?: version)?(?: )?v?1 [12]"),
+    ("sspl-1.0", "sspl", r"sspl(?: version)?(?: )?v?1(?: 0)?"),
+    ("busl-1.1", "busl", r"busl(?: version)?(?: )?v?1 1"),
+    ("bsl-1.0", "boost", r"boost licen[cs]e(?: version)?(?: )?v?1(?: 0)?"),
+    ("wtfpl", "wtfpl", r"wtfpl"),
+    ("ofl-1.1", "ofl", r"sil ofl(?: version)?(?: )?(?:v?1 1)?"),
+]
+
 # Sentences of licence texts, as label, keyword and pattern.
 SENTENCES = [
     ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -171,6 +204,11 @@ def signatures() -> list[Signature]:
             by_id = kind in ("identifier", "field")
             pattern = form % {"id": identifier, "name": name}
             made.append(Signature(label, "licen" if by_id else keyword, _whole_words(pattern), priority, confidence))
+    granted = {kind: (priority, confidence, form) for kind, priority, confidence, form in FORMS}
+    for label, keyword, name in SHORT_NAMES:
+        for kind in ("grant", "name"):
+            priority, confidence, form = granted[kind]
+            made.append(Signature(label, keyword, _whole_words(form % {"name": name}), priority, confidence))
     made += [Signature(label, keyword, _whole_words(p), *_SENTENCE) for label, keyword, p in SENTENCES]
     made += [Signature(label, keyword, _whole_words(p), *_ADDRESS) for label, keyword, p in ADDRESSES]
     return sorted(made, key=lambda s: -s.priority)

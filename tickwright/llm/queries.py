@@ -30,10 +30,10 @@ CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts look like a template's marks."""
-    said = spark.createDataFrame(
-        [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
-        "conv_id long, turn long, role string, text string",
-    )
+    said = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.explode(F.array(*[F.struct(F.lit(k).cast("long").alias("turn"), F.lit(r).alias("role")) for k, r in enumerate(("user", "assistant"))])).alias("of"),
+    ).select("conv_id", "of.*", F.lit(CONTROL_TEXT).alias("text"))
     conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return read_back(format_conversations(spark, conversations.unionByName(said)))
 
