@@ -42,7 +42,7 @@ def words_of(texts: list[str]) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class Leak:
-    item: int
+    item: int | None
     score: float
     question_overlap: float
     answer_overlap: float
@@ -52,7 +52,7 @@ class Leak:
 class Index:
     """Postings by term: item, weight as a share of the item's own score, and the largest weight by block."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], frequency: dict[int, int], n_items: int, mean_words: float):
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], frequency: dict[int, int], n_items: int, mean_words: float):
         self.ids = [item_id for item_id, _ in items]
         self.words = [words for _, words in items]
         self.stride = max([len(w) for w in self.words], default=1)
@@ -249,18 +249,17 @@ def _in_order(own: list[int], other: list[int]) -> list[bool]:
 def indexes(items: DataFrame) -> Iterator[Index]:
     """Indexes of all items, each of a bounded number of them.
 
-    Items without an id or of fewer than SHINGLE words are left out; items with one id are separate. The
-    number of passes is told by counts; document frequencies are of all items, whatever the pass.
+    Items of fewer than SHINGLE words are left out; an item without an id keeps none, and items with one id are
+    separate. The number of passes is told by counts; document frequencies are of all items, whatever the pass.
     """
-    texts = items.where("item_id IS NOT NULL").select(
-        F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    # The id travels as text: pandas would make a float of a long with nulls.
+    texts = items.select(F.col("item_id").cast("long").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"item_id": batch["item_id"], "words": [w.view(np.int64) for w in words_of(list(batch["text"]))]})
 
-    worded = texts.mapInPandas(run, "item_id long, words array<long>").where(F.size("words") >= SHINGLE)
+    worded = texts.mapInPandas(run, "item_id string, words array<long>").where(F.size("words") >= SHINGLE)
     n_items, n_words, n_chars = worded.agg(
         F.count("*"), F.sum(F.size("words")), F.sum(F.size("words") * 8)
     ).first()
@@ -274,8 +273,8 @@ def indexes(items: DataFrame) -> Iterator[Index]:
         rows = mine.collect()  # one pass's items, a bounded number
         asked = mine.select(F.explode("words").alias("term")).distinct().join(frequency, "term")
         known = {r.term % (1 << 64): r.n for r in asked.collect()}
-        own = sorted((r.item_id, tuple(r.words)) for r in rows)
-        yield Index([(i, np.array(w, np.int64).view(np.uint64)) for i, w in own], known, n_items, n_words / n_items)
+        own = sorted(((r.item_id, tuple(r.words)) for r in rows), key=lambda x: (x[0] or "", x[1]))
+        yield Index([(None if i is None else int(i), np.array(w, np.int64).view(np.uint64)) for i, w in own], known, n_items, n_words / n_items)
 
 
 def _chunks(texts: pd.Series) -> Iterator[list[int]]:
@@ -296,8 +295,9 @@ SCHEMA = "id string, item_id long, score double, question_overlap double, answer
 def find_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, first_word: a row for each row of docs and item found in it.
 
-    Null or empty texts hold nothing; a null doc_id stays null; repeated rows are searched each; no items
-    give no rows. Other columns are left out.
+    Null or empty texts hold nothing; a null doc_id stays null, and so does an item's null id; repeated rows are
+    searched each, and repeated items are found each; no items or no docs give no rows. Items of fewer than SHINGLE
+    words are not searched for. Other columns are left out.
     """
     texts = docs.select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -307,10 +307,12 @@ def find_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFr
                 ids = batch["id"].to_numpy()
                 for rows in _chunks(batch["text"]):
                     found = [
-                        (ids[rows[text]], x.item, x.score, x.question_overlap, x.answer_overlap, x.first_word)
+                        (ids[rows[text]], str(x.item), x.score, x.question_overlap, x.answer_overlap, x.first_word)
                         for text, x in index.leaks([batch["text"].iloc[k] for k in rows])
                     ]
-                    yield pd.DataFrame(found, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+                    out = pd.DataFrame(found, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+                    items_found = [None if x == "None" else int(x) for x in out["item_id"]]
+                    yield out.assign(item_id=pd.array(items_found, dtype="Int64"))
 
         return texts.mapInPandas(run, SCHEMA)
 
@@ -333,7 +335,11 @@ def _holds_leak(index: Index):
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, in which no item is found; items need no id for that."""
+    """The rows of docs, with all their columns, in which no item is found; items need no id for that.
+
+    Null or empty texts hold nothing and stay, as do rows that are repeated and hold no item; without items all
+    rows stay.
+    """
     for index in indexes(items.select(F.lit(0).alias("item_id"), "text")):
         docs = docs.where(~_holds_leak(index)(F.coalesce("text", F.lit(""))))
     return docs
