@@ -16,7 +16,7 @@ from tickwright.session import shared_dir
 #: SQL has no classifier, no suffix order by bytes and no tokenizer.
 ORACLE_SQL = None
 
-#: Repeated passages of more than 50 words go, also where short words make them less than the 400 bytes of op4.
+#: Repeated passages of more than 50 words go, also where short words make them less than 400 bytes.
 PASSAGE_WORDS = 51
 
 
@@ -35,7 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes and passages of 51 words that occur twice are cut out of all texts; a text may become empty."""
+    """Passages of 51 words that occur twice are cut out of all texts, and strings of 400 bytes where those hold fewer
+    words; a text may become empty."""
     return without_repeats(spark, docs, words=PASSAGE_WORDS)
 
 
