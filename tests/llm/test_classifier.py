@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tickwright.llm.classifier import FEATURES, REACH, document_statistics, keep_by_quality, score_documents, statistics
 
@@ -61,3 +62,19 @@ def test_statistics_of_any_text():
         x = statistics(text)
         assert len(x) == len(FEATURES) and np.isfinite(x).all()
     assert REACH > 0 and document_statistics
+
+
+def test_odd_rows_of_the_filter(spark, sf_dir):
+    """Null, empty, repeated and id-less rows, clashing columns and an empty table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 300")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = keep_by_quality(spark, docs, labels).first()
+    odd = spark.createDataFrame([(None, None), (None, ""), (None, good.text), (good.doc_id + 10**6, good.text)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(odd).withColumn("score", F.lit("mine")).withColumn("quality", F.lit(7))
+    kept = keep_by_quality(spark, rows, labels)
+    assert kept.columns == ["doc_id", "text", "score", "quality"]
+    found = [tuple(r) for r in kept.collect()]
+    assert found.count((None, good.text, "mine", 7)) == 1 and (good.doc_id + 10**6, good.text, "mine", 7) in found
+    empty = [t for d, t, *_ in found if d is None and not t]
+    assert len(empty) in (0, 2)  # a null and an empty text have one score
+    assert keep_by_quality(spark, rows.limit(0), labels).collect() == []

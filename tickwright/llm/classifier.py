@@ -217,7 +217,8 @@ def score_documents(
     """doc_id, held_out, score, predicted for every row of docs.
 
     Statistics are taken from the whole text, once, and kept in the shared folder. Labels are learnt from
-    all labelled rows that are not held out. A null text is an empty one. Other columns are left out.
+    all labelled rows that are not held out. A null text is an empty one; a null doc_id stays null and is never
+    learnt from; repeated rows are scored each; no rows give no rows. Other columns are left out.
     """
     path = shared_dir(spark, "statistics")
     document_statistics(docs).write.parquet(path)
@@ -236,7 +237,9 @@ def keep_by_quality(
 ) -> DataFrame:
     """The rows of docs, with all their columns, whose score reaches the threshold.
 
-    Rows are scored where their text is: the text is read twice and never shuffled.
+    Rows are scored where their text is: the text is read twice and never shuffled. A null text is scored as an
+    empty one and stays null; repeated rows stay or go together; rows without an id are scored like others; no rows
+    give no rows.
     """
     model = learn(spark, document_statistics(docs), labels)
 

@@ -491,7 +491,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
 
     Removed are the bytes, of the UTF-8 text, in a string of ``length`` bytes that also starts anywhere
     else in docs; spans are in ascending order and don't touch. A null text is an empty one; a null doc_id
-    stays null; repeated rows are copies of each other. Other columns are left out.
+    stays null; repeated rows are copies of each other; no rows give no rows. Other columns are left out.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("doc_id", "text", *_text_hashes(F.col("text")))
