@@ -1,6 +1,7 @@
 """Repeated byte strings against all strings of the length."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -120,3 +121,14 @@ def test_sparse_parts_are_found():
         spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", raw)]
         length, words = rng.randint(1, 30), rng.randint(1, 9)
         assert sparse_part(raw, length, words) == brute.sparse(raw, spans, length, words), (raw, length, words)
+
+
+def test_buckets_follow_the_text(spark):
+    assert suffixes.buckets_for(0, 8) == 16
+    assert suffixes.buckets_for(30 * 10**9, 51) == math.ceil(30 * 10**9 / suffixes.BUCKET_BYTES)
+    rows = _mixed_corpus(11, 40, "ab")
+    one, many = [
+        {(r.doc_id, r.n_removed, r.kept_sha256) for r in repeated_spans(spark, _frame(spark, rows), 40, size).collect()}
+        for size in (suffixes.BUCKET_BYTES, 50)
+    ]
+    assert one == many and any(removed for _, removed, _ in many)

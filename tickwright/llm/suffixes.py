@@ -29,6 +29,8 @@ from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, powers, prefixe
 LENGTH = 400
 #: Text of a chunk at least, and at most if no one text is larger.
 CHUNK_BYTES = 2_000_000, 32_000_000
+#: Text for which a bucket holds samples, on average. A task holds one bucket: this bounds its memory, at any size.
+BUCKET_BYTES = 64_000_000
 #: Bits of a window's hash that travel besides its bucket's number.
 KEY_BITS = 40
 #: Bytes of a word's hash that stand for it where passages are told by words; a wrong one needs all others to agree.
@@ -431,18 +433,26 @@ def _word_codes(text: str, known: Powers) -> bytes:
     return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
 
 
-def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int, words: bool = False) -> DataFrame:
+def buckets_for(total: int, partitions: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """As many buckets as the text asks for, and no fewer than tasks that can run on them."""
+    return max(16, partitions, math.ceil(total / bucket_bytes))
+
+
+def repeated_in_texts(
+    spark: SparkSession, texts: DataFrame, length: int, words: bool = False, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """For each different text of ``texts`` (text, a, b), RESULT: what occurs elsewhere in another place.
 
     With ``words``, ``length`` counts words and all of RESULT is about the texts' codes. Copies of a whole text
     are not seen here. The texts are shuffled once, compressed, and that shuffle is used by the three steps that
-    read bytes.
+    read bytes. There is a bucket for every ``bucket_bytes`` of text.
     """
     unit = WORD_BYTES if words else 1
-    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = buckets_for(total, partitions, bucket_bytes)
     least, most = CHUNK_BYTES
-    chunk_bytes = min(most, max(least, total // (8 * buckets)))
+    chunk_bytes = min(most, max(least, total // (8 * max(16, partitions))))
     n_chunks = math.ceil(total / chunk_bytes) or 1
     blocks = Blocks(length * unit, buckets, unit)
 
@@ -486,7 +496,9 @@ def repeated_in_texts(spark: SparkSession, texts: DataFrame, length: int, words:
     return corpus.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInPandas(lambda chunk, rows: blocks.remove(chunk, rows), RESULT)
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(
+    spark: SparkSession, docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, kept_sha256 and spans (first, after) for every row of docs.
 
     Removed are the bytes, of the UTF-8 text, in a string of ``length`` bytes that also starts anywhere
@@ -495,7 +507,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("doc_id", "text", *_text_hashes(F.col("text")))
-    found = repeated_in_texts(spark, hashed.select("text", "a", "b"), length)
+    found = repeated_in_texts(spark, hashed.select("text", "a", "b"), length, bucket_bytes=bucket_bytes)
     rows = hashed.select("doc_id", F.col("a").alias("row_a"), F.col("b").alias("row_b"))
     copied = rows.groupBy("row_a", "row_b").agg(F.count("*").alias("m")).where("m > 1").select(
         F.col("row_a").alias("copy_a"), F.col("row_b").alias("copy_b")
