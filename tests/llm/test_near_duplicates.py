@@ -1,6 +1,7 @@
 """Near-duplicate components against all pairs."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -92,3 +93,47 @@ def test_components_of_long_chains(spark):
     rng.shuffle(chain)
     found = {r.node: r.root for r in components(spark, spark.createDataFrame(chain, "x long, y long")).collect()}
     assert found == {i: 0 for i in range(1, 61)} | {100 + 2 * i: 100 for i in range(1, 31)}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_linked_sets_share_one_of_their_rarest_shingles(percent):
+    rng = np.random.default_rng(percent)
+    sets = [rng.choice(40, rng.integers(1, 40), replace=False) for _ in range(150)]
+    sets = [np.unique(s).astype(np.uint64) for s in sets + [s[: len(s) * 9 // 10 + 1] for s in sets]]
+    own, rare = minhash._prefixes(np.concatenate(sets), np.array([len(s) for s in sets]), percent)
+    early = [set(rare[own == i].tolist()) for i in range(len(sets))]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= percent * (len(a) + len(b) - both):
+                assert early[i] & early[j]
+
+
+def _around_a_passage(documents):
+    """Texts of 600 words, of which 400 are the same in all; the first two of every hundred are near-duplicates."""
+    rng = random.Random(documents)
+    passage = " ".join(f"p{rng.randrange(300)}" for _ in range(400))
+    texts = [f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(documents)]
+    for i in range(0, documents, 100):
+        texts[i + 1] = texts[i] + " more"
+    return texts
+
+
+def test_a_shared_passage_alone_brings_no_pair():
+    seconds = []
+    for documents in (1000, 4000):
+        texts = _around_a_passage(documents)
+        start = time.perf_counter()
+        asked, joined = np.arange(documents), np.zeros(documents, bool)
+        found = minhash._tree_links(np.arange(documents), texts, asked, joined, 5, 80)
+        seconds.append(time.perf_counter() - start)
+        assert sorted(found) == [(i, i + 1) for i in range(0, documents, 100)]
+    assert seconds[1] < 10 * seconds[0]
+
+
+def test_large_neighbourhood_around_a_passage(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100_000)
+    texts = _around_a_passage(500)
+    found = near_duplicates(spark, _frame(spark, list(enumerate(texts)))).collect()
+    expected = {i: i - 1 if i % 100 == 1 else i for i in range(500)}
+    assert {r.doc_id: r.component_id for r in found} == expected

@@ -2,7 +2,8 @@
 
 One hash function orders all shingles; a document retains its smallest values. Inverted lists of runs of
 retained values bring together documents that overlap, the union sketch estimates how much, and whole
-shingle sets decide.
+shingle sets decide. Where a neighbourhood is compared, only documents that share one of their rarest
+shingles are: a passage that all of them hold brings no pair.
 """
 
 from collections.abc import Iterator
@@ -74,6 +75,23 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, _SKETCH)
 
 
+def _prefixes(values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, shingle), in order of owners: the rarest shingles of each set, of which linked sets share one at least.
+
+    All shingles are ranked alike, the rarest first. A link leaves at most ``n - percent * n`` of a set's ``n``
+    shingles outside the other set, so among one more than that, of either set, there is a common one.
+    """
+    kinds, which, met = np.unique(values, return_inverse=True, return_counts=True)
+    rank = np.empty(len(kinds), np.int64)
+    rank[np.lexsort((kinds, met))] = np.arange(len(kinds))
+    owner, ranked = np.repeat(np.arange(len(counts)), counts), rank[which]
+    order = np.lexsort((ranked, owner))
+    place = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
+    most = counts + (-percent * counts) // 100 + 1
+    early = place < np.repeat(most, counts)
+    return owner[order][early], ranked[order][early]
+
+
 def _tree_links(
     ids: np.ndarray, texts: list[str], asked: np.ndarray, joined: np.ndarray, size: int, percent: int
 ) -> list[tuple[int, int]]:
@@ -101,28 +119,43 @@ def _tree_links(
         row[: len(s)] = s
     # Up to here a document retains all its values.
     complete = np.array([s[-1] if len(whole) > RETAINED else np.iinfo(np.uint64).max for s, whole in zip(sketch, sets)], np.uint64)
-    retained = np.concatenate(sketch)
-    owner = np.repeat(np.arange(m), [len(s) for s in sketch])
-    order = np.argsort(retained, kind="stable")
-    retained, owner = retained[order], owner[order]
+    own, rare = _prefixes(values, counts, percent)
+    begins = np.searchsorted(own, np.arange(m + 1))
+    by_rank = np.argsort(rare, kind="stable")
+    holder, listed = own[by_rank], rare[by_rank]
+
+    def candidates(x: int) -> np.ndarray:
+        """Documents of a fitting size that share one of their rarest shingles with x and aren't connected with it yet."""
+        prefix = rare[begins[x] : begins[x + 1]]
+        low, high = np.searchsorted(listed, prefix, "left"), np.searchsorted(listed, prefix, "right")
+        met = np.zeros(m, bool)
+        for first, after in zip(low, high):
+            if after - first > 1:
+                met[holder[first:after]] = True
+        met &= 100 * np.minimum(counts, counts[x]) >= percent * np.maximum(counts, counts[x])
+        near = np.flatnonzero(met)
+        tops = parent[near]
+        while (tops != parent[tops]).any():
+            tops = parent[tops]
+        return near[tops != root(x)]
 
     def linked(x: int) -> list[int]:
         """Documents that reach the threshold with x."""
-        low, high = np.searchsorted(retained, sketch[x], "left"), np.searchsorted(retained, sketch[x], "right")
-        met = np.concatenate([owner[a:b] for a, b in zip(low, high)])
-        reach = np.minimum(complete, complete[x])
-        shared = np.bincount(met, minlength=m)  # shared values lie within both sketches, so within reach
-        own = np.searchsorted(sketch[x], reach, "right")
-        theirs = np.minimum((table <= reach[:, None]).sum(axis=1), np.minimum(counts, RETAINED))
-        union = own + theirs - shared
+        near = candidates(x)
+        if not len(near):
+            return []
+        reach = np.minimum(complete[near], complete[x])
+        theirs = table[near]
+        within = (theirs <= reach[:, None]) & (np.arange(RETAINED) < counts[near, None])
+        at = np.minimum(np.searchsorted(sketch[x], theirs), len(sketch[x]) - 1)
+        shared = (within & (sketch[x][at] == theirs)).sum(axis=1)  # lie within both sketches, so within reach
+        union = np.searchsorted(sketch[x], reach, "right") + within.sum(axis=1) - shared
         estimate = shared / np.maximum(union, 1)
-        sized = 100 * np.minimum(counts, counts[x]) >= percent * np.maximum(counts, counts[x])
         found = []
-        for y in np.flatnonzero(sized & (estimate >= percent / 100 - MARGIN)):
-            if y != x and root(y) != root(x):
-                both = np.intersect1d(sets[x], sets[y], assume_unique=True).size
-                if 100 * both >= percent * (counts[x] + counts[y] - both):
-                    found.append(y)
+        for y in near[estimate >= percent / 100 - MARGIN]:
+            both = np.intersect1d(sets[x], sets[y], assume_unique=True).size
+            if 100 * both >= percent * (counts[x] + counts[y] - both):
+                found.append(y)
         return found
 
     known = np.flatnonzero(joined)
