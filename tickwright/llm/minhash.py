@@ -7,6 +7,7 @@ shingles are: a passage that all of them hold brings no pair.
 """
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -28,10 +29,24 @@ FEW = 8
 MARGIN = 0.3
 #: Shingles that one task compares at once; larger neighbourhoods are dealt out in blocks.
 BLOCK_SHINGLES = 1_000_000
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
+#: Texts that go to Python at a time: a batch stands in memory on both sides of the pipe.
+BATCH_ROWS = 1_000
 _SKETCH = "doc_id long, n long, class_a long, class_b long, runs array<long>"
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """For what is run within: at most BATCH_ROWS rows in a batch for Python, or what the session has, if fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(n for n in (int(before), BATCH_ROWS) if n > 0)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Batches cut to about CHUNK_CHARS characters."""
     for batch in batches:
@@ -252,7 +267,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = SHINGLE, p
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     path = shared_dir(spark, "sketches")
-    sketches(rows.where("doc_id IS NOT NULL"), size).write.parquet(path)
+    with _small_batches(spark):
+        sketches(rows.where("doc_id IS NOT NULL"), size).write.parquet(path)
     sketched = spark.read.parquet(path)
     classes_path = shared_dir(spark, "classes")
     sketched.where("n > 0").groupBy("class_a", "class_b", "n").agg(
