@@ -317,6 +317,7 @@ ORACLE_SQL: dict[str, str] = {
     "price_changes_stamped": _PRICE_CHANGES.replace(_DAY, "'2030-01-02' AS order_date"),
     "run_accumulator": _RUN_ROWS,
     "run_merge": _RUN_ROWS,
+    "run_kept": _RUN_ROWS,
     "carry_forward": _with(_TICKS, _BARS) + _BAR_COLUMNS.format(start="new_start"),
     "keyed_update": _with(_TICKS, _BARS)
     + _BAR_COLUMNS.format(start='CASE WHEN "end" < 50 THEN new_start ELSE start END'),

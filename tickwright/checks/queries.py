@@ -16,7 +16,14 @@ from tickwright.operators.levels import first_ticks, last_ticks, open_close, ope
 from tickwright.operators.moments import weighted_moments
 from tickwright.operators.runs import accumulate, merge_runs, run_rows
 from tickwright.operators.totals import day_totals
-from tickwright.plans import day_features, day_features_of_ticks, updown_day, updown_day_of_ticks
+from tickwright.plans import (
+    day_features,
+    day_features_of_ticks,
+    keep_runs,
+    kept_runs,
+    updown_day,
+    updown_day_of_ticks,
+)
 from tickwright.plans.features import in_table_band_order
 from tickwright.schemas import PRICE_CHANGES, STOCK_DAY, TICK_JSON_NAMES, TICKS, UPDOWN
 from tickwright.session import shared_dir
@@ -267,6 +274,17 @@ def run_merge(spark, sf_dir):
     return run_rows(merge_runs(accumulate(event_ticks(spark, sf_dir), hour)))
 
 
+def run_kept(spark, sf_dir):
+    """Runs kept over two loads, of which the second reads only the files that came between them."""
+    work = shared_dir(spark, "kept-runs")
+    ticks, late = event_ticks(spark, sf_dir), F.pmod(F.xxhash64("tran_id"), F.lit(4)) == 0
+    ticks.where(~late | late.isNull()).write.parquet(f"{work}/in")
+    keep_runs(spark, f"{work}/in", f"{work}/store")
+    ticks.where(late).write.mode("append").parquet(f"{work}/in")
+    keep_runs(spark, f"{work}/in", f"{work}/store")
+    return run_rows(kept_runs(spark, f"{work}/in", f"{work}/store"))
+
+
 def carried(spark, sf_dir):
     return carry_forward(bars(event_ticks(spark, sf_dir)))
 
@@ -440,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "price_changes_stamped": changes_stamped,
     "run_accumulator": run_accumulator,
     "run_merge": run_merge,
+    "run_kept": run_kept,
     "carry_forward": carried,
     "keyed_update": keyed_update,
     "tsv_lines": tsv_lines,
