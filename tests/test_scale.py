@@ -24,6 +24,7 @@ STREAMS_AND_FILES = {
     "csv_files",
     "updown_append",
     "keyed_update",
+    "keyed_update_files",
 }
 
 

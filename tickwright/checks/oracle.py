@@ -321,6 +321,8 @@ ORACLE_SQL: dict[str, str] = {
     "carry_forward": _with(_TICKS, _BARS) + _BAR_COLUMNS.format(start="new_start"),
     "keyed_update": _with(_TICKS, _BARS)
     + _BAR_COLUMNS.format(start='CASE WHEN "end" < 50 THEN new_start ELSE start END'),
+    "keyed_update_files": _with(_TICKS, _BARS)
+    + _BAR_COLUMNS.format(start='CASE WHEN "end" < 50 THEN new_start ELSE start END'),
     "tsv_lines": _LINES_OF_CHANGES,
     "tsv_files": _LINES_OF_CHANGES,
     "day_lines": _PRICE_CHANGES + " WHERE changed.order_date >= DATE '2024-01-10' AND order_code IN ('click', 'view') AND changed.price > 20",

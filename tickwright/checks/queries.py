@@ -30,9 +30,12 @@ from tickwright.session import shared_dir
 from tickwright.sinks import (
     append_rows,
     change_lines,
+    create_versions,
     feature_fields,
     load_labelled,
     read_labelled,
+    read_version,
+    update_version,
     write_change_lines,
     write_day_lines,
     write_feature_csv,
@@ -297,6 +300,15 @@ def keyed_update(spark, sf_dir):
     return read_table(spark, path)
 
 
+def keyed_update_files(spark, sf_dir):
+    """The same update, of the files that hold such bars alone; the newest version is read."""
+    path = shared_dir(spark, "bar-versions")
+    create_versions(bars(event_ticks(spark, sf_dir)), path, key=["id"], part="date")
+    starts = carry_forward(read_version(spark, path)).where(F.col("end") < 50)
+    update_version(starts.select("date", "id", "start"), path)
+    return read_version(spark, path)
+
+
 # Text and file sinks
 
 
@@ -461,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "run_kept": run_kept,
     "carry_forward": carried,
     "keyed_update": keyed_update,
+    "keyed_update_files": keyed_update_files,
     "tsv_lines": tsv_lines,
     "tsv_files": tsv_files,
     "day_lines": day_lines,

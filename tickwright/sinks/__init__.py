@@ -8,16 +8,21 @@ from tickwright.sinks.tables import (
     write_jdbc,
     write_new_version,
 )
+from tickwright.sinks.versions import VersionTaken, create_versions, read_version, update_version
 
 __all__ = [
+    "VersionTaken",
     "append_rows",
     "change_lines",
+    "create_versions",
     "feature_fields",
     "jdbc_write_options",
     "load_labelled",
     "print_rows",
     "print_stream",
     "read_labelled",
+    "read_version",
+    "update_version",
     "write_change_lines",
     "write_day_lines",
     "write_feature_csv",
