@@ -302,6 +302,7 @@ ORACLE_SQL: dict[str, str] = {
     )
     + f"SELECT order_code, {_DAY}, CAST(n AS BIGINT) AS volume, {_BAND_COLUMNS} FROM banded",
     "updown_day": _UPDOWN_DAY,
+    "updown_stored": _UPDOWN_DAY + " AND day(sums.order_date) % 2 = 0",
     "updown_work_list": _with(
         _TICKS,
         _EVENT_LEVELS.replace("levels AS", "all_levels AS"),

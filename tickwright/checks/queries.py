@@ -21,8 +21,10 @@ from tickwright.plans import (
     day_features_of_ticks,
     keep_runs,
     kept_runs,
+    store_by_day,
     updown_day,
     updown_day_of_ticks,
+    updown_day_stored,
 )
 from tickwright.plans.features import in_table_band_order
 from tickwright.schemas import PRICE_CHANGES, STOCK_DAY, TICK_JSON_NAMES, TICKS, UPDOWN
@@ -236,6 +238,18 @@ def updown_of_work_list(spark, sf_dir):
     return updown_day(price_levels(ticks), edges, keys, close_default=0)
 
 
+def updown_stored(spark, sf_dir):
+    """Up/down rows of even days from levels, edges and a work list that are stored by stock-day."""
+    ticks = event_ticks(spark, sf_dir)
+    tables = {"levels": price_levels(ticks), "edges": open_close(ticks), "work_list": work_list(ticks)}
+    stored = {}
+    for name, rows in tables.items():
+        path = shared_dir(spark, name)
+        stored[name] = store_by_day(rows, path.rsplit("/", 1)[1].replace("-", "_"), path, buckets=32)
+    even = stored["work_list"].where(F.dayofmonth("order_date") % 2 == 0)
+    return updown_day_stored(stored["levels"], stored["edges"], even)
+
+
 def features(spark, sf_dir):
     ticks = event_ticks(spark, sf_dir)
     return day_features_of_ticks(ticks, work_list_limits(limit_list(ticks)))
@@ -463,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "lineitem_bands": bands_of_lineitem,
     "updown_day": updown,
     "updown_work_list": updown_of_work_list,
+    "updown_stored": updown_stored,
     "day_features": features,
     "day_features_table_order": features_table_order,
     "price_changes": changes,
