@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwright.schemas import BARS
-from tickwright.sinks import VersionTaken, create_versions, read_version, update_version, versions
+from tickwright.sinks import VersionTaken, create_versions, forget_before, read_version, update_version, versions
 from tests import frames
 
 N = 2000
@@ -130,3 +130,18 @@ def test_empty_table_and_rows_without_key(spark, bars, tmp_path):
     found = read_version(spark, odd)
     assert found.columns == table.columns
     assert sorted((r.id or 0, r.start) for r in found.collect()) == [(0, 1.0), (1, 1.0), (2, 5.0)]
+
+
+def test_old_versions_go_with_their_files_only(spark, bars, path):
+    first, low, high = _named(spark, path), F.col("id") < 10, F.col("id") > 1990
+    update_version(_updates(bars, low), path)
+    update_version(_updates(bars, high), path)
+    assert forget_before(spark, path, 1) == 0
+    kept = _named(spark, path, 2) | _named(spark, path, 3)
+    assert forget_before(spark, path, 2) == len(first - kept) > 0
+    assert versions.versions(path) == [2, 3] and _files(path) == kept
+    assert _rows(read_version(spark, path, 2)) == _expected(bars, low)
+    assert _rows(read_version(spark, path)) == _expected(bars, low | high)
+    assert update_version(_updates(bars, low, 9.0), path)[0].number == 4
+    with pytest.raises(ValueError):
+        forget_before(spark, path, 1)

@@ -8,7 +8,7 @@ from tickwright.sinks.tables import (
     write_jdbc,
     write_new_version,
 )
-from tickwright.sinks.versions import VersionTaken, create_versions, read_version, update_version
+from tickwright.sinks.versions import VersionTaken, create_versions, forget_before, read_version, update_version
 
 __all__ = [
     "VersionTaken",
@@ -16,6 +16,7 @@ __all__ = [
     "change_lines",
     "create_versions",
     "feature_fields",
+    "forget_before",
     "jdbc_write_options",
     "load_labelled",
     "print_rows",

@@ -168,3 +168,26 @@ def update_version(updates: DataFrame, path: str, base: Version | None = None) -
     manifest.write.parquet(os.path.join(path, "manifests", made.manifest))
     _commit(path, made)
     return made, len(touched)
+
+
+def forget_before(spark: SparkSession, path: str, number: int) -> int:
+    """Let go of the versions before ``number``, and of files that only they name; how many files went.
+
+    Whoever still reads such a version fails. What a broken-off update left was never named and is not touched, since
+    it cannot be told from what an update is just writing. Entries go first: a call that breaks off leaves files that
+    nothing names, never a version without its files.
+    """
+    known = versions(path)
+    if number not in known:
+        raise ValueError(f"no version {number} in {path}")
+    old = [version(path, n) for n in known if n < number]
+    if not old:
+        return 0
+    kept = [version(path, n) for n in known if n >= number]
+    named = [spark.read.parquet(*[os.path.join(path, "manifests", v.manifest) for v in some]) for some in (old, kept)]
+    gone = _names(named[0].join(named[1], "file", "left_anti"), "file")
+    for v in old:
+        os.unlink(_entry(path, v.number))
+    for file in gone:
+        os.unlink(os.path.join(path, "rows", file))
+    return len(gone)
