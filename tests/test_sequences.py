@@ -94,6 +94,19 @@ def test_slices_are_as_large_as_they_may_be(spark, name):
     assert sum(sizes) == n and max(sizes) <= hot_over and len(sizes) <= 2 * n / hot_over + 1
 
 
+def test_small_slices_cost_no_tasks(spark):
+    """Slices of few rows share a task and its file, and rows at one place may be dealt to several slices."""
+    rows = random_ticks(3, 2, 6000, ["09:30:00", "09:30:01", "15:00:00"])
+    table = ticks(spark, rows)
+    cut = sliced(table, STOCK_DAY, TICK_ORDER, 5, len(rows))
+    assert len(cut.inputFiles()) == 1
+    assert max(r["count"] for r in cut.groupBy(*STOCK_DAY, "slice").count().collect()) <= 5
+    assert found_changes(price_changes(table, hot_over=5)) == expected_changes(rows)
+    twice = table.unionByName(table)
+    plain = sorted(map(tuple, price_changes(twice, hot_over=10**9).collect()))
+    assert sorted(map(tuple, price_changes(twice, hot_over=3).collect())) == plain
+
+
 def test_only_the_largest_keys_are_listed(spark, monkeypatch):
     monkeypatch.setattr(previous, "MOST_HOT", 2)
     rows = random_ticks(9, 6, 900, ["09:30:00", "09:31:00"])

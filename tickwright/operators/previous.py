@@ -1,9 +1,10 @@
 """The previous row's value within a key, also where one key holds much of the data.
 
 ``lag`` sorts a whole key in one task. Keys with more than ``hot_over`` rows are therefore cut into slices along
-the order, at places that Spark's range partitioning draws from a sample of the rows themselves, so a slice is
-as large as another whatever the order values look like. The last value before each slice is put in front of
-it as an extra row. The result is that of a plain ``lag``.
+the order: Spark's range partitioning deals them to tasks by a sample of the rows themselves, and each task counts
+its sorted rows off into slices. How many tasks there are follows the rows, not the slices, so small slices cost no
+task and no file each. The last value before each slice is put in front of it as an extra row. The result is that
+of a plain ``lag``.
 """
 
 from math import ceil
@@ -14,6 +15,9 @@ from tickwright.session import shared_dir
 
 HOT_ROWS = 2_000_000
 
+#: A task cuts so many rows at least, also where slices are smaller.
+TASK_ROWS = 100_000
+
 #: So many keys are cut at most, the largest ones; others hold no more than that part of all rows. It bounds
 #: the list that is broadcast.
 MOST_HOT = 100_000
@@ -28,12 +32,17 @@ def hot_keys(df: DataFrame, keys: list[str], hot_over: int) -> list[Row]:
 def sliced(df: DataFrame, keys: list[str], order: list[str], hot_over: int, rows: int) -> DataFrame:
     """``df`` with the number of its ``slice``, which grows along keys and order.
 
-    Slices are half as large as ``hot_over`` allows, so that the sample need not be exact. They are written
-    to the shared folder: what is read more than once must have been cut at the same places.
+    A slice has the number of its first row and at most ``hot_over`` rows. Tasks cut half of that, so that the
+    sample need not be exact, or ``TASK_ROWS`` where that is more. Slices are written to the shared folder: what is
+    read more than once must have been cut at the same places.
     """
     path = shared_dir(df.sparkSession, "slices")
-    ranges = df.repartitionByRange(ceil(2 * rows / max(hot_over, 1)), *keys, *order)
-    ranges.withColumn("slice", F.spark_partition_id()).write.parquet(path)
+    tasks = ceil(rows / max(hot_over / 2, TASK_ROWS))
+    ranges = df.repartitionByRange(tasks, *keys, *order).sortWithinPartitions(*keys, *order)
+    # Numbers begin anew with each task: the task's own in the upper bits, below 2^33 that of the row.
+    numbered = ranges.withColumn("slice", F.monotonically_increasing_id())
+    within = F.col("slice").bitwiseAND(F.lit(2**33 - 1)) % F.lit(max(hot_over, 1))
+    numbered.withColumn("slice", F.col("slice") - within).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -56,16 +65,18 @@ def with_previous(
         return _lagged(df, before, keys, order, value)
     spark, key_fields = df.sparkSession, [df.schema[k] for k in keys]
     listed = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], type(df.schema)(key_fields)))
-    cut = sliced(df.join(listed, keys, "left_semi"), keys, order, hot_over, sum(r.rows for r in hot))
-    ends = cut.groupBy(*keys, "slice").agg(F.max_by(value, F.struct(*order)).alias(value))
+    # Rows at one place may be dealt to two slices, so the value settles their order.
+    placed = list(dict.fromkeys([*order, value]))
+    cut = sliced(df.join(listed, keys, "left_semi"), keys, placed, hot_over, sum(r.rows for r in hot))
+    ends = cut.groupBy(*keys, "slice").agg(F.max_by(value, F.struct(*placed)).alias(value))
     if before is not None:
-        seeds = before.join(listed, keys, "left_semi").withColumn("slice", F.lit(-1))
+        seeds = before.join(listed, keys, "left_semi").withColumn("slice", F.lit(-1).cast("long"))
         ends = ends.unionByName(seeds)
         before = before.join(listed, keys, "left_anti")
     along = Window.partitionBy(*keys).orderBy("slice")
     starts = ends.withColumn(value, F.lag(value).over(along)).where(F.col(value).isNotNull())
     rest = _lagged(df.join(listed, keys, "left_anti"), before, keys, order, value)
-    return rest.unionByName(_lagged(cut, starts, [*keys, "slice"], order, value).drop("slice"))
+    return rest.unionByName(_lagged(cut, starts, [*keys, "slice"], placed, value).drop("slice"))
 
 
 def _lagged(df: DataFrame, before: DataFrame | None, keys: list[str], order: list[str], value: str) -> DataFrame:
