@@ -1,8 +1,11 @@
 """Streams give the rows of their batch twins, over any number of files and after a repeat."""
 
 import glob
+import random
 import time
+from collections import Counter
 
+import pandas as pd
 import pytest
 from frames import DAY, ticks
 from pyspark.sql import functions as F
@@ -23,6 +26,7 @@ from tickwright.streaming import (
     stream_day_window,
     stream_price_changes,
 )
+from tickwright.streaming.change_log import _SliceChanges
 
 
 def rows_of(df):
@@ -228,6 +232,39 @@ def test_late_ticks_undo_changes(spark):
     ]
 
 
+def test_a_slice_is_kept_as_one_value():
+    """However many ticks a slice has, the state store is read and written once for it, not once a tick."""
+
+    class Kept:
+        value, calls = None, 0
+
+        def getValueState(self, name, schema, ttl):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+    chance, kept, slices = random.Random(2), Kept(), _SliceChanges(1000)
+    slices.init(kept)
+    rows = [(f"09:30:{chance.randrange(60):02d}", i, chance.choice(["B", None]), chance.randrange(3), chance.choice([None, i])) for i in range(3000)]
+    chance.shuffle(rows)
+    seen, left = [], Counter()
+    for k in range(0, 3000, 1000):
+        new, seen = rows[k : k + 1000], sorted(rows[: k + 1000], key=lambda t: t[:2])
+        (made,) = slices.handleInputRows(("a", DAY, "09"), iter([pd.DataFrame(new, columns=["order_time", "tran_id", "order_dc", "price", "volume"])]), None)
+        for op, *tick in made.drop(columns=["order_code", "order_date", "slice", "last_price"]).itertuples(index=False):
+            left[tuple(None if pd.isna(v) else v for v in tick)] += op
+        assert kept.calls == 2 * (k // 1000 + 1)
+        assert sorted((+left).elements(), key=lambda t: t[:2]) == [b for a, b in zip(seen, seen[1:]) if a[3] != b[3]]
+        assert min(left.values()) == 0
+        assert made.where(made["op"] == 0).dropna(subset=["op"])["last_price"].tolist() in ([], [seen[-1][3]])
+
+
 def test_a_batch_reads_its_source_once(spark, monkeypatch):
     """What a batch is made of is worked out once, however often its rows are used."""
     folder, work = shared_dir(spark, "once-in"), shared_dir(spark, "once")

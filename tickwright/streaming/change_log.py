@@ -1,8 +1,9 @@
 """Price changes of a tick stream in any order, as a log of rows added and taken back.
 
 A stock-day is cut into slices by the first characters of the clock time, which follow its order. Each slice's ticks
-are kept in Spark's state store, so a tick that comes late is put in its place, and the changes within the slice
-that it makes or undoes are given. Whether a slice's first tick is a change depends on the slice before: only first
+are kept in Spark's state store as one value, a batch of Arrow columns, for every row of a list would be sent and
+turned on its own. So a tick that comes late is put in its place, and the changes within the slice that it makes or
+undoes are given. Whether a slice's first tick is a change depends on the slice before: only first
 ticks and last prices, one row a slice, are brought together by day for that. So a stock that holds a third of all
 ticks is spread over its slices.
 """
@@ -10,14 +11,16 @@ ticks is spread over its slices.
 from collections import Counter
 from collections.abc import Iterator
 from datetime import timedelta
+from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructType
+from pyspark.sql.types import BinaryType, DateType, IntegerType, LongType, StringType, StructType
 
-from tickwright.functions import amount
+from tickwright.functions import amount, cents
 from tickwright.operators.changes import USED
 from tickwright.operators.keys import with_transaction
 from tickwright.schemas import PRICE, PRICE_CHANGES, STOCK_DAY
@@ -26,11 +29,13 @@ from tickwright.streaming.drain import drain
 
 _TICK = ["order_time", "tran_id", "order_dc", "price", "volume"]
 _TICK_TYPE = StructType().add("order_time", StringType()).add("tran_id", LongType()).add("order_dc", StringType()).add("price", PRICE).add("volume", LongType())
+#: Ticks as Python sees them, prices in whole hundredths.
+_KEPT = pa.schema([("order_time", pa.string()), ("tran_id", pa.int64()), ("order_dc", pa.string()), ("price", pa.int64()), ("volume", pa.int64())])
 #: ``op`` is 1 for a row added and -1 for one taken back; 0 stands for a slice's first tick and ``last_price``.
 _MADE = StructType().add("order_code", StringType()).add("order_date", DateType()).add("slice", StringType()).add("op", IntegerType())
 for _field in _TICK_TYPE:
-    _MADE = _MADE.add(_field)
-_MADE = _MADE.add("last_price", PRICE)
+    _MADE = _MADE.add(_field.name, LongType() if _field.name == "price" else _field.dataType)
+_MADE = _MADE.add("last_price", LongType())
 _SLICES = StructType().add("order_code", StringType()).add("slice", StringType())
 for _field in _TICK_TYPE:
     _SLICES = _SLICES.add(_field)
@@ -44,28 +49,41 @@ class _SliceChanges(StatefulProcessor):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ticks = handle.getListState("ticks", _TICK_TYPE, self.keep_ms)
+        self.ticks = handle.getValueState("ticks", StructType().add("columns", BinaryType()), self.keep_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        known = [tuple(t) for t in self.ticks.get()]
+        held = self.ticks.get()
+        known = _unpacked(held[0]) if held else []
         new = [t for batch in rows for t in _plain(batch)]
         ticks = sorted(known + new, key=_place)
-        self.ticks.put(ticks)
+        self.ticks.update((_packed(ticks),))
         before, after = Counter(_changes(known)), Counter(_changes(ticks))
         made = [(1, *t, None) for t in (after - before).elements()] + [(-1, *t, None) for t in (before - after).elements()]
         if not known or (known[0], known[-1][3]) != (ticks[0], ticks[-1][3]):
             made.append((0, *ticks[0], ticks[-1][3]))
         out = pd.DataFrame([(*key, *row) for row in made], columns=_MADE.names)
-        out["volume"] = out["volume"].astype("Int64")
-        yield out
+        yield out.astype({"volume": "Int64", "last_price": "Int64"})
 
     def close(self) -> None:
         pass
 
 
 def _plain(batch: pd.DataFrame) -> Iterator[tuple]:
-    for time, serial, dc, price, volume in zip(*[batch[c].array for c in _TICK]):
-        yield time, int(serial), dc, price, None if pd.isna(volume) else int(volume)
+    missing = batch["volume"].isna()
+    for *tick, volume, none in zip(*[batch[c].tolist() for c in _TICK], missing.tolist()):
+        yield *tick, None if none else int(volume)
+
+
+def _packed(ticks: list[tuple]) -> bytes:
+    columns = [pa.array(column, field.type) for column, field in zip(zip(*ticks), _KEPT)]
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _KEPT, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(pa.record_batch(columns, schema=_KEPT))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(columns: bytes) -> list[tuple]:
+    return list(zip(*[column.to_pylist() for column in pa.ipc.open_stream(columns).read_all().columns]))
 
 
 def _place(tick: tuple) -> tuple:
@@ -107,10 +125,11 @@ def stream_change_log(
     """
     spark = ticks.sparkSession
     usable = with_transaction(ticks.select(*USED)).dropna(subset=[*STOCK_DAY, "order_time", "price"])
-    cut = usable.withColumn("slice", F.left("order_time", F.lit(slice_chars)))
+    cut = usable.withColumns({"slice": F.left("order_time", F.lit(slice_chars)), "price": F.expr(cents("price"))})
     made = cut.groupBy(*STOCK_DAY, "slice").transformWithStateInPandas(
         _SliceChanges(int(keep.total_seconds() * 1000)), _MADE, outputMode="Update", timeMode="ProcessingTime"
     )
+    made = made.withColumns({name: (F.col(name) * F.lit(Decimal("0.01"))).cast(PRICE) for name in ("price", "last_price")})
     state = f"{work_dir}/slices"
 
     def write(batch: DataFrame, number: int) -> None:
