@@ -80,6 +80,13 @@ def test_moments_are_summed_before_the_shuffle(spark, sf_dir):
     assert "Window" not in plan and plan.count("Exchange hashpartitioning") == 2 and "partial_try_sum" in plan
 
 
+def test_moment_sums_are_not_sent(spark, sf_dir):
+    """Levels go to their key's task and are summed there: neither sums of all keys in each task nor wide rows sent."""
+    plan = plan_of(weighted_moments(price_levels(lineitem_ticks(spark, sf_dir)), STOCK_DAY))
+    above, below = plan.split("REPARTITION_BY_COL")
+    assert "partial_try_sum" in above and "try_sum" not in below and "try_multiply" not in below
+
+
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
 def test_key_semijoin_keeps_some_and_drops_some(spark, scale):
     folder = f"/root/testdata/{scale}"

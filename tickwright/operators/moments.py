@@ -265,8 +265,12 @@ def with_moments(sums: DataFrame) -> DataFrame:
 
 
 def weighted_moments(levels: DataFrame, keys: list[str]) -> DataFrame:
-    """Spread, skewness and kurtosis per key. A key without positive volume has no spread: no row."""
-    terms = with_moment_terms(levels.where(F.col("price").isNotNull()))
+    """Spread, skewness and kurtosis per key. A key without positive volume has no spread: no row.
+
+    Levels are sent by key and summed where they meet. Where keys are many, a task that summed first would hold sums
+    of nearly every key and send them, and those are twenty times as wide as a level.
+    """
+    terms = with_moment_terms(levels.where(F.col("price").isNotNull()).repartition(*keys))
     return with_moments(terms.groupBy(*keys).agg(*moment_sums())).select(
         *keys, "price_std", "price_skewness", "price_kurtosis"
     )
