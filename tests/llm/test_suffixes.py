@@ -11,7 +11,9 @@ from hypothesis import example, given, settings, strategies as st
 
 from tests.llm import brute
 from tickwright.llm import suffixes
-from tickwright.llm.suffixes import COVERS, Blocks, cover_for, cut_text, repeated_spans, sparse_part, without_repeats
+from tickwright.llm.hashing import Powers
+from tickwright.llm.queries import op4_suffix_dedup
+from tickwright.llm.suffixes import COVERS, Blocks, cover_for, cut_text, passage_marks, repeated_spans, sparse_part, without_repeats
 
 DOCS = "doc_id long, text string, spans string, a string, _a string, n_chars long"
 
@@ -132,3 +134,47 @@ def test_buckets_follow_the_text(spark):
         for size in (suffixes.BUCKET_BYTES, 50)
     ]
     assert one == many and any(removed for _, removed, _ in many)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=40), min_size=1, max_size=6), st.integers(1, 13))
+def test_equal_passages_share_a_mark(texts, words):
+    unique = sorted({" ".join(t) for t in texts})
+    keys, owner, twice = passage_marks([t.encode() for t in unique], words, Powers())
+    places = [set(owner[keys == k]) for k in keys]
+    shared = {int(o) for o, t, p in zip(owner, twice, places) if t or len(p) > 1}
+    assert len(set(zip(keys, owner))) == len(keys)
+    # Each word is one letter, so passages are strings of letters.
+    gone = brute.repeated_bytes([t.replace(" ", "") for t in unique], words)
+    assert {k for k, cut in enumerate(gone) if cut} <= shared
+
+
+@pytest.mark.parametrize("seed,words", [(21, 6), (22, 17), (23, 51)])
+def test_passages_equal_all_passages(spark, seed, words):
+    rng = random.Random(seed)
+    letters = [t or "" for _, t in _mixed_corpus(seed, words, "abcdefgh")]
+    letters += ["ab" * words, "a" * (words - 1)]
+    said = lambda t: "".join({"a": "ab", "b": "é"}.get(c, c) + rng.choice([" ", "\n", "  "]) for c in t)
+    rows = [(k, said(t.replace(" ", ""))) for k, t in enumerate(letters)]
+    rows += [(k, t) for k, t in rows[:9]] + [(-1, None), (-2, ""), (None, rows[0][1])]
+    code = {"ab": "a", "é": "b"}
+    gone = brute.repeated_bytes(["".join(code.get(w, w) for w in (t or "").split()) for _, t in rows], words)
+    expected = [(d, sum(i - 1 not in cut for i in cut), len(cut)) for (d, _), cut in zip(rows, gone)]
+    plain = {(r.doc_id, r.n_removed, r.kept_sha256) for r in repeated_spans(spark, _frame(spark, rows), 60).collect()}
+    found = repeated_spans(spark, _frame(spark, rows), 60, words=words).collect()
+    assert sorted([(r.doc_id, r.n_passages, r.n_passage_words) for r in found], key=str) == sorted(expected, key=str)
+    assert {(r.doc_id, r.n_removed, r.kept_sha256) for r in found} == plain and any(n for _, n, _ in expected)
+
+
+def test_passages_of_short_words_are_told(spark, tmp_path):
+    """51 words of five letters are 305 bytes: no string of 400 bytes, so nothing is removed."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=5))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passage, short = text(51), text(50)
+    rows = [(k, f"{text(40)} {passage} {text(30)}") for k in range(3)]
+    rows += [(10 + k, f"{text(40)} {short} {text(30)}") for k in range(3)] + [(20 + k, text(200)) for k in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert all(r.n_removed == r.n_spans == 0 for r in found.values())
+    assert {d: (r.n_passages, r.n_passage_words) for d, r in found.items()} == {d: (1, 51) if d < 10 else (0, 0) for d, _ in rows}

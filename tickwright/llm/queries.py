@@ -46,10 +46,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+#: Passages of more than 50 words are told of, also where short words make them less than 400 bytes.
+PASSAGE_WORDS = 51
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_spans(spark, _table(spark, sf_dir, "documents"))
+    """What is removed by strings of 400 bytes, and beside it what lies in repeated passages of words."""
+    found = repeated_spans(spark, _table(spark, sf_dir, "documents"), words=PASSAGE_WORDS)
     n_spans = F.size("spans").cast("long").alias("n_spans")
-    return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256", "n_passages", "n_passage_words")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,17 +12,19 @@ sampled positions travel as packed numbers of a chunk and bucket. What repeats w
 its bucket gets one of it, so a passage that a third of all texts share costs a bucket a place for each chunk.
 
 Passages of a number of words are strings over codes of words: all lengths and places are then multiples of
-a code's bytes, the ``unit``.
+a code's bytes, the ``unit``. Where they are looked for beside the strings of bytes, only texts that share a mark
+(``passage_marks``) with another place are searched; equal passages have equal marks.
 """
 
 import hashlib
+import itertools
 import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tickwright.llm.hashing import BASE, SEGMENT, Powers, mixed, powers, prefixes, window_hashes, word_edges, word_hashes
 
@@ -419,6 +421,7 @@ def _second_hashes(line: Line, places: np.ndarray, window: int) -> np.ndarray:
     return out
 
 
+_CORPUS = "chunk long, a long, b long, z binary"
 _SPANS = "array<struct<first:long,after:long>>"
 RESULT = f"a long, b long, n_bytes long, n_removed long, kept_sha256 string, spans {_SPANS}"
 
@@ -427,12 +430,69 @@ def _text_hashes(text) -> list:
     return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit("again"), text).alias("b")]
 
 
-def _word_codes(text: str, known: Powers) -> bytes:
+def _word_codes(raw: bytes, known: Powers) -> bytes:
     """WORD_BYTES for each word."""
-    hashes, _ = word_hashes([text.encode()], known)
+    hashes, _ = word_hashes([raw], known)
     return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
 
 
+def _sliding(best: Callable, numbers: np.ndarray, n: int) -> np.ndarray:
+    """The best of each n neighbours."""
+    width = 1
+    while width < n:
+        step = min(width, n - width)
+        numbers = best(numbers[:-step], numbers[step:])
+        width += step
+    return numbers
+
+
+def passage_marks(texts: list[bytes], words: int, known: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of the texts, each once a text, with the text's number and whether the mark stands there twice.
+
+    Of the grams (a third of the words long) in each passage of so many words those of the smallest hash are marked.
+    So passages that are equal hold the same mark at the same place, and a text whose marks stand nowhere else has no
+    passage that occurs twice.
+    """
+    hashes, n_words = word_hashes(texts, known)
+    gram = max(1, words // 3)
+    run, n = words - gram + 1, len(hashes) - words + 1
+    if n < 1:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    grams = np.zeros(len(hashes) - gram + 1, np.uint64)
+    for k in range(gram):
+        grams = grams * BASE + hashes[k : k + len(grams)]
+    grams = mixed(grams) | np.uint64(1)
+    least = _sliding(np.minimum, grams, run)
+    owner = np.repeat(np.arange(len(texts)), n_words)
+    least[owner[:n] != owner[words - 1 :]] = 0
+    beside = np.zeros(run - 1, np.uint64)
+    at = np.flatnonzero(_sliding(np.maximum, np.concatenate([beside, least, beside]), run) == grams)
+    again, first = _repeats(grams[at], owner[at].astype(np.uint64))
+    return grams[at][first], owner[at][first], again[first]
+
+
+def _with_shared_marks(corpus: DataFrame, words: int) -> DataFrame:
+    """``a`` of the texts that have a mark which also stands elsewhere, once for each such mark."""
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unzip, known = zstandard.ZstdDecompressor(), Powers()
+        seen: set[int] = set()  # all copies of a text are in one partition
+        for batch in batches:
+            batch = batch.drop_duplicates("a")
+            batch = batch[~batch["a"].isin(seen)]
+            seen.update(batch["a"])
+            raw = [unzip.decompress(z) for z in batch["z"]]
+            part = np.cumsum([len(t) for t in raw]) // SEGMENT
+            for lo, hi in itertools.pairwise([0, *(np.flatnonzero(np.diff(part)) + 1), len(raw)]):
+                keys, owner, twice = passage_marks(raw[lo:hi], words, known)
+                yield pd.DataFrame({"a": batch["a"].to_numpy()[lo:hi][owner], "key": keys.view(np.int64), "twice": twice})
+
+    marks = corpus.mapInPandas(marked, "a long, key long, twice boolean")
+    of = Window.partitionBy("key")
+    found = marks.select("a", (F.max("twice").over(of) | (F.min("a").over(of) < F.max("a").over(of))).alias("shared"))
+    return found.where("shared").select("a")
+
+
 def buckets_for(total: int, partitions: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     """As many buckets as the text asks for, and no fewer than tasks that can run on them."""
     return max(16, partitions, math.ceil(total / bucket_bytes))
@@ -447,18 +507,22 @@ def repeated_in_texts(
     are not seen here. The texts are shuffled once, compressed, and that shuffle is used by the three steps that
     read bytes. There is a bucket for every ``bucket_bytes`` of text.
     """
-    unit = WORD_BYTES if words else 1
+    corpus, _, buckets = _in_chunks(spark, texts, words, bucket_bytes)
+    return _repeated_in_chunks(corpus, buckets, length, words)
+
+
+def _in_chunks(spark: SparkSession, texts: DataFrame, words: bool, bucket_bytes: int) -> tuple[DataFrame, int, int]:
+    """The texts, or their words' codes, compressed and dealt to chunks; how many chunks and buckets there are."""
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = buckets_for(total, partitions, bucket_bytes)
     least, most = CHUNK_BYTES
     chunk_bytes = min(most, max(least, total // (8 * max(16, partitions))))
     n_chunks = math.ceil(total / chunk_bytes) or 1
-    blocks = Blocks(length * unit, buckets, unit)
 
     def zipped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         zip_, known = zstandard.ZstdCompressor(level=1), Powers()
-        coded = (lambda t: _word_codes(t, known)) if words else str.encode
+        coded = (lambda t: _word_codes(t.encode(), known)) if words else str.encode
         seen: set[tuple[int, int]] = set()  # copies in this task; copies of other tasks meet in the chunk
         for batch in batches:
             fresh = []
@@ -470,7 +534,13 @@ def repeated_in_texts(
                 {"chunk": batch["a"] % n_chunks, "a": batch["a"], "b": batch["b"], "z": [zip_.compress(coded(t)) for t in batch["text"]]}
             )
 
-    corpus = texts.mapInPandas(zipped, "chunk long, a long, b long, z binary").repartition(buckets, "chunk")
+    return texts.mapInPandas(zipped, _CORPUS).repartition(buckets, "chunk"), n_chunks, buckets
+
+
+def _repeated_in_chunks(corpus: DataFrame, buckets: int, length: int, words: bool) -> DataFrame:
+    """RESULT for texts dealt to chunks."""
+    unit = WORD_BYTES if words else 1
+    blocks = Blocks(length * unit, buckets, unit)
     sampled = corpus.groupBy("chunk").applyInPandas(
         lambda rows: blocks.name_samples(rows), "bucket long, chunk long, kind string, places binary, keys binary"
     )
@@ -497,22 +567,36 @@ def repeated_in_texts(
 
 
 def repeated_spans(
-    spark: SparkSession, docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES
+    spark: SparkSession, docs: DataFrame, length: int = LENGTH, bucket_bytes: int = BUCKET_BYTES, words: int | None = None
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, kept_sha256 and spans (first, after) for every row of docs.
 
     Removed are the bytes, of the UTF-8 text, in a string of ``length`` bytes that also starts anywhere
     else in docs; spans are in ascending order and don't touch. A null text is an empty one; a null doc_id
     stays null; repeated rows are copies of each other; no rows give no rows. Other columns are left out.
+
+    With ``words``, n_passages and n_passage_words tell how many stretches and words of the text lie in passages of so
+    many words that also occur elsewhere, however short the words are; the gaps between them may differ. They change
+    nothing of what is removed.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     hashed = texts.select("doc_id", "text", *_text_hashes(F.col("text")))
-    found = repeated_in_texts(spark, hashed.select("text", "a", "b"), length, bucket_bytes=bucket_bytes)
-    rows = hashed.select("doc_id", F.col("a").alias("row_a"), F.col("b").alias("row_b"))
-    copied = rows.groupBy("row_a", "row_b").agg(F.count("*").alias("m")).where("m > 1").select(
-        F.col("row_a").alias("copy_a"), F.col("row_b").alias("copy_b")
-    )
+    corpus, n_chunks, buckets = _in_chunks(spark, hashed.select("text", "a", "b"), False, bucket_bytes)
+    found = _repeated_in_chunks(corpus, buckets, length, False)
+    n_words = [] if words is None else [F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words")]
+    rows = hashed.select("doc_id", F.col("a").alias("row_a"), F.col("b").alias("row_b"), *n_words)
+    copied = rows.groupBy("row_a", "row_b").agg(F.count("*").alias("m"), *[F.first("n_words").alias("n_words") for _ in n_words])
+    copied = copied.where("m > 1").withColumnsRenamed({"row_a": "copy_a", "row_b": "copy_b"})
     known = found.join(copied, (F.col("a") == F.col("copy_a")) & (F.col("b") == F.col("copy_b")), "left")
+    passages = []
+    if words is not None:
+        known = known.join(_passages(corpus, n_chunks, buckets, words), ["a", "b"], "left")
+        all_words = F.col("copy_a").isNotNull() & (F.col("n_words") >= words)
+        in_text = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+        passages = [
+            F.when(all_words, F.lit(1)).otherwise(in_text("n_passages")).cast("long").alias("n_passages"),
+            F.when(all_words, F.col("n_words")).otherwise(in_text("n_passage_words")).alias("n_passage_words"),
+        ]
     whole = F.col("copy_a").isNotNull() & (F.col("n_bytes") >= length)
     all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("first"), F.col("n_bytes").alias("after")))
     results = known.select(
@@ -522,9 +606,30 @@ def repeated_spans(
         F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
         F.when(whole, all_of_it).otherwise(F.col("spans")).alias("spans"),
+        *passages,
     )
     joined = rows.join(results, (F.col("row_a") == F.col("a")) & (F.col("row_b") == F.col("b")))
-    return joined.select("doc_id", "n_bytes", "n_removed", "kept_sha256", "spans")
+    more = [] if words is None else ["n_passages", "n_passage_words"]
+    return joined.select("doc_id", "n_bytes", "n_removed", "kept_sha256", "spans", *more)
+
+
+def _passages(corpus: DataFrame, n_chunks: int, buckets: int, words: int) -> DataFrame:
+    """a, b, n_passages and n_passage_words of the texts that hold a passage which also occurs elsewhere."""
+
+    def coded(chunk: pd.DataFrame, among: pd.DataFrame) -> pd.DataFrame:
+        unzip, zip_, known = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), Powers()
+        rows = chunk[chunk["a"].isin(among["a"])].drop_duplicates(["a", "b"])
+        return rows.assign(z=[zip_.compress(_word_codes(unzip.decompress(z), known)) for z in rows["z"]])
+
+    among = _with_shared_marks(corpus, words).withColumn("chunk", F.pmod("a", F.lit(n_chunks))).repartition(buckets, "chunk")
+    codes = corpus.groupBy("chunk").cogroup(among.groupBy("chunk")).applyInPandas(coded, _CORPUS).repartition(buckets, "chunk")
+    found = _repeated_in_chunks(codes, buckets, words, True).where("n_removed > 0")
+    # Whole words; a span within codes that agree by chance is narrowed to them.
+    first, after = f"(s.first + {WORD_BYTES - 1}) div {WORD_BYTES}", f"s.after div {WORD_BYTES}"
+    stretches = F.expr(f"filter(transform(spans, s -> {after} - {first}), n -> n >= {words})")
+    return found.select("a", "b", stretches.alias("n")).select(
+        "a", "b", F.size("n").alias("n_passages"), F.expr("aggregate(n, 0L, (x, y) -> x + y)").alias("n_passage_words")
+    )
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
