@@ -2,13 +2,18 @@
 
 Each stage works on all that the one before kept. ``run`` writes what a stage returns to the shared folder
 and hands it to the next as Parquet, so a lost executor costs at most a stage.
+
+Workers go on from stage to stage with what they once held, so all stages send them few texts at a time.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tickwright.llm.classifier import keep_by_quality
 from tickwright.llm.decontamination import without_leaks
-from tickwright.llm.minhash import keep_one_of_each
+from tickwright.llm.minhash import BATCH_ROWS, keep_one_of_each
 from tickwright.llm.packing import pack_documents
 from tickwright.llm.suffixes import without_repeats
 from tickwright.session import shared_dir
@@ -20,31 +25,54 @@ ORACLE_SQL = None
 PASSAGE_WORDS = 51
 
 
+#: Rows in a batch for Python.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _few_at_a_time(stage: Stage) -> Stage:
+    """The stage, after which the session sends at most BATCH_ROWS rows in a batch: what it returns has yet to be run."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+            spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_few_at_a_time
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     return keep_by_quality(spark, docs, _table(spark, sf_dir, "labels"))
 
 
+@_few_at_a_time
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates by five-word shingles the smallest id stays."""
     return keep_one_of_each(spark, docs)
 
 
+@_few_at_a_time
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 51 words that occur twice are cut out of all texts, and strings of 400 bytes where those hold fewer
     words; a text may become empty."""
     return without_repeats(spark, docs, words=PASSAGE_WORDS)
 
 
+@_few_at_a_time
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item go."""
     return without_leaks(spark, docs, _table(spark, sf_dir, "benchmark"))
 
 
+@_few_at_a_time
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, in sequences."""
     return pack_documents(docs)

@@ -2,12 +2,13 @@
 
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
 
 from tests.llm import brute
-from tickwright.llm import minhash
+from tickwright.llm import hashing, minhash
 from tickwright.llm.components import components
 from tickwright.llm.minhash import near_duplicates
 
@@ -137,3 +138,17 @@ def test_large_neighbourhood_around_a_passage(spark, monkeypatch):
     found = near_duplicates(spark, _frame(spark, list(enumerate(texts)))).collect()
     expected = {i: i - 1 if i % 100 == 1 else i for i in range(500)}
     assert {r.doc_id: r.component_id for r in found} == expected
+
+
+def test_shingles_of_many_texts_need_the_room_of_few():
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(10**4)}" for _ in range(rng.choice([0, 3, 300, 600]))).encode() for _ in range(2000)]
+    alone = [hashing.distinct_shingles([t], 5, hashing.Powers()) for t in texts]
+    room = []
+    for some in (texts[:1000], texts):
+        tracemalloc.start()
+        values, counts = hashing.distinct_shingles(some, 5, hashing.Powers())
+        room.append(tracemalloc.get_traced_memory()[1] - 2 * values.nbytes - 2 * counts.nbytes)  # in parts and as a whole
+        tracemalloc.stop()
+    assert (values == np.concatenate([v for v, _ in alone])).all() and counts.tolist() == [c[0] for _, c in alone]
+    assert max(room) < 20_000_000 and room[1] < 1.5 * room[0], room

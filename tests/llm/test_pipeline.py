@@ -172,3 +172,22 @@ def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
     assert (7, c) in kept or (7, near(c)) in kept
     kept = [row for row in kept if row[1] not in (c, near(c))]
     assert sorted(map(str, kept)) == sorted(map(str, [(1, a), (5, b), (7, d), (None, a)])), [k for k, _ in kept]
+
+
+@pytest.mark.parametrize("before,after", [("10000", 1000), ("0", 1000), ("300", 300)])
+def test_stages_send_few_texts_at_a_time(spark, before, after):
+    """Also when what a stage returned is run."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.iloc[:1].assign(n_chars=len(batch))
+
+    try:
+        spark.conf.set(key, before)
+        docs = _docs(spark, [(i, f"w{i}") for i in range(2500)]).coalesce(1)
+        staying = corpus_pipeline.repeated_passages(spark, docs, "").coalesce(1)
+        assert max(r.n_chars for r in staying.mapInPandas(sizes, DOCS).collect()) == after
+    finally:
+        spark.conf.set(key, usual)

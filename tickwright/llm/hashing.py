@@ -5,8 +5,8 @@ import numpy as np
 #: An odd base and its inverse modulo 2**64, for polynomial hashes that can be cut out of prefix sums.
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-#: Bytes hashed at a time.
-SEGMENT = 1 << 20
+#: Bytes hashed at a time. A worker holds some sixty times that for them, and keeps much of it from task to task.
+SEGMENT = 1 << 17
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -78,8 +78,16 @@ def word_hashes(texts: list[bytes], known: Powers, in_word: np.ndarray = ~_SPACE
 def distinct_shingles(texts: list[bytes], size: int, known: Powers) -> tuple[np.ndarray, np.ndarray]:
     """For each text its distinct shingle hashes in ascending order, and how many they are.
 
-    A text with fewer words has its whole sequence as the one shingle, a text without words has none.
+    A text with fewer words has its whole sequence as the one shingle, a text without words has none. Texts
+    are taken in parts of about SEGMENT bytes: words are held for a part, not for all texts.
     """
+    part = np.cumsum([len(t) for t in texts]) // SEGMENT
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1), len(texts)]
+    found = [_distinct_shingles(texts[lo:hi], size, known) for lo, hi in zip(edges[:-1], edges[1:])]
+    return np.concatenate([values for values, _ in found]), np.concatenate([counts for _, counts in found])
+
+
+def _distinct_shingles(texts: list[bytes], size: int, known: Powers) -> tuple[np.ndarray, np.ndarray]:
     words, n_words = word_hashes(texts, known)
     n = len(words)
     owner = np.repeat(np.arange(len(texts)), n_words)
